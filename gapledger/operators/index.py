@@ -2,10 +2,11 @@
 
 Two weightings share the code (see ``Scheme``). An index is three tables written once:
 
+``counts``    one row per (document, term): count and TF
 ``terms``     term → df, idf, number of shards
-``postings``  one row per (document, term) with its weight, the weight divided by the
-              document's norm (``unit``), the level of ``unit`` and the shard
-``corpus``    the searched table itself, untouched
+``postings``  one row per (document, term) with its weight; bucketed by document
+
+and the searched table itself, untouched.
 
 How the parts behave on a large corpus:
 
@@ -16,7 +17,8 @@ How the parts behave on a large corpus:
   few: at most ``HOT_TERMS`` words can each hold 1/HOT_TERMS of all postings, so that
   part of the table has a fixed size and is broadcast. Only the rare words' postings
   are shuffled, and none of those words is frequent enough to overload a task.
-* Norms need a document's postings together: one shuffle by document.
+* Norms need a document's postings together: one shuffle by document, into the buckets
+  that the table is written in, so that scoring by document shuffles nothing more.
 """
 
 from __future__ import annotations
@@ -26,6 +28,7 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.window import WindowSpec
 
 from gapledger.functions.text import ascii_tokens, bind, term_counts, word_tokens
 from gapledger.sources.shared import build_once
@@ -35,8 +38,11 @@ from gapledger.sources.shared import build_once
 HOT_TERMS = 200_000
 # Postings of one term that may share a join key during retrieval.
 SHARD_ROWS = 1_000_000
-# Units below 2**-LEVELS share the last level.
+# Levels of prefix norms, two per halving; smaller ones share the last level.
 LEVELS = 12
+# Postings per bucket aimed at, and Spark's own limit on buckets.
+BUCKET_ROWS = 10_000_000
+MAX_BUCKETS = 100_000
 
 
 @dataclass(frozen=True)
@@ -138,12 +144,12 @@ def domain_terms(df: DataFrame, domain: str, key: str, text: str) -> DataFrame:
 
 
 def weigh(tf: DataFrame, terms: DataFrame, hot_terms: int = HOT_TERMS) -> DataFrame:
-    """Attach IDF and shard count to every posting.
+    """Attach df, IDF and shard count to every posting.
 
     ``terms`` should be a written table: it is read four times.
     """
     total = terms.agg(F.sum("df")).scalar()
-    wanted = terms.select("term", "idf", "shards", (F.col("df") * hot_terms >= total).alias("hot"))
+    wanted = terms.withColumn("hot", F.col("df") * hot_terms >= total)
     hot = wanted.where("hot").drop("hot")
     rare = wanted.where("NOT hot").drop("hot")
     frequent = tf.join(F.broadcast(hot), "term")
@@ -157,26 +163,49 @@ def doc_norms(weighted: DataFrame, key: str) -> DataFrame:
     )
 
 
-def level_of(unit: Column) -> Column:
-    """0 for the strongest units, one more per halving, capped; falls as units grow."""
-    return F.least(F.lit(LEVELS), F.floor(-F.log2(unit)).cast("int"))
+def level_of(prefix: Column) -> Column:
+    """0 for norms near 1, two more per halving, capped; falls as norms grow."""
+    return F.least(F.lit(LEVELS), F.floor(F.log2(prefix) * -2).cast("int"))
+
+
+def by_frequency(key: str) -> WindowSpec:
+    """A row's terms from the most frequent in the corpus to the rarest."""
+    return Window.partitionBy(key).orderBy(F.desc("df"), "term")
 
 
-def unit_postings(weighted: DataFrame, key: str) -> DataFrame:
-    """Add norm, unit weight, level and shard to weighted postings of one scheme."""
-    per_doc = Window.partitionBy(key)
-    norm = F.sqrt(F.sum(F.col("weight") * F.col("weight")).over(per_doc))
+def unit_postings(weighted: DataFrame, key: str, buckets: int) -> DataFrame:
+    """Weighted postings of one scheme with what retrieval needs, ``buckets`` partitions.
+
+    ``unit``    weight divided by the document's norm
+    ``prefix``  norm of the units of this term and all that are more frequent
+    ``level``   level of ``prefix``; null for weights of 0, which never match
+    ``shard``   part of a frequent term's postings
+    """
+    square = F.col("weight") * F.col("weight")
+    up_to_here = by_frequency(key).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    norm = F.col("norm")
     return (
-        weighted.withColumn("norm", norm)
-        .withColumn(
-            "unit", F.when(F.col("norm") > 0, F.col("weight") / F.col("norm")).otherwise(0.0)
-        )
-        .withColumn("level", F.when(F.col("unit") > 0, level_of(F.col("unit"))))
+        weighted.repartition(buckets, key)
+        .withColumn("so_far", F.sum(square).over(up_to_here))
+        .withColumn("norm", F.sqrt(F.max("so_far").over(Window.partitionBy(key))))
+        .withColumn("unit", F.when(norm > 0, F.col("weight") / norm).otherwise(0.0))
+        .withColumn("prefix", F.when(norm > 0, F.sqrt("so_far") / norm).otherwise(0.0))
+        .withColumn("level", F.when(F.col("unit") > 0, level_of(F.col("prefix"))))
         .withColumn("shard", F.pmod(F.xxhash64(key), F.col("shards")).cast("int"))
-        .select(key, "term", "n_term", "n_tokens", "weight", "norm", "unit", "level", "shard")
+        .select(
+            key, "term", "n_term", "n_tokens", "weight", "norm",
+            "unit", "prefix", "level", "shard",
+        )
     )
 
 
+def bucket_count(terms: DataFrame) -> int:
+    """Buckets for an index, from the number of its postings; at least one per core."""
+    postings = terms.agg(F.sum("df")).first()[0] or 0
+    cores = terms.sparkSession.sparkContext.defaultParallelism
+    return min(MAX_BUCKETS, max(cores, -(-postings // BUCKET_ROWS)))
+
+
 def build_index(
     corpus: DataFrame,
     doc_id: str,
@@ -197,8 +226,11 @@ def build_index(
     terms = build_once(
         spark, key, "terms", lambda: term_table(tf, corpus_size(docs), scheme, shard_rows)
     )
+    buckets = bucket_count(terms)
     postings = build_once(
-        spark, key, "postings", lambda: unit_postings(weigh(tf, terms, hot_terms), doc_id)
+        spark, key, "postings",
+        lambda: unit_postings(weigh(tf, terms, hot_terms), doc_id, buckets),
+        bucket_by=doc_id, buckets=buckets,
     )
     return Index(corpus, doc_id, text, scheme, terms, postings)
 

@@ -1,18 +1,26 @@
-"""Cosine top-k of many queries against an index.
+"""Cosine top-k of many queries against an index, in one of two exact ways.
 
-Scoring every document for every query would emit, for a word that a third of both
-sides hold, a ninth of all pairs. The best k can be found exactly with far fewer:
+*In place.* The query words are broadcast, each document's score is summed up in the
+bucket where its postings lie, and a task passes on its best k per query. One scan of
+the index, no join by word and so no word too frequent for a task, and no (query,
+document) pair is shuffled. The work is one step per posting of a query word, per query
+holding it; it is counted beforehand, and so is the size of what is broadcast.
+
+*Pruned.* For more queries than that, pairs that cannot reach a query's best k are left out
+before they are made:
 
 1. Each query word's k strongest postings give every query a k-th best score so far,
    ``floor``; the real k-th best is no lower.
-2. A cosine is the sum of query unit times document unit over shared words. If every
-   shared word's document unit stays under ``floor / sum(query units)``, the sum stays
-   under ``floor``. So only documents with one stronger posting are candidates.
+2. Take the rarest word that a query and a document share. All they share is at least
+   as frequent, so by Cauchy-Schwarz the score is at most the norm of the query's words up
+   to that one times the norm of the document's (``prefix``), words going from
+   frequent to rare. Frequent words have short prefixes and yield few pairs: only
+   pairs that reach the floor this way are candidates.
 3. Candidates get their full score, and the best k per query are kept.
 
-Postings carry the power-of-two level of their unit, and the levels a query may skip
-are left out of the join key; frequent words are cut into shards, so that no key holds
-more than ``SHARD_ROWS`` postings.
+Postings carry the level of their prefix, and the levels a query may skip are left out
+of the join key; frequent words are cut into shards, so that no key holds more than
+``SHARD_ROWS`` postings.
 """
 
 from __future__ import annotations
@@ -21,23 +29,44 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from gapledger import constants as C
-from gapledger.operators.index import LEVELS, Index, level_of, query_vectors
+from gapledger.functions.text import strip
+from gapledger.operators.index import LEVELS, Index, by_frequency, level_of, query_vectors
+from gapledger.sources.shared import write_once
 
 # Scores are compared after rounding, so that the order of a sum cannot break a tie.
 SCORE_DIGITS = 9
 # Keeps candidates whose score may still round up to the floor.
 SLACK = 1e-6
+# Largest broadcast (query words) and largest number of steps for scoring in place.
+IN_PLACE_WORDS = 1_000_000
+IN_PLACE_STEPS = 10**12
 
 
-def _known(vectors: DataFrame, index: Index) -> DataFrame:
-    """Query words that the corpus holds, with their shard count."""
-    terms = index.terms.where(F.col("idf") > 0).select("term", "shards")
+def known_words(vectors: DataFrame, index: Index) -> DataFrame:
+    """Query words that the corpus holds and that can score, with df and shard count."""
+    terms = index.terms.where(F.col("idf") > 0).select("term", "df", "shards")
     return vectors.withColumnRenamed("unit", "query_unit").join(terms, "term")
 
 
+def fits_in_place(known: DataFrame, words: int, steps: int) -> bool:
+    """Whether the query words may be broadcast and scored in place; two numbers are fetched."""
+    size = known.agg(F.count(F.lit(1)).alias("words"), F.sum("df").alias("steps")).first()
+    return size["words"] <= words and (size["steps"] or 0) <= steps
+
+
 def _hits(index: Index) -> DataFrame:
-    return index.postings.where(F.col("unit") > 0).select(
-        index.doc_id, "term", "unit", "level", "shard"
+    return index.postings.where(F.col("unit") > 0)
+
+
+def scored_in_place(known: DataFrame, index: Index, query_id: str) -> DataFrame:
+    """Score of every pair that shares a word, left in the document's bucket."""
+    share = F.col("query_unit") * F.col("unit")
+    return (
+        _hits(index)
+        .select(index.doc_id, "term", "unit")
+        .join(F.broadcast(known.select(query_id, "term", "query_unit")), "term")
+        .groupBy(query_id, index.doc_id)
+        .agg(F.round(F.sum(share), SCORE_DIGITS).alias("score"))
     )
 
 
@@ -49,10 +78,10 @@ def kth_best(known: DataFrame, index: Index, query_id: str, k: int) -> DataFrame
     strongest = Window.partitionBy("term").orderBy(F.desc("unit"), index.doc_id)
     leaders = (
         _hits(index)
+        .select(index.doc_id, "term", "unit")
         .join(known.select("term").distinct(), "term", "left_semi")
         .withColumn("place", F.row_number().over(strongest))
         .where(F.col("place") <= k)
-        .select("term", index.doc_id, "unit")
     )
     best = Window.partitionBy(query_id).orderBy(F.desc("partial"))
     return (
@@ -69,51 +98,53 @@ def candidates(
     known: DataFrame, index: Index, query_id: str, floor: DataFrame | float
 ) -> DataFrame:
     """Every (query, document) whose score may reach the query's floor, once."""
-    reach = known.groupBy(query_id).agg(F.sum("query_unit").alias("total"))
+    up_to_here = by_frequency(query_id).rowsBetween(
+        Window.unboundedPreceding, Window.currentRow
+    )
+    square = F.col("query_unit") * F.col("query_unit")
+    probes = known.withColumn("query_prefix", F.sqrt(F.sum(square).over(up_to_here)))
     if isinstance(floor, DataFrame):
-        reach = reach.join(floor, query_id, "left")
+        probes = probes.join(floor, query_id, "left")
     else:
-        reach = reach.withColumn("floor", F.lit(float(floor)))
-    least_unit = (F.coalesce(F.col("floor"), F.lit(0.0)) - SLACK) / F.col("total")
-    lowest = F.when(F.col("least_unit") > 0, level_of(F.col("least_unit"))).otherwise(LEVELS)
-    probes = (
-        known.join(
-            reach.withColumn("least_unit", least_unit).select(
-                query_id, "least_unit", lowest.alias("lowest")
-            ),
-            query_id,
-        )
-        .select(
-            query_id, "term", "least_unit", "shards",
-            F.explode(F.sequence(F.lit(0), F.col("lowest"))).alias("level"),
-        )
-        .select(
-            query_id, "term", "least_unit", "level",
-            F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard"),
-        )
-    )
+        probes = probes.withColumn("floor", F.lit(float(floor)))
+    probes = probes.withColumn("floor", F.coalesce(F.col("floor"), F.lit(0.0)) - SLACK)
+    lowest = F.when(
+        F.col("floor") > 0, level_of(F.least(F.lit(1.0), F.col("floor") / F.col("query_prefix")))
+    ).otherwise(LEVELS)
+    keep = [query_id, "term", "query_unit", "query_prefix", "floor"]
+    levels = F.explode(F.sequence(F.lit(0), lowest)).alias("level")
+    shards = F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard")
+    probes = probes.select(*keep, "shards", levels).select(*keep, "level", shards)
+
+    def before(prefix: str, unit: str) -> Column:
+        """Norm of the words more frequent than this one."""
+        rest = F.col(prefix) * F.col(prefix) - F.col(unit) * F.col(unit)
+        return F.sqrt(F.greatest(rest, F.lit(0.0)))
+
+    at_most = F.col("query_unit") * F.col("unit") + before(
+        "query_prefix", "query_unit"
+    ) * before("prefix", "unit")
     return (
-        probes.join(_hits(index), ["term", "shard", "level"])
-        .where(F.col("unit") >= F.col("least_unit"))
+        probes.join(
+            _hits(index).select(index.doc_id, "term", "unit", "prefix", "level", "shard"),
+            ["term", "shard", "level"],
+        )
+        .where(at_most >= F.col("floor"))
         .select(query_id, index.doc_id)
         .distinct()
     )
 
 
-def _scored(pairs: DataFrame, known: DataFrame, index: Index, query_id: str,
-            extra: DataFrame | None = None) -> DataFrame:
-    """Full scores of the given pairs; pairs in ``extra`` score 0 unless scored above."""
-    shares = (
+def scored_pairs(
+    pairs: DataFrame, known: DataFrame, index: Index, query_id: str
+) -> DataFrame:
+    """Full scores of the given pairs."""
+    share = F.col("query_unit") * F.col("unit")
+    return (
         pairs.join(known.select(query_id, "term", "query_unit"), query_id)
         .join(_hits(index).select(index.doc_id, "term", "unit"), [index.doc_id, "term"])
-        .select(query_id, index.doc_id, (F.col("query_unit") * F.col("unit")).alias("share"))
-    )
-    if extra is not None:
-        shares = shares.unionByName(
-            extra.select(query_id, index.doc_id, F.lit(0.0).alias("share"))
-        )
-    return shares.groupBy(query_id, index.doc_id).agg(
-        F.round(F.sum("share"), SCORE_DIGITS).alias("score")
+        .groupBy(query_id, index.doc_id)
+        .agg(F.round(F.sum(share), SCORE_DIGITS).alias("score"))
     )
 
 
@@ -149,6 +180,8 @@ def retrieve(
     k: int = C.DEFAULT_K,
     pad: bool = True,
     binary: bool = False,
+    in_place_words: int = IN_PLACE_WORDS,
+    in_place_steps: int = IN_PLACE_STEPS,
 ) -> DataFrame:
     """The k best documents of every query: query id, document id, score, rank.
 
@@ -156,11 +189,26 @@ def retrieve(
     even a blank one, gets min(k, corpus size) rows.
     """
     vectors = query_vectors(queries, query_id, text, index.scheme, binary)
-    known = _known(vectors, index)
-    pairs = candidates(known, index, query_id, kth_best(known, index, query_id, k))
-    extra = _padding(queries, query_id, index, k) if pad else None
-    scored = _scored(pairs, known, index, query_id, extra)
-    return best_k(scored, query_id, index.doc_id, k)
+    known = known_words(vectors, index)
+    if fits_in_place(known, in_place_words, in_place_steps):
+        scored = scored_in_place(known, index, query_id)
+    else:
+        known = write_once("query-words", known)
+        floor = kth_best(known, index, query_id, k)
+        pairs = candidates(known, index, query_id, floor)
+        scored = scored_pairs(pairs, known, index, query_id)
+    best = best_k(scored, query_id, index.doc_id, k)
+    if not pad:
+        return best
+    # A query with k matches ranks them before any of its k stand-ins; a query with
+    # fewer has all its matches here, so that its other stand-ins do score 0.
+    filled = (
+        best.drop("rank")
+        .unionByName(_padding(queries, query_id, index, k).withColumn("score", F.lit(0.0)))
+        .groupBy(query_id, index.doc_id)
+        .agg(F.max("score").alias("score"))
+    )
+    return best_k(filled, query_id, index.doc_id, k)
 
 
 def cosine_scores(
@@ -170,12 +218,19 @@ def cosine_scores(
     text: str,
     min_score: float = C.YELLOW_ABOVE,
     binary: bool = False,
+    in_place_words: int = IN_PLACE_WORDS,
+    in_place_steps: int = IN_PLACE_STEPS,
 ) -> DataFrame:
     """Every (query, document) that scores at least ``min_score`` (0 leaves out only zeros)."""
     vectors = query_vectors(queries, query_id, text, index.scheme, binary)
-    known = _known(vectors, index)
-    pairs = candidates(known, index, query_id, min_score)
-    return _scored(pairs, known, index, query_id).where(F.col("score") >= min_score)
+    known = known_words(vectors, index)
+    if fits_in_place(known, in_place_words, in_place_steps):
+        scored = scored_in_place(known, index, query_id)
+    else:
+        known = write_once("query-words", known)
+        pairs = candidates(known, index, query_id, min_score)
+        scored = scored_pairs(pairs, known, index, query_id)
+    return scored.where(F.col("score") >= min_score)
 
 
 def with_records(
@@ -192,6 +247,4 @@ def in_domains(corpus: DataFrame, domain: str, chosen: list[str]) -> DataFrame:
 
 def query_source(custom: Column, fallback: Column) -> Column:
     """Pasted text if it is not blank, else the selected text."""
-    from gapledger.functions.text import strip
-
     return F.when(F.length(strip(custom)) > 0, custom).otherwise(fallback)

@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
 _local_root: dict[str, str] = {}
+_databases: dict[str, str] = {}
 _built: dict[tuple, str] = {}
 
 
@@ -43,22 +44,40 @@ def write_once(name: str, df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def _database(spark: SparkSession) -> str:
+    """A database of this application whose tables lie in the shared folder."""
+    app = spark.sparkContext.applicationId
+    if app not in _databases:
+        folder = new_folder(spark, "tables")
+        name = "gapledger_" + folder.rpartition("-")[2]
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {name} LOCATION '{folder}'")
+        _databases[app] = name
+    return _databases[app]
+
+
 def build_once(
-    spark: SparkSession, key: tuple, name: str, make: Callable[[], DataFrame]
+    spark: SparkSession,
+    key: tuple,
+    name: str,
+    make: Callable[[], DataFrame],
+    bucket_by: str | None = None,
+    buckets: int = 0,
 ) -> DataFrame:
-    """``write_once`` on the first call with ``key`` in this application, a read later.
+    """Write a table on the first call with ``key`` in this application, read it later.
 
-    The caller's key has to tell inputs and parameters apart; ``forget`` drops it when
-    an input has changed.
+    With ``bucket_by`` the rows of one value lie in one bucket, so later joins and
+    aggregations by that column need no shuffle. The caller's key has to tell inputs
+    and parameters apart; ``forget`` drops it when an input has changed.
     """
     key = (spark.sparkContext.applicationId, name, *key)
-    if key in _built:
-        return spark.read.parquet(_built[key])
-    df = make()
-    path = new_folder(spark, name)
-    df.write.parquet(path)
-    _built[key] = path
-    return spark.read.schema(df.schema).parquet(path)
+    if key not in _built:
+        table = f"{_database(spark)}.{name}_{uuid.uuid4().hex}"
+        writer = make().write.format("parquet")
+        if bucket_by:
+            writer = writer.bucketBy(buckets, bucket_by)
+        writer.saveAsTable(table)
+        _built[key] = table
+    return spark.table(_built[key])
 
 
 def forget(*key) -> None:
