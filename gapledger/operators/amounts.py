@@ -24,14 +24,13 @@ def money_amounts(df: DataFrame, key: str, text: str) -> DataFrame:
     found = F.regexp_extract_all(F.col(text), F.lit(MONEY), F.lit(0))
     units = F.lower(F.regexp_extract("amount_text", MONEY, 3))
     digits = F.replace(F.regexp_extract("amount_text", MONEY, 2), F.lit(","), F.lit(""))
-    factor = F.when(F.contains(units, F.lit("lakh")), LAKH).otherwise(1) * F.when(
-        F.contains(units, F.lit("crore")), CRORE
-    ).otherwise(1)
+    lakhs = F.when(F.contains(units, F.lit("lakh")), LAKH).otherwise(1).cast("decimal(8,0)")
+    crores = F.when(F.contains(units, F.lit("crore")), CRORE).otherwise(1).cast("decimal(8,0)")
+    # Digits that no decimal(20,2) holds give null instead of failing the job.
+    rupees = (digits.try_cast("decimal(20,2)") * lakhs * crores).try_cast("decimal(20,2)")
     return df.select(
         key, F.posexplode(found).alias("amount_index", "amount_text")
-    ).withColumn(
-        "rupees", (digits.cast("decimal(20,2)") * factor).cast("decimal(20,2)")
-    )
+    ).withColumn("rupees", rupees)
 
 
 def quantities(df: DataFrame, key: str, text: str) -> DataFrame:

@@ -245,21 +245,22 @@ def query_vectors(
     """
 
     def entries(counts: Column) -> Column:
-        def squared(total: Column, entry: Column) -> Column:
-            return total + entry["n_term"] * entry["n_term"]
+        def total(of: Callable[[Column], Column]) -> Column:
+            return F.aggregate(counts, F.lit(0.0), lambda so_far, entry: so_far + of(entry))
 
-        size = F.aggregate(counts, F.lit(0), lambda total, entry: total + entry["n_term"])
-        norm = F.sqrt(
-            F.size(counts) if binary else F.aggregate(counts, F.lit(0), squared)
-        )
+        def count(entry: Column) -> Column:
+            return F.lit(1.0) if binary else entry["n_term"].cast("double")
+
+        size = F.lit(1.0) if binary else total(count)
+        norm = F.sqrt(total(lambda entry: count(entry) * count(entry)))
         return bind(
             F.struct(size.alias("size"), norm.alias("norm")),
             lambda whole: F.transform(
                 counts,
                 lambda entry: F.struct(
                     entry["term"].alias("term"),
-                    (F.lit(1.0) if binary else entry["n_term"] / whole["size"]).alias("weight"),
-                    ((F.lit(1) if binary else entry["n_term"]) / whole["norm"]).alias("unit"),
+                    (count(entry) / whole["size"]).alias("weight"),
+                    (count(entry) / whole["norm"]).alias("unit"),
                 ),
             ),
         )
