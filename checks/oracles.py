@@ -171,6 +171,39 @@ GAPS = (
 )
 
 
+def hashed_terms(terms: str, features: int = C.HASH_FEATURES) -> str:
+    """CTEs ending in hashed(term, bucket): 32-bit MurmurHash3 of ASCII terms, seed 42."""
+
+    def times(x: str, factor: int) -> str:
+        return f"((({x})::HUGEINT * {factor}) % 4294967296)::BIGINT"
+
+    def rotated(x: str, bits: int) -> str:
+        return f"((({x}) * {2**bits}) % 4294967296 + ({x}) // {2**(32 - bits)})"
+
+    def mixed(blocks: str) -> str:
+        first = f"[{times('x', 0xCC9E2D51)} for x in {blocks}]"
+        turned = f"[{rotated('x', 15)} for x in {first}]"
+        return f"[{times('x', 0x1B873593)} for x in {turned}]"
+
+    def byte(position: str, power: int) -> str:
+        return f"codes[{position}] * {256**power}"
+
+    block = " + ".join(byte(f"4 * i + {b + 1}", b) for b in range(4))
+    rest = " + ".join(f"coalesce({byte(f'4 * (n // 4) + {b + 1}', b)}, 0)" for b in range(3))
+    step = f"(({rotated('xor(h, k)', 13)}) * 5 + {0xE6546B64}) % 4294967296"
+    return f"""coded AS (SELECT term, length(term) AS n,
+  [ord(c)::BIGINT for c in string_split(term, '')] AS codes FROM (SELECT DISTINCT term FROM {terms})),
+blocked AS (SELECT *, [{block} for i in range(0, n // 4)] AS blocks, [{rest}] AS rest FROM coded),
+body AS (SELECT term, n, rest,
+  list_reduce(list_concat([42::BIGINT], {mixed("blocks")}), lambda h, k: {step}) AS h FROM blocked),
+tailed AS (SELECT term, xor(CASE WHEN n % 4 > 0 THEN xor(h, {mixed("rest")}[1]) ELSE h END, n) AS h FROM body),
+end1 AS (SELECT term, {times("xor(h, h // 65536)", 0x85EBCA6B)} AS h FROM tailed),
+end2 AS (SELECT term, {times("xor(h, h // 8192)", 0xC2B2AE35)} AS h FROM end1),
+hashed AS (SELECT term, (xor(h, h // 65536) % {features})::INT AS bucket FROM end2),
+bucketed AS (SELECT chunk_id, bucket, sum(n_term)::DOUBLE AS n FROM tf JOIN hashed USING (term)
+             GROUP BY chunk_id, bucket)"""
+
+
 def token_totals(stop=()) -> str:
     return f"""SELECT chunk_id, len(t) AS n_tokens, coalesce(list_sum([length(x) for x in t]), 0)::INT AS n_chars,
 array_to_string(t, ' ') AS tokens
@@ -212,8 +245,12 @@ key || '_' || chunk_index AS chunk_id, '{C.CIRCULAR_TAG}' AS source_type
 FROM ({chunks("benchmark", "item_id", "text")}) JOIN benchmark ON key = item_id""",
     "gold_tokens": token_totals(),
     "gold_tokens_stopped": token_totals(GOLD_STOP),
-    "gold_tf_hashed": f"""WITH {GOLD_COUNTS}
-SELECT chunk_id, sum(n_term)::BIGINT AS n_tokens FROM tf GROUP BY chunk_id""",
+    "gold_tf_hashed": f"""WITH {GOLD_COUNTS}, {hashed_terms("tf")}
+SELECT chunk_id, bucket, n AS weight FROM bucketed""",
+    "gold_tfidf_ml": f"""WITH {GOLD_COUNTS}, {hashed_terms("tf")},
+widths AS (SELECT bucket, ln(((SELECT count(*) FROM chunked) + 1) / (count(*) + 1)) AS idf
+           FROM bucketed GROUP BY bucket)
+SELECT chunk_id, bucket, round(n * idf, 6) AS weight FROM bucketed JOIN widths USING (bucket)""",
     "gold_idf": f"WITH {GOLD_COUNTS} SELECT term, df, round(idf, 6) AS idf FROM terms",
     "gold_tfidf_exact": f"""WITH {GOLD_COUNTS}
 SELECT chunk_id, term, round(n_term * idf, 6) AS weight FROM tf JOIN terms USING (term)""",
@@ -306,6 +343,12 @@ left(question, {C.QUOTE_CHARS}) || '|' || length(question) AS answer, NULL::VARC
 string_agg(chunk_text, ' ' ORDER BY chunk_index) AS chunk_text,
 key || '_' || (chunk_index // 2) AS chunk_id, '{C.POLICY_TAG}' AS source_type
 FROM ({POLICY_CHUNKS}) GROUP BY key, chunk_index // 2""",
+    "directive_blocks": f"""WITH sentences AS (SELECT *, sum(CASE WHEN chunk_index = 0 OR
+  regexp_matches(chunk_text, '(?i)(^|[^\\p{{L}}\\p{{N}}_])(there|nicht|avec|los)($|[^\\p{{L}}\\p{{N}}_])')
+  THEN 1 ELSE 0 END) OVER (PARTITION BY key ORDER BY chunk_index) - 1 AS block FROM ({POLICY_CHUNKS}))
+SELECT key::VARCHAR AS policy_id, block::INT AS chunk_index,
+string_agg(chunk_text, ' ' ORDER BY chunk_index) AS chunk_text,
+key || '_' || block AS chunk_id, '{C.POLICY_TAG}' AS source_type FROM sentences GROUP BY key, block""",
     "stream_silver": f"""SELECT key AS doc_id, lang, chunk_index, chunk_text,
 key || '_' || chunk_index AS chunk_id, '{C.POLICY_TAG}' AS source_type
 FROM ({POLICY_CHUNKS}) JOIN documents ON key = doc_id""",

@@ -40,6 +40,7 @@ from gapledger.operators.retrieve import (
 )
 from gapledger.operators.silver import (
     chunk_rows,
+    directive_blocks,
     sentence_pairs,
     silver_circulars,
     silver_policies,
@@ -68,6 +69,7 @@ TOPICS = (
     ("english", (("tion", "the"), ("whou",))),
 )
 ANSWERS = {"german": "Siehe Abschnitt 1.", "french": "Voir section 2.", "english": "See section 3."}
+CUES = ("there", "nicht", "avec", "los")
 GRADES = (("critical", "THERE", "The"), ("high", "TION", "On"))
 
 
@@ -196,16 +198,17 @@ def gold_tokens_stopped(spark, d):
 
 
 def gold_tf_hashed(spark, d):
-    """Hashing moves counts between buckets but keeps each chunk's total."""
-    entries = vector_entries(
+    return vector_entries(
         hashed_counts(silver_policy_chunks(spark, d)), "raw_features", "chunk_id"
     )
-    return entries.groupBy("chunk_id").agg(F.sum("weight").cast("long").alias("n_tokens"))
 
 
 def gold_tfidf_ml(spark, d):
     silver = silver_policy_chunks(spark, d)
-    return vector_entries(fit_gold(silver).transform(silver), "tfidf_features", "chunk_id")
+    vectors = fit_gold(silver).transform(silver)
+    return vector_entries(vectors, "tfidf_features", "chunk_id").withColumn(
+        "weight", F.round("weight", 6)
+    )
 
 
 def _gold_counts(spark, d):
@@ -499,6 +502,13 @@ def sentence_pairs_query(spark, d):
     return chunk_rows(bronze_policies(spark, d), ["policy_id"], chunks, C.POLICY_TAG)
 
 
+def directive_blocks_query(spark, d):
+    """Blocks start at sentences that hold a cue word of one of the four languages."""
+    sentences = sentence_chunks(clean_text(F.col("policy_text")))
+    blocks = directive_blocks(sentences, CUES)
+    return chunk_rows(bronze_policies(spark, d), ["policy_id"], blocks, C.POLICY_TAG)
+
+
 def stream_silver(spark, d):
     """The documents file as a stream; what it appended, read back."""
     schema = read_folder(spark, d, "documents").schema
@@ -562,5 +572,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "transcript_clear": transcript_clear,
     "respond": respond_query,
     "sentence_pairs": sentence_pairs_query,
+    "directive_blocks": directive_blocks_query,
     "stream_silver": stream_silver,
 }

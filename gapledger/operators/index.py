@@ -92,8 +92,13 @@ def doc_tokens(df: DataFrame, key: str, text: str, scheme: Scheme = DOCUMENT) ->
     return df.select(key, F.explode(scheme.tokens(F.col(text))).alias("term"))
 
 
-def term_frequency(df: DataFrame, key: str, text: str, scheme: Scheme = DOCUMENT) -> DataFrame:
-    """One row per (document, term): count, the document's token count and TF."""
+def term_frequency(
+    df: DataFrame, key: str, text: str, scheme: Scheme = DOCUMENT, carry: tuple[str, ...] = ()
+) -> DataFrame:
+    """One row per (document, term): count, the document's token count and TF.
+
+    ``carry`` names columns to keep beside the key.
+    """
     counted = bind(
         scheme.tokens(F.col(text)),
         lambda tokens: bind(
@@ -106,7 +111,7 @@ def term_frequency(df: DataFrame, key: str, text: str, scheme: Scheme = DOCUMENT
             ),
         ),
     )
-    return df.select(key, F.inline(counted)).withColumn(
+    return df.select(key, *carry, F.inline(counted)).withColumn(
         "tf", scheme.tf(F.col("n_term"), F.col("n_tokens"))
     )
 
@@ -136,8 +141,7 @@ def domain_terms(df: DataFrame, domain: str, key: str, text: str) -> DataFrame:
     """Document frequency per (domain, term). A document has one domain, so sums of
     these rows give the frequencies of any choice of domains."""
     return (
-        term_frequency(df, key, text)
-        .join(df.select(key, domain), key)
+        term_frequency(df, key, text, carry=(domain,))
         .groupBy(domain, "term")
         .agg(F.count(F.lit(1)).alias("df"))
     )

@@ -40,6 +40,8 @@ SLACK = 1e-6
 # Largest broadcast (query words) and largest number of steps for scoring in place.
 IN_PLACE_WORDS = 1_000_000
 IN_PLACE_STEPS = 10**12
+# Most hits (ids, score, rank: some 40 bytes) that are broadcast to fetch their records.
+BROADCAST_HITS = 1_000_000
 
 
 def known_words(vectors: DataFrame, index: Index) -> DataFrame:
@@ -234,10 +236,19 @@ def cosine_scores(
 
 
 def with_records(
-    hits: DataFrame, records: DataFrame, doc_id: str, columns: list[str]
+    hits: DataFrame, records: DataFrame, doc_id: str, columns: list[str],
+    broadcast_rows: int = BROADCAST_HITS,
 ) -> DataFrame:
-    """Attach record columns to hits; hits without a record are dropped."""
-    return hits.join(records.select(doc_id, *[c for c in columns if c != doc_id]), doc_id)
+    """Attach record columns to hits; hits without a record are dropped.
+
+    Hits are few next to the corpus, but planned side by side Spark would start to shuffle
+    the corpus' text before it knows. So hits are written and counted first, and
+    broadcast if they are within ``broadcast_rows``: the text is scanned once, in place.
+    """
+    hits = write_once("hits", hits)
+    side = F.broadcast(hits) if hits.count() <= broadcast_rows else hits
+    wanted = records.select(doc_id, *[c for c in columns if c != doc_id])
+    return wanted.join(side, doc_id)
 
 
 def in_domains(corpus: DataFrame, domain: str, chosen: list[str]) -> DataFrame:
