@@ -41,7 +41,7 @@ SHARD_ROWS = 1_000_000
 # Levels of prefix norms, two per halving; smaller ones share the last level.
 LEVELS = 12
 # Postings per bucket aimed at, and Spark's own limit on buckets.
-BUCKET_ROWS = 10_000_000
+BUCKET_ROWS = 5_000_000
 MAX_BUCKETS = 100_000
 
 
@@ -85,6 +85,7 @@ class Index:
     scheme: Scheme
     terms: DataFrame
     postings: DataFrame
+    buckets: int
 
 
 def doc_tokens(df: DataFrame, key: str, text: str, scheme: Scheme = DOCUMENT) -> DataFrame:
@@ -236,7 +237,7 @@ def build_index(
         lambda: unit_postings(weigh(tf, terms, hot_terms), doc_id, buckets),
         bucket_by=doc_id, buckets=buckets,
     )
-    return Index(corpus, doc_id, text, scheme, terms, postings)
+    return Index(corpus, doc_id, text, scheme, terms, postings, buckets)
 
 
 def query_vectors(

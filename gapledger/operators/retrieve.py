@@ -1,12 +1,13 @@
 """Cosine top-k of many queries against an index, in one of two exact ways.
 
 *In place.* The query words are broadcast, each document's score is summed up in the
-bucket where its postings lie, and a task passes on its best k per query. One scan of
-the index, no join by word and so no word too frequent for a task, and no (query,
-document) pair is shuffled. The work is one step per posting of a query word, per query
-holding it; it is counted beforehand, and so is the size of what is broadcast.
+bucket where its postings lie, and a task passes on its best k per query. No join by
+word, so no word is too frequent for a task, and no (query, document) pair is shuffled.
+The work is one step per posting of a query word, per query holding it. Words and steps
+are counted beforehand; queries are cut into as many blocks as keep each broadcast and
+each task within ``Limits``, and each block scans the index once.
 
-*Pruned.* For more queries than that, pairs that cannot reach a query's best k are left out
+*Pruned.* For more blocks than that, pairs that cannot reach a query's best k are left out
 before they are made:
 
 1. Each query word's k strongest postings give every query a k-th best score so far,
@@ -25,6 +26,9 @@ of the join key; frequent words are cut into shards, so that no key holds more t
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -37,23 +41,34 @@ from gapledger.sources.shared import write_once
 SCORE_DIGITS = 9
 # Keeps candidates whose score may still round up to the floor.
 SLACK = 1e-6
-# Largest broadcast (query words) and largest number of steps for scoring in place.
-IN_PLACE_WORDS = 1_000_000
-IN_PLACE_STEPS = 10**12
 # Most hits (ids, score, rank: some 40 bytes) that are broadcast to fetch their records.
 BROADCAST_HITS = 1_000_000
 
 
+@dataclass(frozen=True)
+class Limits:
+    """Bounds on scoring in place: query words per broadcast, steps per task, scans."""
+
+    words: int = 1_000_000
+    steps: int = 100_000_000
+    blocks: int = 32
+
+
+LIMITS = Limits()
+
+
 def known_words(vectors: DataFrame, index: Index) -> DataFrame:
     """Query words that the corpus holds and that can score, with df and shard count."""
     terms = index.terms.where(F.col("idf") > 0).select("term", "df", "shards")
     return vectors.withColumnRenamed("unit", "query_unit").join(terms, "term")
 
 
-def fits_in_place(known: DataFrame, words: int, steps: int) -> bool:
-    """Whether the query words may be broadcast and scored in place; two numbers are fetched."""
+def blocks_needed(known: DataFrame, index: Index, limits: Limits) -> int:
+    """Blocks of queries for scoring in place; two numbers are fetched."""
     size = known.agg(F.count(F.lit(1)).alias("words"), F.sum("df").alias("steps")).first()
-    return size["words"] <= words and (size["steps"] or 0) <= steps
+    by_words = -(-size["words"] // limits.words)
+    by_steps = -(-(size["steps"] or 0) // (limits.steps * index.buckets))
+    return max(1, by_words, by_steps)
 
 
 def _hits(index: Index) -> DataFrame:
@@ -72,6 +87,15 @@ def scored_in_place(known: DataFrame, index: Index, query_id: str) -> DataFrame:
     )
 
 
+def query_blocks(known: DataFrame, query_id: str, blocks: int) -> list[DataFrame]:
+    """The query words in ``blocks`` parts; a query's words stay together."""
+    if blocks == 1:
+        return [known]
+    known = write_once("query-words", known)
+    block = F.pmod(F.xxhash64(query_id), F.lit(blocks))
+    return [known.where(block == i) for i in range(blocks)]
+
+
 def kth_best(known: DataFrame, index: Index, query_id: str, k: int) -> DataFrame:
     """A score that at least k documents of each query reach; no row if fewer are known.
 
@@ -182,8 +206,7 @@ def retrieve(
     k: int = C.DEFAULT_K,
     pad: bool = True,
     binary: bool = False,
-    in_place_words: int = IN_PLACE_WORDS,
-    in_place_steps: int = IN_PLACE_STEPS,
+    limits: Limits = LIMITS,
 ) -> DataFrame:
     """The k best documents of every query: query id, document id, score, rank.
 
@@ -192,14 +215,20 @@ def retrieve(
     """
     vectors = query_vectors(queries, query_id, text, index.scheme, binary)
     known = known_words(vectors, index)
-    if fits_in_place(known, in_place_words, in_place_steps):
-        scored = scored_in_place(known, index, query_id)
+    blocks = blocks_needed(known, index, limits)
+    if blocks <= limits.blocks:
+        scored = [
+            scored_in_place(part, index, query_id)
+            for part in query_blocks(known, query_id, blocks)
+        ]
     else:
         known = write_once("query-words", known)
         floor = kth_best(known, index, query_id, k)
         pairs = candidates(known, index, query_id, floor)
-        scored = scored_pairs(pairs, known, index, query_id)
-    best = best_k(scored, query_id, index.doc_id, k)
+        scored = [scored_pairs(pairs, known, index, query_id)]
+    best = reduce(
+        DataFrame.unionByName, [best_k(part, query_id, index.doc_id, k) for part in scored]
+    )
     if not pad:
         return best
     # A query with k matches ranks them before any of its k stand-ins; a query with
@@ -220,14 +249,17 @@ def cosine_scores(
     text: str,
     min_score: float = C.YELLOW_ABOVE,
     binary: bool = False,
-    in_place_words: int = IN_PLACE_WORDS,
-    in_place_steps: int = IN_PLACE_STEPS,
+    limits: Limits = LIMITS,
 ) -> DataFrame:
     """Every (query, document) that scores at least ``min_score`` (0 leaves out only zeros)."""
     vectors = query_vectors(queries, query_id, text, index.scheme, binary)
     known = known_words(vectors, index)
-    if fits_in_place(known, in_place_words, in_place_steps):
-        scored = scored_in_place(known, index, query_id)
+    blocks = blocks_needed(known, index, limits)
+    if blocks <= limits.blocks:
+        parts = query_blocks(known, query_id, blocks)
+        scored = reduce(
+            DataFrame.unionByName, [scored_in_place(part, index, query_id) for part in parts]
+        )
     else:
         known = write_once("query-words", known)
         pairs = candidates(known, index, query_id, min_score)

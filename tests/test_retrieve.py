@@ -7,6 +7,8 @@ import brute
 from gapledger.operators import index as I
 from gapledger.operators import retrieve as R
 
+BLOCKS = R.Limits(words=60)
+PRUNED = R.Limits(blocks=0)
 TINY = {1: "alpha beta", 2: "alpha gamma"}
 
 
@@ -77,12 +79,11 @@ def test_one_document_scores_zero(spark):
 
 
 @pytest.mark.parametrize("binary", [False, True])
-@pytest.mark.parametrize("way", ["in_place", "pruned"])
-def test_both_ways_equal_brute_force(spark, way, binary):
+@pytest.mark.parametrize("limits", [R.LIMITS, BLOCKS, PRUNED])
+def test_all_ways_equal_brute_force(spark, limits, binary):
     docs, queries = skewed(120, 25, 3)
     index = make_index(spark, docs, hot_terms=20, shard_rows=7)
-    limit = {} if way == "in_place" else {"in_place_words": 0}
-    found = run(index, make_queries(spark, queries), 5, binary=binary, **limit)
+    found = run(index, make_queries(spark, queries), 5, binary=binary, limits=limits)
     same(found, brute.top_k(docs, queries, 5, binary))
 
 
@@ -102,12 +103,12 @@ def test_hot_terms_and_shards(spark):
 
 
 @pytest.mark.parametrize("least", [0.0, 0.3])
-@pytest.mark.parametrize("limit", [{}, {"in_place_steps": 0}])
-def test_scores_above_a_minimum(spark, least, limit):
+@pytest.mark.parametrize("limits", [R.LIMITS, BLOCKS, PRUNED])
+def test_scores_above_a_minimum(spark, least, limits):
     docs, queries = skewed(60, 10, 8)
     index = make_index(spark, docs, shard_rows=5)
     rows = R.cosine_scores(
-        index, make_queries(spark, queries), "query_id", "question", least, **limit
+        index, make_queries(spark, queries), "query_id", "question", least, limits=limits
     ).collect()
     wanted = {
         (q, d): s for q, hits in brute.top_k(docs, queries, 60).items() for d, s in hits
@@ -152,6 +153,22 @@ def test_no_pair_is_shuffled_in_place(spark):
     assert "Bucketed: true" in plan and "Exchange hashpartitioning(query_id" not in plan
 
 
+def test_blocks_follow_words_and_steps(spark):
+    docs, queries = skewed(60, 10, 17)
+    index = make_index(spark, docs)
+    vectors = I.query_vectors(make_queries(spark, queries), "query_id", "question")
+    known = R.known_words(vectors, index)
+    words, steps = known.agg(F.count("*"), F.sum("df")).first()
+    assert R.blocks_needed(known, index, R.LIMITS) == 1
+    assert R.blocks_needed(known, index, R.Limits(words=words - 1)) == 2
+    per_task = -(-steps // (3 * index.buckets))
+    assert R.blocks_needed(known, index, R.Limits(steps=per_task)) == 3
+    parts = R.query_blocks(known, "query_id", 3)
+    ids = [{r.query_id for r in part.select("query_id").distinct().collect()} for part in parts]
+    assert sum(map(len, ids)) == len(set().union(*ids))
+    assert sum(part.count() for part in parts) == words
+
+
 def test_index_is_written_once(spark):
     from gapledger.sources.shared import forget
 
