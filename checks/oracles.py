@@ -267,20 +267,20 @@ SELECT item_id, term, round(n_term / n_tokens, 6) AS weight FROM qtf""",
 SELECT DISTINCT question_id, term, 1.0::DOUBLE AS weight
 FROM ({tokens("questions", "question_id", "question")})""",
     "cosine_scores": f"""{CIRCULAR_RANKING}
-SELECT item_id, doc_id, round(score, 6) AS score FROM scores WHERE score >= {C.YELLOW_ABOVE}""",
+SELECT item_id, doc_id, score FROM scores WHERE score >= {C.YELLOW_ABOVE}""",
     "retrieve_topk": f"""{ranking("benchmark", "item_id", "text", C.PANEL_K, pad=False)}
-SELECT item_id, doc_id, rank, round(score, 6) AS score, lang, source FROM hits JOIN documents USING (doc_id)""",
+SELECT item_id, doc_id, rank, score, lang, source FROM hits JOIN documents USING (doc_id)""",
     "retrieve_topk_padded": f"""{ranking("questions", "question_id", "question", C.DEFAULT_K, before=QUESTIONS + ", ")}
-SELECT question_id, doc_id, rank, round(score, 6) AS score FROM hits""",
+SELECT question_id, doc_id, rank, score FROM hits""",
     "retrieve_domain": f"""{ranking("questions", "question_id", "question", C.CHAT_K, source="chosen", binary=True,
     before=QUESTIONS + ", chosen AS (SELECT * FROM documents WHERE lang IN ('de', 'es')), ")}
-SELECT question_id, doc_id, rank, round(score, 6) AS score, lang FROM hits JOIN chosen USING (doc_id)""",
+SELECT question_id, doc_id, rank, score, lang FROM hits JOIN chosen USING (doc_id)""",
     "domain_idf": f"""WITH chosen AS (SELECT * FROM documents WHERE lang IN ('de', 'es')), {index_ctes("chosen")}
 SELECT term, df, round(idf, 6) AS idf FROM terms""",
     "match_bars": f"""{CIRCULAR_RANKING}
 SELECT item_id, doc_id, rank, {BAR} AS bar_pct, {TIER} AS tier FROM hits""",
     "gap_matches": f"""{CIRCULAR_RANKING}
-SELECT item_id, doc_id, rank, round(score, 6) AS score, {BAR} AS bar_pct, {TIER} AS tier, lang, source
+SELECT item_id, doc_id, rank, score, {BAR} AS bar_pct, {TIER} AS tier, lang, source
 FROM hits JOIN documents USING (doc_id)""",
     "gap_prompt": f"""{CIRCULAR_RANKING}, blocks AS (
 SELECT item_id, string_agg({filled(C.GAP_POLICY_TEMPLATE, id="doc_id", section="source",
@@ -327,7 +327,7 @@ CASE language WHEN 'Hindi' THEN {text(C.DEMO_PREFIX["Hindi"])}
 WHEN 'Marathi' THEN {text(C.DEMO_PREFIX["Marathi"])} ELSE '' END || {TOPIC_ANSWER} AS answer
 FROM routed WHERE length(regexp_replace(question, '{SPACE}+', '', 'g')) > 0""",
     "chat_sources": f"""{CHAT_RANKING}
-SELECT question_id, rank, doc_id, source, n_chars, lang, round(score, 6) AS score
+SELECT question_id, rank, doc_id, source, n_chars, lang, score
 FROM hits JOIN documents USING (doc_id)""",
     "transcript_append": f"""WITH {TRANSCRIPT},
 ends AS (SELECT conv_id, max(turn) AS last_turn FROM transcript GROUP BY conv_id),

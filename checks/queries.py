@@ -53,7 +53,7 @@ from gapledger.sources.bronze import (
     POLICY_SCHEMA,
     table_to_bronze,
 )
-from gapledger.sources.shared import new_folder
+from gapledger.sources.shared import build_once, new_folder
 from gapledger.sources.tables import create_database, read_folder, spread
 from gapledger.streaming.silver_stream import append_stream, stream_files
 
@@ -179,6 +179,11 @@ def silver_circular_chunks(spark, d):
     return silver_circulars(bronze_circulars(spark, d))
 
 
+def silver_table(spark, d):
+    """The silver table that all gold steps read, written once."""
+    return build_once(spark, (d,), "silver", lambda: silver_policy_chunks(spark, d))
+
+
 def _token_totals(df, tokens):
     lengths = F.aggregate(
         F.col(tokens), F.lit(0), lambda total, token: total + F.length(token)
@@ -190,21 +195,21 @@ def _token_totals(df, tokens):
 
 
 def gold_tokens(spark, d):
-    return _token_totals(tokens_only(silver_policy_chunks(spark, d)), "tokens_raw")
+    return _token_totals(tokens_only(silver_table(spark, d)), "tokens_raw")
 
 
 def gold_tokens_stopped(spark, d):
-    return _token_totals(tokens_only(silver_policy_chunks(spark, d)), "tokens")
+    return _token_totals(tokens_only(silver_table(spark, d)), "tokens")
 
 
 def gold_tf_hashed(spark, d):
     return vector_entries(
-        hashed_counts(silver_policy_chunks(spark, d)), "raw_features", "chunk_id"
+        hashed_counts(silver_table(spark, d)), "raw_features", "chunk_id"
     )
 
 
 def gold_tfidf_ml(spark, d):
-    silver = silver_policy_chunks(spark, d)
+    silver = silver_table(spark, d)
     vectors = fit_gold(silver).transform(silver)
     return vector_entries(vectors, "tfidf_features", "chunk_id").withColumn(
         "weight", F.round("weight", 6)
@@ -212,19 +217,19 @@ def gold_tfidf_ml(spark, d):
 
 
 def _gold_counts(spark, d):
-    return term_frequency(silver_policy_chunks(spark, d), "chunk_id", "chunk_text", CHUNK)
+    return term_frequency(silver_table(spark, d), "chunk_id", "chunk_text", CHUNK)
 
 
 def gold_idf(spark, d):
     terms = term_table(
-        _gold_counts(spark, d), corpus_size(silver_policy_chunks(spark, d)), CHUNK
+        _gold_counts(spark, d), corpus_size(silver_table(spark, d)), CHUNK
     )
     return terms.select("term", "df", F.round("idf", 6).alias("idf"))
 
 
 def gold_tfidf_exact(spark, d):
     index = build_index(
-        silver_policy_chunks(spark, d), "chunk_id", "chunk_text", (d, "chunks"), CHUNK
+        silver_table(spark, d), "chunk_id", "chunk_text", (d, "chunks"), CHUNK
     )
     return index.postings.select("chunk_id", "term", F.round("weight", 6).alias("weight"))
 
@@ -273,7 +278,7 @@ def query_vectors_binary(spark, d):
 
 def cosine_scores_query(spark, d):
     scores = cosine_scores(document_index(spark, d), circulars(spark, d), "item_id", "text")
-    return scores.select("item_id", "doc_id", F.round("score", 6).alias("score"))
+    return scores.select("item_id", "doc_id", "score")
 
 
 def _records(spark, d, hits, *columns):
@@ -285,7 +290,7 @@ def retrieve_topk(spark, d):
         document_index(spark, d), circulars(spark, d), "item_id", "text", C.PANEL_K, pad=False
     )
     return _records(spark, d, hits, "lang", "source").select(
-        "item_id", "doc_id", "rank", F.round("score", 6).alias("score"), "lang", "source"
+        "item_id", "doc_id", "rank", "score", "lang", "source"
     )
 
 
@@ -293,7 +298,7 @@ def retrieve_topk_padded(spark, d):
     hits = retrieve(
         document_index(spark, d), questions(spark, d), "question_id", "question", C.DEFAULT_K
     )
-    return hits.select("question_id", "doc_id", "rank", F.round("score", 6).alias("score"))
+    return hits.select("question_id", "doc_id", "rank", "score")
 
 
 def retrieve_domain(spark, d):
@@ -302,7 +307,7 @@ def retrieve_domain(spark, d):
         ["lang"], binary=True,
     )
     return hits.select(
-        "question_id", "doc_id", "rank", F.round("score", 6).alias("score"), "lang"
+        "question_id", "doc_id", "rank", "score", "lang"
     )
 
 
@@ -330,7 +335,7 @@ def gap_matches_query(spark, d):
         document_index(spark, d), circulars(spark, d), "item_id", "text", ["lang", "source"]
     )
     return matches.select(
-        "item_id", "doc_id", "rank", F.round("score", 6).alias("score"),
+        "item_id", "doc_id", "rank", "score",
         "bar_pct", "tier", "lang", "source",
     )
 
@@ -447,7 +452,7 @@ def chat_sources(spark, d):
     hits = chat_hits(
         document_index(spark, d), questions(spark, d), "question_id", "question",
         ["lang", "source", "n_chars"],
-    ).withColumn("score", F.round("score", 6))
+    )
     return Q.sources(hits, "question_id", ["doc_id", "source", "n_chars", "lang"])
 
 
@@ -511,14 +516,15 @@ def directive_blocks_query(spark, d):
 
 def stream_silver(spark, d):
     """The documents file as a stream; what it appended, read back."""
-    schema = read_folder(spark, d, "documents").schema
+    present = read_folder(spark, d, "documents")
     out, checkpoint = new_folder(spark, "stream"), new_folder(spark, "stream-state")
 
     def chunks(rows):
         text = sentence_chunks(clean_text(F.col("text")))
         return chunk_rows(rows, ["doc_id", "lang"], text, C.POLICY_TAG)
 
-    rows = stream_files(spark, f"{d}/documents*.parquet", schema)
+    rows = stream_files(spark, f"{d}/documents*.parquet", present.schema)
+    rows = spread(rows.select("doc_id", "lang", "text"), "doc_id", present)
     append_stream(rows, chunks, out, checkpoint).awaitTermination()
     return spark.read.parquet(out)
 

@@ -3,6 +3,7 @@ import pytest
 import __spark_entry__ as entry
 from checks.compare import difference, duck
 from checks.queries import QUERIES
+from plan import explained
 
 ORACLES = entry.oracle_sql()
 
@@ -20,7 +21,11 @@ def test_contract(spark):
 
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_its_twin(spark, con, small, name):
-    actual = QUERIES[name](spark, small).toPandas()
+    df = QUERIES[name](spark, small)
+    plan = explained(df)
+    assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
+    assert "BatchEvalPython" not in plan
+    actual = df.toPandas()
     assert difference(actual, con.execute(ORACLES[name]).df()) is None
 
 

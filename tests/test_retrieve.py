@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import brute
+from plan import explained
 from gapledger.operators import index as I
 from gapledger.operators import retrieve as R
 
@@ -149,7 +150,7 @@ def test_no_pair_is_shuffled_in_place(spark):
     queries = make_queries(spark, {"q": "beta"})
     vectors = I.query_vectors(queries, "query_id", "question")
     known = R.known_words(vectors, index)
-    plan = R.scored_in_place(known, index, "query_id")._jdf.queryExecution().executedPlan().toString()
+    plan = explained(R.scored_in_place(known, index, "query_id"))
     assert "Bucketed: true" in plan and "Exchange hashpartitioning(query_id" not in plan
 
 
