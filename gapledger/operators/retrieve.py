@@ -164,7 +164,10 @@ def candidates(
 def scored_pairs(
     pairs: DataFrame, known: DataFrame, index: Index, query_id: str
 ) -> DataFrame:
-    """Full scores of the given pairs."""
+    """Full scores of the given pairs.
+
+    The join by (document, word) meets one posting per key, so no key is heavy on that side.
+    """
     share = F.col("query_unit") * F.col("unit")
     return (
         pairs.join(known.select(query_id, "term", "query_unit"), query_id)
