@@ -91,7 +91,6 @@ def query_blocks(known: DataFrame, query_id: str, blocks: int) -> list[DataFrame
     """The query words in ``blocks`` parts; a query's words stay together."""
     if blocks == 1:
         return [known]
-    known = write_once("query-words", known)
     block = F.pmod(F.xxhash64(query_id), F.lit(blocks))
     return [known.where(block == i) for i in range(blocks)]
 
@@ -217,7 +216,8 @@ def retrieve(
     even a blank one, gets min(k, corpus size) rows.
     """
     vectors = query_vectors(queries, query_id, text, index.scheme, binary)
-    known = known_words(vectors, index)
+    # Read by the count below and by every block or pruning step.
+    known = write_once("query-words", known_words(vectors, index))
     blocks = blocks_needed(known, index, limits)
     if blocks <= limits.blocks:
         scored = [
@@ -225,7 +225,6 @@ def retrieve(
             for part in query_blocks(known, query_id, blocks)
         ]
     else:
-        known = write_once("query-words", known)
         floor = kth_best(known, index, query_id, k)
         pairs = candidates(known, index, query_id, floor)
         scored = [scored_pairs(pairs, known, index, query_id)]
@@ -256,7 +255,8 @@ def cosine_scores(
 ) -> DataFrame:
     """Every (query, document) that scores at least ``min_score`` (0 leaves out only zeros)."""
     vectors = query_vectors(queries, query_id, text, index.scheme, binary)
-    known = known_words(vectors, index)
+    # Read by the count below and by every block or pruning step.
+    known = write_once("query-words", known_words(vectors, index))
     blocks = blocks_needed(known, index, limits)
     if blocks <= limits.blocks:
         parts = query_blocks(known, query_id, blocks)
@@ -264,7 +264,6 @@ def cosine_scores(
             DataFrame.unionByName, [scored_in_place(part, index, query_id) for part in parts]
         )
     else:
-        known = write_once("query-words", known)
         pairs = candidates(known, index, query_id, min_score)
         scored = scored_pairs(pairs, known, index, query_id)
     return scored.where(F.col("score") >= min_score)
