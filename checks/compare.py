@@ -11,13 +11,18 @@ from pathlib import Path
 
 import duckdb
 import pandas as pd
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents embeddings "
     "pages benchmark labels conversations"
 ).split()
 
+SPARK_TYPES = {
+    "INTEGER": "int", "BIGINT": "bigint", "VARCHAR": "string",
+    "DOUBLE": "double", "BOOLEAN": "boolean",
+}
+
 
 def local_session(cores: str = "8") -> SparkSession:
     spark = (
@@ -56,6 +61,14 @@ def _rows(frame: pd.DataFrame) -> list[tuple]:
     return sorted(tuple(plain(v) for v in row) for row in frame.itertuples(index=False))
 
 
+def type_difference(df: DataFrame, con: duckdb.DuckDBPyConnection, sql: str) -> list[tuple]:
+    """Columns whose types are not the counterparts of each other."""
+    described = con.execute("DESCRIBE " + sql).fetchall()
+    expected = sorted((name, SPARK_TYPES.get(kind, kind)) for name, kind, *_ in described)
+    actual = sorted((f.name, f.dataType.simpleString()) for f in df.schema.fields)
+    return [pair for pair in zip(actual, expected) if pair[0] != pair[1]]
+
+
 def difference(actual: pd.DataFrame, expected: pd.DataFrame) -> str | None:
     if sorted(actual.columns) != sorted(expected.columns):
         return f"columns {sorted(actual.columns)} != {sorted(expected.columns)}"

@@ -44,7 +44,7 @@ def sentences(column: str) -> str:
 def chunks(source: str, key: str, column: str) -> str:
     """(key, chunk_index, chunk_text) rows."""
     return (
-        f"SELECT key, i - 1 AS chunk_index, parts[i] AS chunk_text FROM ("
+        f"SELECT key, (i - 1)::INT AS chunk_index, parts[i] AS chunk_text FROM ("
         f"SELECT key, parts, unnest(range(1, len(parts) + 1)) AS i FROM ("
         f"SELECT {key} AS key, {sentences('t')} AS parts FROM ("
         f"SELECT {key}, {clean(column)} AS t FROM {source})))"
@@ -114,7 +114,7 @@ scores AS (
 hits AS (
   SELECT * FROM (
     SELECT {query_id}, doc_id, score,
-           row_number() OVER (PARTITION BY {query_id} ORDER BY score DESC, doc_id) AS rank
+           CAST(row_number() OVER (PARTITION BY {query_id} ORDER BY score DESC, doc_id) AS INT) AS rank
     FROM scores {"" if pad else "WHERE score > 0"})
   WHERE rank <= {k})
 """
@@ -205,7 +205,7 @@ bucketed AS (SELECT chunk_id, bucket, sum(n_term)::DOUBLE AS n FROM tf JOIN hash
 
 
 def token_totals(stop=()) -> str:
-    return f"""SELECT chunk_id, len(t) AS n_tokens, coalesce(list_sum([length(x) for x in t]), 0)::INT AS n_chars,
+    return f"""SELECT chunk_id, len(t)::INT AS n_tokens, coalesce(list_sum([length(x) for x in t]), 0)::INT AS n_chars,
 array_to_string(t, ' ') AS tokens
 FROM (SELECT key || '_' || chunk_index AS chunk_id, {ascii_list("chunk_text", stop)} AS t FROM ({POLICY_CHUNKS}))"""
 
@@ -234,7 +234,7 @@ SELECT '{C.CIRCULAR_TAG}', key || '_' || chunk_index, chunk_text FROM ({chunks("
 left(text, {C.PREVIEW_CHARS}) || '...' AS preview FROM benchmark""",
     "silver_clean_text": f"SELECT doc_id, {clean('text')} AS cleaned_text FROM documents",
     "silver_clean_html": f"SELECT page_id, {clean('html')} AS cleaned_text FROM pages",
-    "chunk_fallback": f"""SELECT conv_id, turn, len(parts) AS n_chunks, parts[1] = text AS is_whole
+    "chunk_fallback": f"""SELECT conv_id, turn, len(parts)::INT AS n_chunks, parts[1] = text AS is_whole
 FROM (SELECT conv_id, turn, text, {sentences('text')} AS parts FROM conversations)""",
     "silver_policy_chunks": f"""SELECT key::VARCHAR AS policy_id, lang AS domain, source AS section,
 source || '/' || key AS title, chunk_index, chunk_text, key || '_' || chunk_index AS chunk_id,
@@ -299,7 +299,7 @@ FROM gaps LEFT JOIN documents USING (doc_id)""",
     "report_sections": f"""SELECT doc_id, section_index, grade,
 CASE grade WHEN 'plain' THEN section ELSE replace(section, chr(10), '<br>') END AS markup
 FROM (SELECT *, {GRADE} AS grade FROM (
-  SELECT doc_id, i - 1 AS section_index, parts[i] AS section FROM (
+  SELECT doc_id, (i - 1)::INT AS section_index, parts[i] AS section FROM (
     SELECT doc_id, parts, unnest(range(1, len(parts) + 1)) AS i FROM (
       SELECT doc_id, string_split(replace(text, chr(10), chr(10) || chr(10)), chr(10) || chr(10)) AS parts
       FROM documents))))

@@ -1,7 +1,7 @@
 import pytest
 
 import __spark_entry__ as entry
-from checks.compare import difference, duck
+from checks.compare import difference, duck, type_difference
 from checks.queries import QUERIES
 from plan import explained
 
@@ -22,6 +22,7 @@ def test_contract(spark):
 @pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_equals_its_twin(spark, con, small, name):
     df = QUERIES[name](spark, small)
+    assert type_difference(df, con, ORACLES[name]) == []
     plan = explained(df)
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
     assert "BatchEvalPython" not in plan
