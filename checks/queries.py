@@ -22,7 +22,6 @@ from gapledger.operators.index import (
     Index,
     build_index,
     corpus_size,
-    doc_frequency,
     doc_norms,
     doc_tokens,
     domain_terms,
