@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from gapledger.llm.bpe import encode_documents
+from gapledger.llm.langid import identify_held_out
 from gapledger.llm.packing import pack_documents
+from gapledger.llm.toxicity import score_held_out
 
 
 def vocabulary(name: str = "word_bpe_49k.json") -> str:
@@ -29,9 +31,19 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(read(spark, sf_dir, "documents"), vocabulary())
 
 
+def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return identify_held_out(read(spark, sf_dir, "documents"))
+
+
+def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_held_out(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_bpe": op2_bpe,
+    "op4_language": op4_language,
+    "op6_toxicity": op6_toxicity,
 }
 
 ORACLES: dict[str, str] = {}
