@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from gapledger.llm.bpe import encode_documents
 from gapledger.llm.langid import identify_held_out
 from gapledger.llm.packing import pack_documents
+from gapledger.llm.topk import search_embeddings
 from gapledger.llm.toxicity import score_held_out
 
 
@@ -35,6 +36,10 @@ def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_held_out(read(spark, sf_dir, "documents"))
 
 
+def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return search_embeddings(read(spark, sf_dir, "embeddings"))
+
+
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_held_out(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
@@ -43,7 +48,24 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_bpe": op2_bpe,
     "op4_language": op4_language,
+    "op5_topk": op5_topk,
     "op6_toxicity": op6_toxicity,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op5_topk": """
+        WITH v AS (
+            SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
+            FROM embeddings
+            WHERE embedding IS NOT NULL AND vec_id IS NOT NULL
+              AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+        ), s AS (
+            SELECT q.vec_id AS query_id, c.vec_id,
+                   CAST(list_inner_product(CAST(q.e AS DOUBLE[]), CAST(c.e AS DOUBLE[])) AS BIGINT) AS score
+            FROM v q JOIN v c ON q.vec_id % 50 = 0 AND c.vec_id <> q.vec_id
+        ), r AS (
+            SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS INTEGER) AS rank FROM s
+        )
+        SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
+    """,
+}
