@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from gapledger.llm.bpe import encode_documents
+from gapledger.llm.fingerprint import fingerprints
 from gapledger.llm.langid import identify_held_out
 from gapledger.llm.packing import pack_documents
 from gapledger.llm.topk import search_embeddings
@@ -32,6 +33,10 @@ def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encode_documents(read(spark, sf_dir, "documents"), vocabulary())
 
 
+def op3_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints(read(spark, sf_dir, "documents"))
+
+
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     return identify_held_out(read(spark, sf_dir, "documents"))
 
@@ -47,6 +52,7 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_bpe": op2_bpe,
+    "op3_fingerprint": op3_fingerprint,
     "op4_language": op4_language,
     "op5_topk": op5_topk,
     "op6_toxicity": op6_toxicity,
