@@ -12,6 +12,7 @@ from gapledger.llm.langid import identify_held_out
 from gapledger.llm.packing import pack_documents
 from gapledger.llm.topk import search_embeddings
 from gapledger.llm.toxicity import score_held_out
+from gapledger.llm.warc import archive_and_read
 
 
 def vocabulary(name: str = "word_bpe_49k.json") -> str:
@@ -49,6 +50,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_held_out(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return archive_and_read(spark, read(spark, sf_dir, "pages"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_bpe": op2_bpe,
@@ -56,6 +61,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_language": op4_language,
     "op5_topk": op5_topk,
     "op6_toxicity": op6_toxicity,
+    "op8_warc": op8_warc,
 }
 
 ORACLES: dict[str, str] = {
