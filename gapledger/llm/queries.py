@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from gapledger.llm.bpe import encode_documents
 from gapledger.llm.fingerprint import fingerprints
 from gapledger.llm.langid import identify_held_out
+from gapledger.llm.neardup import near_duplicates
 from gapledger.llm.packing import pack_documents
 from gapledger.llm.topk import search_embeddings
 from gapledger.llm.toxicity import score_held_out
@@ -50,6 +51,10 @@ def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_held_out(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
+def op7_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(read(spark, sf_dir, "documents"))
+
+
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_and_read(spark, read(spark, sf_dir, "pages"))
 
@@ -61,6 +66,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_language": op4_language,
     "op5_topk": op5_topk,
     "op6_toxicity": op6_toxicity,
+    "op7_bagminhash": op7_bagminhash,
     "op8_warc": op8_warc,
 }
 
