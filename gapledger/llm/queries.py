@@ -11,6 +11,7 @@ from gapledger.llm.fingerprint import fingerprints
 from gapledger.llm.langid import identify_held_out
 from gapledger.llm.neardup import near_duplicates
 from gapledger.llm.packing import pack_documents
+from gapledger.llm.substrings import remove_repeats
 from gapledger.llm.topk import search_embeddings
 from gapledger.llm.toxicity import score_held_out
 from gapledger.llm.warc import archive_and_read
@@ -59,6 +60,10 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_and_read(spark, read(spark, sf_dir, "pages"))
 
 
+def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return remove_repeats(read(spark, sf_dir, "documents"), texts=False)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_bpe": op2_bpe,
@@ -68,9 +73,30 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_toxicity": op6_toxicity,
     "op7_bagminhash": op7_bagminhash,
     "op8_warc": op8_warc,
+    "op10_substrings": op10_substrings,
 }
 
 ORACLES: dict[str, str] = {
+    "op10_substrings": r"""
+        WITH w AS (
+            SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
+            FROM documents
+        ), s AS (
+            SELECT doc_id, ws, unnest(range(1, greatest(len(ws) - 11, 1))) AS i FROM w
+        ), k AS (
+            SELECT doc_id, i, array_to_string(ws[i:i + 12], ' ') AS k FROM s
+        ), f AS (
+            SELECT doc_id, i, min(doc_id) OVER (PARTITION BY k) < doc_id AS known FROM k
+        ), g AS (
+            SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS i FROM f WHERE known
+        ), n AS (
+            SELECT doc_id, list(i) AS gone FROM g GROUP BY doc_id
+        )
+        SELECT doc_id, CAST(len(ws) AS BIGINT) AS n_words, CAST(coalesce(len(gone), 0) AS BIGINT) AS n_removed,
+               sha256(CASE WHEN gone IS NULL THEN array_to_string(ws, ' ') ELSE coalesce(array_to_string(
+                   [ws[j] for j in range(1, len(ws) + 1) if NOT list_contains(gone, j)], ' '), '') END) AS kept_sha256
+        FROM w LEFT JOIN n USING (doc_id)
+    """,
     "op5_topk": """
         WITH v AS (
             SELECT vec_id, list_transform(embedding, lambda x: CAST(floor(256 * CAST(x AS DOUBLE)) AS BIGINT)) AS e
