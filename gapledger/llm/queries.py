@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from gapledger.llm import lmscore
 from gapledger.llm.bpe import encode_documents
 from gapledger.llm.fingerprint import fingerprints
 from gapledger.llm.langid import identify_held_out
@@ -60,6 +61,10 @@ def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return archive_and_read(spark, read(spark, sf_dir, "pages"))
 
 
+def op9_lmscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lmscore.score_held_out(read(spark, sf_dir, "documents"))
+
+
 def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return remove_repeats(read(spark, sf_dir, "documents"), texts=False)
 
@@ -73,6 +78,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_toxicity": op6_toxicity,
     "op7_bagminhash": op7_bagminhash,
     "op8_warc": op8_warc,
+    "op9_lmscore": op9_lmscore,
     "op10_substrings": op10_substrings,
 }
 
