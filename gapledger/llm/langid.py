@@ -43,7 +43,8 @@ def _letter_table() -> np.ndarray:
 
 def subwords(texts: list[str]) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """(start of each text, bucket at each character) for lengths 2, 3 and 4; BUCKETS where there is none."""
-    joined = "\n".join(texts) + "\n\n\n\n"
+    # the edge before a text belongs to it, so an empty text has no subwords
+    joined = "".join("\n" + t for t in texts) + "\n\n\n\n"
     codes = np.frombuffer(joined.encode("utf-32-le", "replace"), "<u4")
     sizes = np.fromiter((len(t) + 1 for t in texts), np.int64, len(texts))
     starts = np.cumsum(sizes) - sizes
@@ -99,7 +100,7 @@ class LanguageModel:
     def predict(self, texts: list[str]) -> tuple[list[str], np.ndarray, np.ndarray]:
         """Language, confidence and acceptance of each text."""
         if not self.languages or not texts:
-            return [UNKNOWN] * len(texts), np.zeros(len(texts)), np.zeros(len(texts), bool)
+            return [UNKNOWN] * len(texts), np.zeros(len(texts)), np.array([any(map(str.isalpha, t)) for t in texts], bool)
         sums, count, seen = self.totals(texts)
         logits = sums / np.maximum(count, 1)[:, None] + self.bias
         p = softmax(logits / self.temperature)
@@ -149,7 +150,8 @@ def fit(docs: DataFrame, lang_column: str = "lang", max_rows: int = MAX_ROWS, se
     """Trains on a sample of the rows of ``docs`` whose text and language are not null.
 
     ``max_rows`` bounds the sample over all languages. Subwords are counted by tasks; the driver
-    gets their counts and trains. Without rows the model knows no language and rejects all.
+    gets their counts and trains. Without rows the model knows no
+    language and rejects only texts without letters.
     """
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -266,3 +268,14 @@ def identify_held_out(docs: DataFrame, max_rows: int = MAX_ROWS) -> DataFrame:
     model = fit(docs.filter(~held), max_rows=max_rows)
     found = identify(docs, model)
     return found.select("doc_id", held.alias("held_out"), "lang_pred", "score", "accepted")
+
+
+def keep_accepted(docs: DataFrame, model: LanguageModel) -> DataFrame:
+    """The rows of ``docs`` whose text the model accepts, with all their columns."""
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            good = model.predict([t or "" for t in b.column("text").to_pylist()])[2]
+            yield b.filter(pa.array(good, pa.bool_()))
+
+    return docs.mapInArrow(kept, docs.schema)

@@ -271,3 +271,15 @@ def score_held_out(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS)
     held: Column = crc_mod(F.col("doc_id"), 4) == 2
     model = fit(docs.filter(~held), labels, max_rows)
     return score(docs, model).select("doc_id", held.alias("held_out"), "score", "predicted")
+
+
+def keep_clean(docs: DataFrame, model: ToxicityModel, threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` whose score lies below ``threshold``, with all their columns."""
+
+    def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memory = model.memory()
+        for b in batches:
+            s = model.scores([t or "" for t in b.column("text").to_pylist()], memory)
+            yield b.filter(pa.array(s < threshold, pa.bool_()))
+
+    return docs.mapInArrow(kept, docs.schema)
