@@ -25,7 +25,7 @@ from gapledger.llm.frames import crc_mod
 MAX_ROWS = 3_000
 BUCKETS = 1 << 17
 DIM = 16
-EPOCHS = 6
+EPOCHS, LEAST_STEPS = 6, 1_000
 UNKNOWN = "und"
 #: Share of held-back texts that rejection may lose.
 LOST = 0.001
@@ -203,9 +203,11 @@ def _train(ids, weights, y, train, classes, seed):
     r = np.random.default_rng(seed)
     embed = r.uniform(-1, 1, (BUCKETS, DIM)).astype(np.float32) / DIM
     out, bias = np.zeros((DIM, classes), np.float32), np.zeros(classes, np.float32)
-    batch, steps = 16, EPOCHS * -(-len(train) // 16)
-    step = 0
-    for _ in range(EPOCHS):
+    batch, step = 16, 0
+    # few rows are seen more often
+    epochs = max(EPOCHS, -(-LEAST_STEPS * batch // len(train)))
+    steps = epochs * -(-len(train) // batch)
+    for _ in range(epochs):
         for some in np.array_split(r.permutation(train), -(-len(train) // batch)):
             rate = 0.5 * (1 - step / steps)
             step += 1
@@ -235,9 +237,9 @@ def _calibrate(model: LanguageModel, ids, weights, y, held, whole) -> None:
     texts = whole[held] & (p.argmax(1) == y[held])
     if texts.any():
         known = np.array([weights[i] @ model.known[ids[i]] for i in held])
-        # never above one half: a text is only rejected if another answer is as likely, or if it is made
-        # of subwords that training has hardly seen
-        model.least_score = float(min(0.5, np.quantile(p.max(1)[texts], LOST)))
+        # below what held-back texts reach, and never above one half: a text is only rejected if another answer
+        # is as likely, or if it is made of subwords that training has hardly seen
+        model.least_score = float(min(0.5, 0.7 * np.quantile(p.max(1)[texts], LOST)))
         model.least_known = float(min(0.5, 0.5 * np.quantile(known[texts], LOST)))
 
 
