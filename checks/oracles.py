@@ -77,8 +77,10 @@ def counted(name: str, key: str, token_sql: str) -> str:
     )
 
 
-def index_ctes(source: str = "documents", key: str = "doc_id", column: str = "text") -> str:
-    return f"""{counted("tf", key, tokens(source, key, column))},
+def index_ctes(
+    source: str = "documents", key: str = "doc_id", column: str = "text", stop=C.INDEX_STOPWORDS
+) -> str:
+    return f"""{counted("tf", key, tokens(source, key, column, stop))},
 terms AS (SELECT term, count(*) AS df, ln((SELECT count(*) FROM {source}) / count(*)) AS idf
           FROM tf GROUP BY term),
 weights AS (SELECT {key}, term, n_term / n_tokens * idf AS weight FROM tf JOIN terms USING (term)),
@@ -95,11 +97,12 @@ QUESTIONS = (
 def ranking(
     queries: str, query_id: str, query_text: str, k: int,
     source: str = "documents", binary: bool = False, pad: bool = True, before: str = "",
+    stop=C.INDEX_STOPWORDS,
 ) -> str:
     """WITH clause ending in hits(query_id, doc_id, score, rank): every document is scored."""
     weight = "1.0" if binary else "n_term / n_tokens"
-    return f"""WITH {before}{index_ctes(source)},
-{counted("qtf", query_id, tokens(queries, query_id, query_text))},
+    return f"""WITH {before}{index_ctes(source, stop=stop)},
+{counted("qtf", query_id, tokens(queries, query_id, query_text, stop))},
 qw AS (SELECT {query_id}, term, {weight} AS weight FROM qtf),
 qnorms AS (SELECT {query_id}, sqrt(sum(weight * weight)) AS norm FROM qw GROUP BY {query_id}),
 dots AS (SELECT {query_id}, doc_id, sum(qw.weight * weights.weight) AS dot
@@ -130,14 +133,16 @@ BAR = (
     f"trunc(score * 100 / greatest(max(score) OVER (PARTITION BY item_id), {C.BAR_FLOOR}))::INT"
 )
 REPLIES = (
-    "replies AS (SELECT conv_id AS item_id, text AS report FROM conversations "
-    "WHERE role = 'assistant' AND turn = 1)"
+    "replies AS (SELECT conv_id AS item_id, arg_max(text, turn) AS report FROM conversations "
+    "WHERE role = 'assistant' GROUP BY conv_id)"
 )
+SUBJECT = "'Subject of circular ' || item_id"
 NO_REPORT = "'No report is on file.'"
 POLICY_CHUNKS = chunks("documents", "doc_id", "text")
+CIRCULAR_CHUNKS = chunks("benchmark", "item_id", "text")
 GOLD_STOP = (*C.ENGLISH_STOPWORDS, *C.BANKING_STOPWORDS)
 GOLD_COUNTS = f"""chunked AS (
-  SELECT key || '_' || chunk_index AS chunk_id, {ascii_list("chunk_text", GOLD_STOP)} AS tokens
+  SELECT key || '_' || chunk_index AS chunk_id, key, {ascii_list("chunk_text", GOLD_STOP)} AS tokens
   FROM ({POLICY_CHUNKS})),
 tf AS (SELECT chunk_id, term, count(*) AS n_term FROM
        (SELECT chunk_id, unnest(tokens) AS term FROM chunked) GROUP BY chunk_id, term),
@@ -167,7 +172,7 @@ TRANSCRIPT = (
 )
 GAPS = (
     "gaps AS (SELECT doc_id, 'Label of ' || doc_id AS gap, quality || '→' || toxic AS change, "
-    "CASE WHEN quality = 0 THEN '🔴 CRITICAL' ELSE '🟠 HIGH' END AS risk FROM labels WHERE toxic = 1)"
+    "CASE WHEN toxic = 1 THEN '🔴 CRITICAL' ELSE '🟠 HIGH' END AS risk FROM labels)"
 )
 
 
@@ -210,6 +215,29 @@ array_to_string(t, ' ') AS tokens
 FROM (SELECT key || '_' || chunk_index AS chunk_id, {ascii_list("chunk_text", stop)} AS t FROM ({POLICY_CHUNKS}))"""
 
 
+GAP_BLOCKS = f"""blocks AS (
+SELECT item_id, string_agg({filled(C.GAP_POLICY_TEMPLATE, id="doc_id", section="source",
+    score="printf('%.4f', score)", text="text")}, '' ORDER BY rank) AS policies
+FROM hits JOIN documents USING (doc_id) WHERE rank <= {C.PROMPT_K} GROUP BY item_id)"""
+GAP_PROMPT = filled(
+    C.GAP_PROMPT_TEMPLATE, ref="'REF/' || item_id", subject=SUBJECT, deadline="'2024-07-01'",
+    text="text", policies="coalesce(policies, '')",
+)
+# What the responder of the checks answers to a prompt that it does not refuse.
+ANSWER = (
+    "('Gap 1: CRITICAL' || chr(10) || 'Digest ' || sha256(prompt) || chr(10) || chr(10) "
+    "|| 'Checked ' || length(prompt) || ' characters')"
+)
+CHAT_PROMPT = filled(
+    C.CHAT_PROMPT_TEMPLATE, context="context", question="question",
+    language="CASE language WHEN 'Hindi' THEN " + text(C.LANGUAGE_REQUEST["Hindi"])
+    + " WHEN 'Marathi' THEN " + text(C.LANGUAGE_REQUEST["Marathi"]) + " ELSE '' END",
+)
+CANNED = (
+    f"CASE language WHEN 'Hindi' THEN {text(C.DEMO_PREFIX['Hindi'])} "
+    f"WHEN 'Marathi' THEN {text(C.DEMO_PREFIX['Marathi'])} ELSE '' END || {TOPIC_ANSWER}"
+)
+
 GRADE = (
     "CASE WHEN contains(upper(section), 'THERE') AND contains(section, 'The') THEN 'critical' "
     "WHEN contains(upper(section), 'TION') AND contains(section, 'On') THEN 'high' ELSE 'plain' END"
@@ -219,17 +247,21 @@ ORACLES: dict[str, str] = {
     "bronze_policies": """SELECT doc_id::VARCHAR AS policy_id, lang AS domain, source AS section,
 source || '/' || doc_id AS title, text AS policy_text, NULL::VARCHAR AS effective_date,
 NULL::VARCHAR AS last_reviewed, 'ACTIVE' AS status, '2024-01-01T00:00:00' AS ingested_at FROM documents""",
-    "bronze_circulars": """SELECT item_id::VARCHAR AS circular_id, 'REF/' || item_id AS circular_ref,
-left(text, 80) AS subject, NULL::VARCHAR AS issued_by, NULL::VARCHAR AS issued_date,
+    "bronze_circulars": f"""SELECT item_id::VARCHAR AS circular_id, 'REF/' || item_id AS circular_ref,
+{SUBJECT} AS subject, NULL::VARCHAR AS issued_by, NULL::VARCHAR AS issued_date,
 NULL::VARCHAR AS effective_date, text AS circular_text, NULL::VARCHAR AS category,
 '2024-07-01' AS compliance_deadline, '2024-01-01T00:00:00' AS ingested_at FROM benchmark""",
-    "medallion_roundtrip": f"""SELECT '{C.POLICY_TAG}' AS source_type, key || '_' || chunk_index AS chunk_id, chunk_text
-FROM ({POLICY_CHUNKS}) UNION ALL
-SELECT '{C.CIRCULAR_TAG}', key || '_' || chunk_index, chunk_text FROM ({chunks("benchmark", "item_id", "text")})""",
+    "medallion_roundtrip": f"""SELECT key::VARCHAR AS policy_id, lang AS domain, source AS section,
+source || '/' || key AS title, chunk_index, chunk_text, key || '_' || chunk_index AS chunk_id,
+'{C.POLICY_TAG}' AS source_type, NULL::VARCHAR AS circular_id, NULL::VARCHAR AS circular_ref,
+NULL::VARCHAR AS subject, NULL::VARCHAR AS category FROM ({POLICY_CHUNKS}) JOIN documents ON key = doc_id
+UNION ALL SELECT NULL, NULL, NULL, NULL, chunk_index, chunk_text, key || '_' || chunk_index,
+'{C.CIRCULAR_TAG}', key::VARCHAR, 'REF/' || key, {SUBJECT}, NULL
+FROM ({chunks("benchmark", "item_id", "text")}) JOIN benchmark ON key = item_id""",
     "kpi_summary": """SELECT (SELECT count(*) FROM documents) AS n_policies,
 (SELECT count(*) FROM benchmark) AS n_circulars,
 (SELECT count(*) FROM benchmark) * least(5, (SELECT count(*) FROM documents)) AS n_matches,
-(SELECT count(*) FROM labels WHERE toxic = 1) AS n_open_gaps, 'Mock' AS provider""",
+(SELECT count(*) FROM labels) AS n_open_gaps, 'Mock' AS provider""",
     "circular_labels": f"""SELECT item_id, item_id || ' — ' || left(text, {C.LABEL_CHARS}) || '...' AS label,
 left(text, {C.PREVIEW_CHARS}) || '...' AS preview FROM benchmark""",
     "silver_clean_text": f"SELECT doc_id, {clean('text')} AS cleaned_text FROM documents",
@@ -240,7 +272,7 @@ FROM (SELECT conv_id, turn, text, {sentences('text')} AS parts FROM conversation
 source || '/' || key AS title, chunk_index, chunk_text, key || '_' || chunk_index AS chunk_id,
 '{C.POLICY_TAG}' AS source_type FROM ({POLICY_CHUNKS}) JOIN documents ON key = doc_id""",
     "silver_circular_chunks": f"""SELECT key::VARCHAR AS circular_id, 'REF/' || key AS circular_ref,
-left(text, 80) AS subject, NULL::VARCHAR AS category, chunk_index, chunk_text,
+{SUBJECT} AS subject, NULL::VARCHAR AS category, chunk_index, chunk_text,
 key || '_' || chunk_index AS chunk_id, '{C.CIRCULAR_TAG}' AS source_type
 FROM ({chunks("benchmark", "item_id", "text")}) JOIN benchmark ON key = item_id""",
     "gold_tokens": token_totals(),
@@ -251,6 +283,18 @@ SELECT chunk_id, bucket, n AS weight FROM bucketed""",
 widths AS (SELECT bucket, ln(((SELECT count(*) FROM chunked) + 1) / (count(*) + 1)) AS idf
            FROM bucketed GROUP BY bucket)
 SELECT chunk_id, bucket, round(n * idf, 6) AS weight FROM bucketed JOIN widths USING (bucket)""",
+    "gold_policies_table": f"""WITH {GOLD_COUNTS}, {hashed_terms("tf")},
+widths AS (SELECT bucket, ln(((SELECT count(*) FROM chunked) + 1) / (count(*) + 1)) AS idf
+           FROM bucketed GROUP BY bucket)
+SELECT chunk_id, bucket, round(n * idf, 6) AS weight, key::VARCHAR AS policy_id, lang AS domain,
+source AS section, source || '/' || key AS title
+FROM bucketed JOIN widths USING (bucket) JOIN chunked USING (chunk_id) JOIN documents ON key = doc_id""",
+    "gold_circulars_table": f"""WITH {GOLD_COUNTS.replace(POLICY_CHUNKS, CIRCULAR_CHUNKS)}, {hashed_terms("tf")},
+widths AS (SELECT bucket, ln(((SELECT count(*) FROM chunked) + 1) / (count(*) + 1)) AS idf
+           FROM bucketed GROUP BY bucket)
+SELECT chunk_id, bucket, round(n * idf, 6) AS weight, key::VARCHAR AS circular_id,
+'REF/' || key AS circular_ref, 'Subject of circular ' || key AS subject
+FROM bucketed JOIN widths USING (bucket) JOIN chunked USING (chunk_id)""",
     "gold_idf": f"WITH {GOLD_COUNTS} SELECT term, df, round(idf, 6) AS idf FROM terms",
     "gold_tfidf_exact": f"""WITH {GOLD_COUNTS}
 SELECT chunk_id, term, round(n_term * idf, 6) AS weight FROM tf JOIN terms USING (term)""",
@@ -282,14 +326,24 @@ SELECT item_id, doc_id, rank, {BAR} AS bar_pct, {TIER} AS tier FROM hits""",
     "gap_matches": f"""{CIRCULAR_RANKING}
 SELECT item_id, doc_id, rank, score, {BAR} AS bar_pct, {TIER} AS tier, lang, source
 FROM hits JOIN documents USING (doc_id)""",
-    "gap_prompt": f"""{CIRCULAR_RANKING}, blocks AS (
-SELECT item_id, string_agg({filled(C.GAP_POLICY_TEMPLATE, id="doc_id", section="source",
-    score="printf('%.4f', score)", text="text")}, '' ORDER BY rank) AS policies
-FROM hits JOIN documents USING (doc_id) WHERE rank <= {C.PROMPT_K} GROUP BY item_id)
-SELECT item_id, {filled(C.GAP_PROMPT_TEMPLATE, ref="'REF/' || item_id", subject="left(text, 80)",
-    deadline="'2024-07-01'", text="text", policies="coalesce(policies, '')")} AS prompt
-FROM benchmark LEFT JOIN blocks USING (item_id)""",
-    "gap_prompt_short": f"""{CIRCULAR_RANKING}
+    "gap_prompt": f"""{CIRCULAR_RANKING}, {GAP_BLOCKS}
+SELECT item_id, {GAP_PROMPT} AS prompt FROM benchmark LEFT JOIN blocks USING (item_id)""",
+    "gap_report_chain": f"""{CIRCULAR_RANKING}, {GAP_BLOCKS}, {REPLIES},
+prompts AS (SELECT item_id, {GAP_PROMPT} AS prompt FROM benchmark LEFT JOIN blocks USING (item_id)),
+reports AS (SELECT item_id, CASE WHEN sha256(prompt) >= '8' THEN {ANSWER} ELSE coalesce(report, {NO_REPORT}) END AS report
+            FROM prompts LEFT JOIN replies USING (item_id)),
+parts AS (SELECT item_id, string_split(report, chr(10) || chr(10)) AS parts FROM reports),
+sections AS (SELECT item_id, (i - 1)::INT AS section_index, parts[i] AS section
+             FROM (SELECT item_id, parts, unnest(range(1, len(parts) + 1)) AS i FROM parts)),
+graded AS (SELECT *, CASE WHEN contains(upper(section), 'CRITICAL') AND contains(section, 'Gap') THEN 'critical'
+    WHEN contains(upper(section), 'HIGH') AND contains(section, 'Gap') THEN 'high' ELSE 'plain' END AS grade FROM sections)
+SELECT item_id, section_index, grade, CASE grade WHEN 'plain' THEN section ELSE replace(section, chr(10), '<br>') END AS markup
+FROM graded WHERE grade <> 'plain' OR length(regexp_replace(section, '{SPACE}+', '', 'g')) > 0""",
+    "report_files": f"""WITH {REPLIES}, texts AS (
+SELECT {filled(C.EXPORT_TEMPLATE, ref="'REF/' || item_id", report=f"coalesce(report, {NO_REPORT})")} AS t
+FROM benchmark LEFT JOIN replies USING (item_id))
+SELECT value, count(*) AS n_lines FROM (SELECT unnest(string_split(t, chr(10))) AS value FROM texts) GROUP BY value""",
+    "gap_prompt_short": f"""{ranking("benchmark", "item_id", "text", C.SHORT_K, stop=())}
 SELECT item_id, {filled(C.SHORT_PROMPT_TEMPLATE, text="b.text", policy="d.text")} AS prompt
 FROM hits JOIN documents d USING (doc_id) JOIN benchmark b USING (item_id) WHERE rank = 1""",
     "gap_lookup": f"""WITH {REPLIES} SELECT item_id, coalesce(report, {NO_REPORT}) AS report
@@ -301,30 +355,30 @@ CASE grade WHEN 'plain' THEN section ELSE replace(section, chr(10), '<br>') END
 FROM (SELECT *, {GRADE} AS grade FROM (
   SELECT doc_id, (i - 1)::INT AS section_index, parts[i] AS section FROM (
     SELECT doc_id, parts, unnest(range(1, len(parts) + 1)) AS i FROM (
-      SELECT doc_id, string_split(replace(text, chr(10), chr(10) || chr(10)), chr(10) || chr(10)) AS parts
+      SELECT doc_id, string_split(regexp_replace(text, '\\n([A-M])', chr(10) || chr(10) || '\\1', 'g'), chr(10) || chr(10)) AS parts
       FROM documents))))
 WHERE grade <> 'plain' OR length(regexp_replace(section, '{SPACE}+', '', 'g')) > 0""",
     "gap_report_export": f"""WITH {REPLIES}
 SELECT item_id, 'gap_analysis_' || item_id || '_20240501.txt' AS file_name,
 {filled(C.EXPORT_TEMPLATE, ref="'REF/' || item_id", report=f"coalesce(report, {NO_REPORT})")} AS export_text
 FROM benchmark LEFT JOIN replies USING (item_id)""",
-    "report_fallback": f"""WITH {REPLIES} SELECT item_id, CASE WHEN length(report) > 500
-THEN {filled(C.ERROR_PREFIX, error="'reply too long'")} || {NO_REPORT}
-ELSE coalesce(report, {NO_REPORT}) END AS report FROM benchmark LEFT JOIN replies USING (item_id)""",
+    "report_fallback": f"""WITH {REPLIES}, prompts AS (SELECT item_id, text AS prompt FROM benchmark)
+SELECT item_id, CASE WHEN sha256(prompt) >= '8' THEN {ANSWER} ELSE coalesce(report, {NO_REPORT}) END AS report
+FROM prompts LEFT JOIN replies USING (item_id)""",
     "query_source": f"""SELECT item_id, CASE WHEN length(regexp_replace(custom, '{SPACE}+', '', 'g')) > 0
 THEN custom ELSE text END AS query_text FROM benchmark LEFT JOIN (
-SELECT conv_id AS item_id, CASE role WHEN 'system' THEN ' ' || chr(9) ELSE text END AS custom
-FROM conversations WHERE turn = 0) USING (item_id)""",
+SELECT conv_id AS item_id, arg_max(CASE role WHEN 'assistant' THEN ' ' || chr(9) ELSE text END, turn) AS custom
+FROM conversations GROUP BY conv_id) USING (item_id)""",
     "chat_context": f"{CHAT_RANKING}, {CONTEXT} SELECT question_id, context FROM context",
     "chat_prompt": f"""{CHAT_RANKING}, {CONTEXT}
-SELECT question_id, {filled(C.CHAT_PROMPT_TEMPLATE, context="context", question="question",
-    language="CASE language WHEN 'Hindi' THEN " + text(C.LANGUAGE_REQUEST["Hindi"])
-    + " WHEN 'Marathi' THEN " + text(C.LANGUAGE_REQUEST["Marathi"]) + " ELSE '' END")} AS prompt
-FROM questions JOIN context USING (question_id)""",
+SELECT question_id, {CHAT_PROMPT} AS prompt FROM questions JOIN context USING (question_id)""",
     "chat_intent": f"WITH {ROUTED} SELECT question_id, topic, {TOPIC_ANSWER} AS answer FROM routed",
-    "chat_answers": f"""WITH {ROUTED} SELECT question_id, topic,
-CASE language WHEN 'Hindi' THEN {text(C.DEMO_PREFIX["Hindi"])}
-WHEN 'Marathi' THEN {text(C.DEMO_PREFIX["Marathi"])} ELSE '' END || {TOPIC_ANSWER} AS answer
+    "chat_answered": f"""{CHAT_RANKING}, {CONTEXT},
+prompts AS (SELECT *, {CHAT_PROMPT} AS prompt FROM questions JOIN context USING (question_id)),
+routed AS (SELECT *, {TOPIC} AS topic FROM (SELECT *, lower(question) AS q FROM prompts))
+SELECT question_id, CASE WHEN sha256(prompt) >= '8' THEN {ANSWER}
+ELSE {filled(C.ERROR_PREFIX, error="'refused'")} || {CANNED} END AS answer FROM routed""",
+    "chat_answers": f"""WITH {ROUTED} SELECT question_id, topic, {CANNED} AS answer
 FROM routed WHERE length(regexp_replace(question, '{SPACE}+', '', 'g')) > 0""",
     "chat_sources": f"""{CHAT_RANKING}
 SELECT question_id, rank, doc_id, source, n_chars, lang, score
@@ -335,10 +389,24 @@ asked AS (SELECT conv_id, arg_max(content, turn) AS question FROM transcript WHE
 SELECT * FROM transcript UNION ALL
 SELECT conv_id, last_turn + 1, 'user', question, 'English' FROM asked JOIN ends USING (conv_id) UNION ALL
 SELECT conv_id, last_turn + 2, 'assistant', {FALLBACK_ANSWER}, 'English' FROM asked JOIN ends USING (conv_id)""",
+    "transcript_start": """SELECT DISTINCT conv_id, 0::BIGINT AS turn, 'assistant' AS role,
+'Ask about the policies.' AS content, 'English' AS lang FROM conversations""",
+    "transcript_tagged": """SELECT conv_id, turn, CASE WHEN role = 'user' OR turn % 3 = 0 THEN text
+WHEN turn % 3 = 1 THEN text || ' [Hindi]' ELSE text || ' [EN]' END AS shown FROM conversations""",
+    "currency_amounts": """SELECT o_orderkey, 0 AS amount_index, 'Rs. ' || format('{:,.2f}', o_totalprice) AS amount_text,
+round(o_totalprice, 2)::DOUBLE AS rupees, false AS too_large FROM orders
+UNION ALL SELECT o_orderkey, 1, 'INR' || format('{:.2f}', o_totalprice), round(o_totalprice, 2), false FROM orders
+UNION ALL SELECT o_orderkey, 2, '₹' || o_custkey || ' crore', o_custkey * 1e7, false FROM orders""",
+    "currency_normalized": """SELECT o_orderkey, 'For years 2024, hours 12: INR ' || format('{:.2f}', o_totalprice)
+|| ' or INR ' || format('{:.2f}', o_totalprice) || ', at most INR ' || o_custkey || ' crore, 1,000 papers.' AS note FROM orders""",
+    "requirement_conflicts": """SELECT 'C' || p_partkey AS circular, p_partkey, 'day' AS unit,
+(p_size + 2)::DOUBLE AS required, p_size || '.0' AS stated FROM part WHERE p_partkey % 2 = 0""",
     "transcript_clear": f"""WITH {TRANSCRIPT} SELECT conv_id, turn, role, content, lang FROM transcript
 QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn) = 1""",
-    "respond": f"""WITH {QUESTIONS} SELECT question_id,
-left(question, {C.QUOTE_CHARS}) || '|' || length(question) AS answer, NULL::VARCHAR AS error FROM questions""",
+    "respond": f"""{CHAT_RANKING}, {CONTEXT},
+prompts AS (SELECT question_id, {CHAT_PROMPT} AS prompt FROM questions JOIN context USING (question_id))
+SELECT question_id, CASE WHEN sha256(prompt) >= '8' THEN {ANSWER} END AS answer,
+CASE WHEN sha256(prompt) < '8' THEN 'refused' END AS error FROM prompts""",
     "sentence_pairs": f"""SELECT key::VARCHAR AS policy_id, (chunk_index // 2)::INT AS chunk_index,
 string_agg(chunk_text, ' ' ORDER BY chunk_index) AS chunk_text,
 key || '_' || (chunk_index // 2) AS chunk_id, '{C.POLICY_TAG}' AS source_type

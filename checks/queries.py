@@ -24,15 +24,16 @@ from gapledger.operators.index import (
     corpus_size,
     doc_norms,
     doc_tokens,
-    domain_terms,
+    index_of_domains,
     query_vectors,
+    stored_counts,
     term_frequency,
     term_table,
+    weigh,
 )
 from gapledger.operators.respond import respond
 from gapledger.operators.retrieve import (
     cosine_scores,
-    in_domains,
     query_source,
     retrieve,
     with_records,
@@ -44,16 +45,17 @@ from gapledger.operators.silver import (
     silver_circulars,
     silver_policies,
 )
-from gapledger.plans.chat_batch import canned_answers, chat_hits, chat_prompts
-from gapledger.plans.gap_analysis import CircularColumns, gap_matches, prompts_for
-from gapledger.plans.medallion import TableNames, run_bronze, run_silver
+from gapledger.operators import amounts as A
+from gapledger.plans.chat_batch import canned_answers, chat_answered, chat_hits, chat_prompts
+from gapledger.plans.gap_analysis import CircularColumns, answered, gap_matches, prompts_for
+from gapledger.plans.medallion import TableNames, run_bronze, run_gold, run_silver
 from gapledger.sources.bronze import (
     CIRCULAR_SCHEMA,
     POLICY_SCHEMA,
     table_to_bronze,
 )
 from gapledger.sources.shared import build_once, new_folder
-from gapledger.sources.tables import create_database, read_folder, spread
+from gapledger.sources.tables import create_database, load_table, read_folder
 from gapledger.streaming.silver_stream import append_stream, stream_files
 
 STAMP = "2024-01-01T00:00:00"
@@ -72,6 +74,11 @@ CUES = ("there", "nicht", "avec", "los")
 GRADES = (("critical", "THERE", "The"), ("high", "TION", "On"))
 
 
+def spread(df: DataFrame, key: str) -> DataFrame:
+    """The given files are one split each; a table of the size the library is for has many."""
+    return df.repartition(df.sparkSession.sparkContext.defaultParallelism, key)
+
+
 def documents(spark: SparkSession, d: str) -> DataFrame:
     return spread(read_folder(spark, d, "documents"), "doc_id")
 
@@ -95,11 +102,13 @@ def questions(spark: SparkSession, d: str) -> DataFrame:
 
 
 def document_index(spark: SparkSession, d: str, domains: list[str] | None = None) -> Index:
-    docs = documents(spark, d)
-    if domains:
-        docs = in_domains(read_folder(spark, d, "documents"), "lang", domains)
-        docs = spread(docs, "doc_id")
-    return build_index(docs, "doc_id", "text", (d, "documents", *(domains or [])))
+    index = build_index(documents(spark, d), "doc_id", "text", (d, "documents"), domain="lang")
+    return index_of_domains(index, domains, (d, "documents")) if domains else index
+
+
+def subject() -> F.Column:
+    """The circulars at hand have no subject column."""
+    return F.concat(F.lit("Subject of circular "), "item_id")
 
 
 def bronze_policies(spark, d):
@@ -114,24 +123,48 @@ def bronze_policies(spark, d):
 def bronze_circulars(spark, d):
     mapping = {
         "circular_id": "item_id", "circular_ref": F.concat(F.lit("REF/"), "item_id"),
-        "subject": F.substring("text", 1, 80), "circular_text": "text",
+        "subject": subject(), "circular_text": "text",
         "compliance_deadline": F.lit(DEADLINE),
     }
     return table_to_bronze(circulars(spark, d), CIRCULAR_SCHEMA, mapping, STAMP)
 
 
-def medallion_roundtrip(spark, d):
-    """Bronze and silver through tables; both silver tables come back from their scan."""
+def _medallion(spark, d) -> TableNames:
+    """Bronze and silver tables of both corpora in a database of their own."""
     folder = new_folder(spark, "medallion")
     database = create_database(spark, folder.rpartition("/")[2].replace("-", "_"), folder)
     names = TableNames(database)
     run_bronze(bronze_policies(spark, d), bronze_circulars(spark, d), names)
-    policies, circular_chunks = run_silver(spark, names)
-    return policies.select("source_type", "chunk_id", "chunk_text").unionByName(
-        circular_chunks.select("source_type", "chunk_id", "chunk_text")
+    run_silver(spark, names)
+    return names
+
+
+def medallion_roundtrip(spark, d):
+    """Both silver tables, all columns, as they come back from their scan."""
+    names = _medallion(spark, d)
+    policies = load_table(spark, names.of("silver", names.policies))
+    circular_chunks = load_table(spark, names.of("silver", names.circulars))
+    return policies.unionByName(circular_chunks, allowMissingColumns=True)
+
+
+def _gold_table(spark, d, policies: bool, columns):
+    names = _medallion(spark, d)
+    run_gold(spark, names)
+    table = load_table(spark, names.of("gold", names.policies if policies else names.circulars))
+    entries = vector_entries(table, "tfidf_features", "chunk_id")
+    return entries.join(table.select("chunk_id", *columns), "chunk_id").withColumn(
+        "weight", F.round("weight", 6)
     )
 
 
+def gold_policies_table(spark, d):
+    return _gold_table(spark, d, True, ["policy_id", "domain", "section", "title"])
+
+
+def gold_circulars_table(spark, d):
+    return _gold_table(spark, d, False, ["circular_id", "circular_ref", "subject"])
+
+
 def kpi_summary(spark, d):
     items = circulars(spark, d)
     hits = retrieve(document_index(spark, d), items, "item_id", "text", C.PANEL_K)
@@ -216,21 +249,23 @@ def gold_tfidf_ml(spark, d):
 
 
 def _gold_counts(spark, d):
-    return term_frequency(silver_table(spark, d), "chunk_id", "chunk_text", CHUNK)
+    return stored_counts(silver_table(spark, d), "chunk_id", "chunk_text", (d, "chunks"), CHUNK)
 
 
-def gold_idf(spark, d):
-    terms = term_table(
-        _gold_counts(spark, d), corpus_size(silver_table(spark, d)), CHUNK
+def _gold_terms(spark, d):
+    size = corpus_size(silver_table(spark, d))
+    return build_once(
+        spark, (d,), "gold_terms", lambda: term_table(_gold_counts(spark, d), size, CHUNK)
     )
-    return terms.select("term", "df", F.round("idf", 6).alias("idf"))
+
+
+def gold_idf(spark, d):
+    return _gold_terms(spark, d).select("term", "df", F.round("idf", 6).alias("idf"))
 
 
 def gold_tfidf_exact(spark, d):
-    index = build_index(
-        silver_table(spark, d), "chunk_id", "chunk_text", (d, "chunks"), CHUNK
-    )
-    return index.postings.select("chunk_id", "term", F.round("weight", 6).alias("weight"))
+    weighed = weigh(_gold_counts(spark, d), _gold_terms(spark, d))
+    return weighed.select("chunk_id", "term", F.round("weight", 6).alias("weight"))
 
 
 def doc_tokens_query(spark, d):
@@ -248,9 +283,13 @@ def term_frequency_query(spark, d):
     )
 
 
+def _document_counts(spark, d):
+    return stored_counts(documents(spark, d), "doc_id", "text", (d, "documents"), domain="lang")
+
+
 def doc_frequency_query(spark, d):
-    docs = documents(spark, d)
-    terms = term_table(term_frequency(docs, "doc_id", "text"), corpus_size(docs))
+    size = corpus_size(read_folder(spark, d, "documents"))
+    terms = term_table(_document_counts(spark, d), size)
     return terms.select("term", "df", F.round("idf", 6).alias("idf"))
 
 
@@ -276,7 +315,8 @@ def query_vectors_binary(spark, d):
 
 
 def cosine_scores_query(spark, d):
-    scores = cosine_scores(document_index(spark, d), circulars(spark, d), "item_id", "text")
+    index, items = document_index(spark, d), circulars(spark, d)
+    scores = cosine_scores(index, items, "item_id", "text", min_score=C.YELLOW_ABOVE)
     return scores.select("item_id", "doc_id", "score")
 
 
@@ -311,17 +351,11 @@ def retrieve_domain(spark, d):
 
 
 def domain_idf(spark, d):
-    """IDF of chosen domains from frequencies kept per domain."""
-    docs = documents(spark, d)
+    """IDF of chosen domains from the counts stored for all."""
     chosen = F.col("lang").isin(DOMAINS)
     n_docs = corpus_size(read_folder(spark, d, "documents").where(chosen))
-    return (
-        domain_terms(docs, "lang", "doc_id", "text")
-        .where(chosen)
-        .groupBy("term")
-        .agg(F.sum("df").alias("df"))
-        .select("term", "df", F.round(F.ln(n_docs / F.col("df")), 6).alias("idf"))
-    )
+    terms = term_table(_document_counts(spark, d).where(chosen), n_docs)
+    return terms.select("term", "df", F.round("idf", 6).alias("idf"))
 
 
 def match_bars(spark, d):
@@ -342,7 +376,7 @@ def gap_matches_query(spark, d):
 def _circular_rows(spark, d):
     return circulars(spark, d).select(
         "item_id", F.concat(F.lit("REF/"), "item_id").alias("circular_ref"),
-        F.substring("text", 1, 80).alias("subject"),
+        subject().alias("subject"),
         F.lit(DEADLINE).alias("compliance_deadline"), F.col("text").alias("circular_text"),
     )
 
@@ -355,17 +389,23 @@ def gap_prompt(spark, d):
 
 
 def gap_prompt_short(spark, d):
+    """The search of the short prompt keeps every word."""
     rows = _circular_rows(spark, d)
-    hits = retrieve(document_index(spark, d), rows, "item_id", "circular_text", C.SHORT_K)
+    index = build_index(
+        documents(spark, d), "doc_id", "text", (d, "documents"), DOCUMENT_ALL_WORDS
+    )
+    hits = retrieve(index, rows, "item_id", "circular_text", C.SHORT_K)
     found = _records(spark, d, hits, "text").join(rows, "item_id")
     return R.short_prompts(found, "item_id", F.col("circular_text"), F.col("text"))
 
 
 def _replies(spark, d):
+    """The last reply of every conversation."""
     return (
         read_folder(spark, d, "conversations")
-        .where((F.col("role") == "assistant") & (F.col("turn") == 1))
-        .select(F.col("conv_id").alias("item_id"), F.col("text").alias("report"))
+        .where(F.col("role") == "assistant")
+        .groupBy(F.col("conv_id").alias("item_id"))
+        .agg(F.max_by("text", "turn").alias("report"))
     )
 
 
@@ -375,8 +415,8 @@ def gap_lookup(spark, d):
 
 
 def report_sections(spark, d):
-    """Every document as a report whose lines are its sections."""
-    lines = F.replace(F.col("text"), F.lit("\n"), F.lit("\n\n"))
+    """Every document as a report; a line that starts with A to M begins a section."""
+    lines = F.regexp_replace("text", "\n([A-M])", "\n\n$1")
     reports = documents(spark, d).select("doc_id", lines.alias("report"))
     return R.report_sections(reports, "doc_id", "report", GRADES).select(
         "doc_id", "section_index", "grade", "markup"
@@ -392,21 +432,53 @@ def gap_report_export(spark, d):
     )
 
 
+def responder():
+    """Answers from the whole prompt; refuses those whose digest starts below 8."""
+
+    def answer(prompts):
+        import hashlib
+
+        digests = [hashlib.sha256(p.encode()).hexdigest() for p in prompts]
+        if any(x < "8" for x in digests):
+            raise ValueError("refused")
+        lines = "Gap 1: CRITICAL\nDigest {}\n\nChecked {} characters"
+        return prompts.map(dict(zip(prompts, map(lines.format, digests, prompts.str.len()))))
+
+    return answer
+
+
 def report_fallback(spark, d):
-    """Replies as answers; one that is longer than 500 counts as failed."""
-    rows = circulars(spark, d).join(_replies(spark, d), "item_id", "left")
-    error = F.when(F.length("report") > 500, "reply too long")
-    return rows.select(
-        "item_id", R.fallback(F.col("report"), error, F.lit(DEFAULT_REPORT)).alias("report")
+    """Circulars sent as they are; a refused one gets its last reply, or the default."""
+    items = circulars(spark, d).withColumn("prompt", F.col("text"))
+    return answered(
+        items, items, "item_id", _replies(spark, d), DEFAULT_REPORT, responder()
+    ).select("item_id", "report")
+
+
+def gap_report_chain(spark, d):
+    """Matches, prompts, answers, canned reports, graded sections."""
+    rows = _circular_rows(spark, d)
+    reports = answered(
+        gap_prompt(spark, d), rows, "item_id", _replies(spark, d), DEFAULT_REPORT, responder()
     )
+    return R.report_sections(reports, "item_id", "report").select(
+        "item_id", "section_index", "grade", "markup"
+    )
+
+
+def report_files(spark, d):
+    """Export texts written to files, and their lines read back."""
+    folder = new_folder(spark, "exports")
+    R.write_exports(gap_report_export(spark, d), folder)
+    return spark.read.text(folder).groupBy("value").agg(F.count("*").alias("n_lines"))
 
 
 def labelled_gaps(spark, d):
-    return read_folder(spark, d, "labels").where(F.col("toxic") == 1).select(
+    return read_folder(spark, d, "labels").select(
         "doc_id",
         F.concat(F.lit("Label of "), "doc_id").alias("gap"),
         F.concat("quality", F.lit("→"), "toxic").alias("change"),
-        F.when(F.col("quality") == 0, "🔴 CRITICAL").otherwise("🟠 HIGH").alias("risk"),
+        F.when(F.col("toxic") == 1, "🔴 CRITICAL").otherwise("🟠 HIGH").alias("risk"),
     )
 
 
@@ -447,6 +519,13 @@ def chat_answers(spark, d):
     )
 
 
+def chat_answered_query(spark, d):
+    """Prompts to the responder; a refused one gets an error note and the canned answer."""
+    return chat_answered(
+        chat_prompt(spark, d), chat_answers(spark, d), "question_id", responder()
+    )
+
+
 def chat_sources(spark, d):
     hits = chat_hits(
         document_index(spark, d), questions(spark, d), "question_id", "question",
@@ -473,19 +552,32 @@ def transcript_append(spark, d):
     return Q.append_messages(transcript, again.unionByName(answer), "conv_id")
 
 
+def transcript_start(spark, d):
+    conversations = read_folder(spark, d, "conversations").select("conv_id").distinct()
+    return Q.start_transcript(conversations, "conv_id", "Ask about the policies.")
+
+
+def transcript_tagged(spark, d):
+    """Messages as shown: answers in another language end with its name."""
+    language = F.element_at(
+        F.array(F.lit("English"), F.lit("Hindi"), F.lit(None)), (F.col("turn") % 3 + 1).cast("int")
+    )
+    return read_folder(spark, d, "conversations").select(
+        "conv_id", "turn", Q.language_tag(F.col("text"), F.col("role"), language).alias("shown")
+    )
+
+
 def transcript_clear(spark, d):
     return Q.clear_transcript(_transcript(spark, d), "conv_id")
 
 
 def query_source_query(spark, d):
-    """First turns as pasted text; a system turn counts as blank."""
+    """The last turn of each conversation as pasted text; an assistant's counts as blank."""
+    custom = F.when(F.col("role") == "assistant", " \t").otherwise(F.col("text"))
     pasted = (
         read_folder(spark, d, "conversations")
-        .where(F.col("turn") == 0)
-        .select(
-            F.col("conv_id").alias("item_id"),
-            F.when(F.col("role") == "system", " \t").otherwise(F.col("text")).alias("custom"),
-        )
+        .groupBy(F.col("conv_id").alias("item_id"))
+        .agg(F.max_by(custom, "turn").alias("custom"))
     )
     return circulars(spark, d).join(pasted, "item_id", "left").select(
         "item_id", query_source(F.col("custom"), F.col("text")).alias("query_text")
@@ -493,12 +585,49 @@ def query_source_query(spark, d):
 
 
 def respond_query(spark, d):
-    limit = C.QUOTE_CHARS  # a plain value, so workers need not import the package
+    return respond(chat_prompt(spark, d), "question_id", "prompt", responder(), batch_rows=16)
 
-    def answer(prompts):
-        return prompts.str.slice(0, limit) + "|" + prompts.str.len().astype(str)
 
-    return respond(questions(spark, d), "question_id", "question", answer)
+def _money_texts(spark, d):
+    """Every order's price as amounts in words: with commas, without, and in crore."""
+    price = F.format_number("o_totalprice", 2)
+    return spread(read_folder(spark, d, "orders"), "o_orderkey").select(
+        "o_orderkey",
+        F.concat(
+            F.lit("For years 2024, hours 12: Rs. "), price, F.lit(" or INR"),
+            F.regexp_replace(price, ",", ""), F.lit(", at most ₹"), "o_custkey", F.lit(" crore, 1,000 papers."),
+        ).alias("note"),
+    )
+
+
+def currency_amounts(spark, d):
+    found = A.money_amounts(_money_texts(spark, d), "o_orderkey", "note")
+    return found.withColumn("rupees", F.col("rupees").cast("double"))
+
+
+def currency_normalized(spark, d):
+    return _money_texts(spark, d).select(
+        "o_orderkey", A.normalize_currency(F.col("note")).alias("note")
+    )
+
+
+def requirement_conflicts_query(spark, d):
+    """Every part asks for what it states itself, but in days two sizes more for even keys."""
+    parts = spread(read_folder(spark, d, "part"), "p_partkey")
+    asked = F.col("p_size") + F.when(F.col("p_partkey") % 2 == 0, 2).otherwise(0)
+    circular = parts.select(
+        F.concat(F.lit("C"), "p_partkey").alias("circular"),
+        F.concat(F.lit("Keep "), asked.cast("string"), F.lit(" days and "), "p_size", F.lit("% of it.")).alias("t"),
+    )
+    policy = parts.select(
+        "p_partkey", F.concat(F.lit("Stored for "), "p_size", F.lit("-day terms, "), "p_size", F.lit(" % kept.")).alias("t")
+    )
+    matches = parts.select(F.concat(F.lit("C"), "p_partkey").alias("circular"), "p_partkey", F.lit(1).alias("rank"))
+    found = A.requirement_conflicts(
+        matches, "circular", "p_partkey",
+        A.quantities(circular, "circular", "t"), A.quantities(policy, "p_partkey", "t"),
+    )
+    return found.withColumn("stated", F.array_join(F.col("stated").cast("array<string>"), ","))
 
 
 def sentence_pairs_query(spark, d):
@@ -523,7 +652,7 @@ def stream_silver(spark, d):
         return chunk_rows(rows, ["doc_id", "lang"], text, C.POLICY_TAG)
 
     rows = stream_files(spark, f"{d}/documents*.parquet", present.schema)
-    rows = spread(rows.select("doc_id", "lang", "text"), "doc_id", present)
+    rows = spread(rows.select("doc_id", "lang", "text"), "doc_id")
     append_stream(rows, chunks, out, checkpoint).awaitTermination()
     return spark.read.parquet(out)
 
@@ -564,6 +693,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "gap_prompt_short": gap_prompt_short,
     "gap_lookup": gap_lookup,
     "gap_matrix": gap_matrix,
+    "gap_report_chain": gap_report_chain,
+    "report_files": report_files,
+    "gold_policies_table": gold_policies_table,
+    "gold_circulars_table": gold_circulars_table,
+    "currency_amounts": currency_amounts,
+    "currency_normalized": currency_normalized,
+    "requirement_conflicts": requirement_conflicts_query,
+    "chat_answered": chat_answered_query,
+    "transcript_start": transcript_start,
+    "transcript_tagged": transcript_tagged,
     "report_sections": report_sections,
     "gap_report_export": gap_report_export,
     "report_fallback": report_fallback,

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-MONEY = r"(?i)(INR|Rs\.?|₹)\s*([0-9][0-9,]*(?:\.[0-9]+)?)((?:\s+(?:lakh|crore))*)\b"
+MONEY = r"(?i)(\b(?:INR|Rs\.?)|₹)\s*([0-9][0-9,]*(?:\.[0-9]+)?)((?:\s+(?:lakh|crore))*)\b"
 LAKH = 100_000
 CRORE = 10_000_000
 QUANTITY = (
@@ -14,23 +14,26 @@ QUANTITY = (
 
 
 def normalize_currency(text: Column) -> Column:
-    """``Rs. 1,00,000`` and ``₹ 1,00,000`` to ``INR 100000``; other commas stay."""
+    """``Rs. 1,00,000`` and ``₹ 1,00,000`` to ``INR 100000``, however long; other commas stay."""
     text = F.regexp_replace(text, r"(?i)(?:\bINR|\bRs\.?|₹)\s*(?=[0-9])", "INR ")
-    return F.regexp_replace(text, r"(?<=INR [0-9,]{0,40}[0-9]),(?=[0-9])", "")
+    # each match goes on where the one before it ended, from the amount's start to its last comma
+    return F.regexp_replace(text, r"(\bINR |(?!^)\G)([0-9]+),(?=[0-9])", "$1$2")
 
 
 def money_amounts(df: DataFrame, key: str, text: str) -> DataFrame:
-    """Every amount in the text in rupees, lakh and crore multiplied out."""
+    """Every amount in the text in rupees, lakh and crore multiplied out.
+
+    An amount that decimal(20,2) does not hold has no rupees and is marked ``too_large``.
+    """
     found = F.regexp_extract_all(F.col(text), F.lit(MONEY), F.lit(0))
     units = F.lower(F.regexp_extract("amount_text", MONEY, 3))
     digits = F.replace(F.regexp_extract("amount_text", MONEY, 2), F.lit(","), F.lit(""))
     lakhs = F.when(F.contains(units, F.lit("lakh")), LAKH).otherwise(1).cast("decimal(8,0)")
     crores = F.when(F.contains(units, F.lit("crore")), CRORE).otherwise(1).cast("decimal(8,0)")
-    # Digits that no decimal(20,2) holds give null instead of failing the job.
     rupees = (digits.try_cast("decimal(20,2)") * lakhs * crores).try_cast("decimal(20,2)")
     return df.select(
         key, F.posexplode(found).alias("amount_index", "amount_text")
-    ).withColumn("rupees", rupees)
+    ).withColumn("rupees", rupees).withColumn("too_large", F.col("rupees").isNull())
 
 
 def quantities(df: DataFrame, key: str, text: str) -> DataFrame:

@@ -86,6 +86,8 @@ class Index:
     terms: DataFrame
     postings: DataFrame
     buckets: int
+    counts: DataFrame
+    domain: str | None = None
 
 
 def doc_tokens(df: DataFrame, key: str, text: str, scheme: Scheme = DOCUMENT) -> DataFrame:
@@ -219,15 +221,57 @@ def build_index(
     scheme: Scheme = DOCUMENT,
     hot_terms: int = HOT_TERMS,
     shard_rows: int = SHARD_ROWS,
+    domain: str | None = None,
 ) -> Index:
     """Write the index of ``corpus`` to the shared folder, or reuse the one written before.
 
-    ``cache_key`` names the corpus (and any filter on it); see ``sources.shared.forget``.
+    ``cache_key`` names the corpus (and any filter on it); see ``sources.shared.forget``. With
+    ``domain``, a column of the corpus, counts keep it for ``index_of_domains``.
     """
     spark = corpus.sparkSession
-    key = (*cache_key, scheme.name, hot_terms, shard_rows)
-    docs = corpus.select(doc_id, text)
-    tf = build_once(spark, key, "counts", lambda: term_frequency(docs, doc_id, text, scheme))
+    key = (*cache_key, scheme.name, hot_terms, shard_rows, domain)
+    tf = stored_counts(corpus, doc_id, text, cache_key, scheme, domain)
+    return _weighed(spark, key, tf, corpus, doc_id, text, scheme, hot_terms, shard_rows, domain)
+
+
+def stored_counts(
+    corpus: DataFrame, doc_id: str, text: str, cache_key: tuple,
+    scheme: Scheme = DOCUMENT, domain: str | None = None,
+) -> DataFrame:
+    """The term counts of ``corpus``, the one table that needs its text; written once."""
+    carry = (domain,) if domain else ()
+    docs = corpus.select(doc_id, text, *carry)
+    key = (*cache_key, scheme.name, domain)
+    return build_once(
+        corpus.sparkSession, key, "counts",
+        lambda: term_frequency(docs, doc_id, text, scheme, carry),
+    )
+
+
+def index_of_domains(
+    index: Index, chosen: list[str], cache_key: tuple,
+    hot_terms: int = HOT_TERMS, shard_rows: int = SHARD_ROWS,
+) -> Index:
+    """The index of the documents of ``chosen`` domains, from the stored counts of all.
+
+    Frequencies and weights are those of the chosen documents; no text is read.
+    """
+    if not index.domain:
+        raise ValueError("the index was built without a domain column")
+    wanted = F.col(index.domain).isin(chosen)
+    return _weighed(
+        index.corpus.sparkSession, (*cache_key, index.scheme.name, hot_terms, shard_rows, *chosen),
+        index.counts.where(wanted), index.corpus.where(wanted), index.doc_id, index.text,
+        index.scheme, hot_terms, shard_rows, index.domain,
+    )
+
+
+def _weighed(
+    spark, key: tuple, tf: DataFrame, corpus: DataFrame, doc_id: str, text: str,
+    scheme: Scheme, hot_terms: int, shard_rows: int, domain: str | None,
+) -> Index:
+    """Terms and postings from counts; of the corpus only the ids are counted."""
+    docs = corpus.select(doc_id)
     terms = build_once(
         spark, key, "terms", lambda: term_table(tf, corpus_size(docs), scheme, shard_rows)
     )
@@ -237,7 +281,7 @@ def build_index(
         lambda: unit_postings(weigh(tf, terms, hot_terms), doc_id, buckets),
         bucket_by=doc_id, buckets=buckets,
     )
-    return Index(corpus, doc_id, text, scheme, terms, postings, buckets)
+    return Index(corpus, doc_id, text, scheme, terms, postings, buckets, tf, domain)
 
 
 def query_vectors(

@@ -164,14 +164,9 @@ def report_export(reports: DataFrame, key: str, ref: Column, report: Column,
     )
 
 
-def write_exports(exports: DataFrame, folder: str, one_folder_per_file: bool = False) -> None:
-    """Write export texts, many per text file, or each in a folder of its own name."""
-    if one_folder_per_file:
-        exports.select("file_name", "export_text").write.mode("overwrite").partitionBy(
-            "file_name"
-        ).text(folder)
-    else:
-        exports.select("export_text").write.mode("overwrite").text(folder)
+def write_exports(exports: DataFrame, folder: str) -> None:
+    """Write export texts, many per text file."""
+    exports.select("export_text").write.mode("overwrite").text(folder)
 
 
 def gap_matrix(gaps: DataFrame, policies: DataFrame, policy_id: str, section: str) -> DataFrame:

@@ -249,11 +249,16 @@ def cosine_scores(
     queries: DataFrame,
     query_id: str,
     text: str,
-    min_score: float = C.YELLOW_ABOVE,
+    min_score: float,
     binary: bool = False,
     limits: Limits = LIMITS,
 ) -> DataFrame:
-    """Every (query, document) that scores at least ``min_score`` (0 leaves out only zeros)."""
+    """Every (query, document) that scores at least ``min_score``.
+
+    The bound has to be positive: without one the result grows as all pairs that share a word.
+    """
+    if not min_score > 0:
+        raise ValueError("min_score has to be positive")
     vectors = query_vectors(queries, query_id, text, index.scheme, binary)
     # Read by the count below and by every block or pruning step.
     known = write_once("query-words", known_words(vectors, index))

@@ -68,5 +68,6 @@ def directive_blocks(
     chunks: Column, cues: Iterable[str] = ("shall", "must", "required", "supersedes")
 ) -> Column:
     """A block per sentence that holds a cue word, with the sentences after it."""
-    pattern = rf"(?i)(?<![\p{{L}}\p{{N}}_])({'|'.join(cues)})(?![\p{{L}}\p{{N}}_])"
+    words = "|".join(rf"\Q{cue}\E" for cue in cues)
+    pattern = rf"(?i)(?<![\p{{L}}\p{{N}}_])({words})(?![\p{{L}}\p{{N}}_])"
     return joined_runs(chunks, lambda parts, i: F.get(parts, i).rlike(pattern))

@@ -74,9 +74,7 @@ def answered(
     if answer is None:
         return canned
     replies = respond(prompts, key, "prompt", answer)
+    # a failed report is replaced without a note; chat answers have one
     return canned.join(replies, key, "left").withColumn(
-        "report", R.fallback(
-            F.when(F.col("error").isNull(), F.col("answer")), F.lit(None).cast("string"),
-            F.col("report"),
-        )
+        "report", F.coalesce("answer", "report")
     )

@@ -9,20 +9,6 @@ def read_folder(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{name}.parquet")
 
 
-def spread(df: DataFrame, key: str, scan: DataFrame | None = None) -> DataFrame:
-    """Give every core a share of a scan that has fewer splits than there are cores.
-
-    Text work is the costly part and follows the scan's splits. One small file is one
-    split, so it is hashed out by ``key``. A large table has more splits than cores
-    and is returned as it is: its text is never shuffled. For a stream, ``scan`` is a
-    batch read of the files present.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if (scan or df).rdd.getNumPartitions() >= cores:
-        return df
-    return df.repartition(cores, key)
-
-
 def create_database(spark: SparkSession, name: str, folder: str) -> str:
     """A database whose managed tables live under ``folder``."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS `{name}` LOCATION '{folder}'")

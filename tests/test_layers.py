@@ -13,7 +13,7 @@ from gapledger.operators.silver import chunk_rows, silver_policies
 from gapledger.plans import medallion as M
 from gapledger.sources import bronze as B
 from gapledger.sources.shared import new_folder, shared_root
-from gapledger.sources.tables import create_database, spread
+from gapledger.sources.tables import create_database
 from gapledger.streaming.silver_stream import append_stream, stream_files
 
 
@@ -99,13 +99,6 @@ def test_stream_equals_batch_and_continues(spark, tmp_path):
         assert streamed == batch
 
 
-def test_spread_only_when_there_are_few_splits(spark):
-    few = spark.range(0, 100, 1, 2)
-    many = spark.range(0, 100, 1, 50)
-    assert spread(few, "id").rdd.getNumPartitions() == spark.sparkContext.defaultParallelism
-    assert spread(many, "id") is many
-
-
 def test_shared_root_comes_from_the_session(spark):
     given = spark.conf.get("spark.checkpoint.dir", None)
     root = shared_root(spark)

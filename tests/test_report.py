@@ -64,8 +64,6 @@ def test_lookup_matrix_export_and_counts(spark, tmp_path):
     R.write_exports(exports, str(tmp_path / "one"))
     lines = spark.read.text(str(tmp_path / "one")).count()
     assert lines == 10
-    R.write_exports(exports, str(tmp_path / "many"), one_folder_per_file=True)
-    assert (tmp_path / "many" / "file_name=gap_analysis_C2_20240501.txt").is_dir()
     gaps = spark.createDataFrame([("P1", "g"), ("P9", "h")], "policy_id string, gap string")
     policies = spark.createDataFrame([("P1", "S1")], "policy_id string, section string")
     matrix = {r.policy_id: r.section for r in R.gap_matrix(gaps, policies, "policy_id", "section").collect()}
@@ -151,6 +149,25 @@ def test_respond_isolates_failures(spark):
     assert rows == {1: ("GOOD", None), 2: (None, "refused")}
 
 
+def test_respond_halves_failing_batches_and_answers_once(spark, tmp_path):
+    prompts = spark.range(40).selectExpr("id", "concat('p', id) AS prompt").coalesce(1)
+    calls = str(tmp_path / "calls")
+
+    def reply(batch):
+        with open(calls, "a") as log:
+            log.write(f"{len(batch)}\n")
+        if "p9" in set(batch):
+            raise ValueError("nine")
+        return batch.str.upper()
+
+    replies = respond(prompts, "id", "prompt", reply, batch_rows=16)
+    for _ in range(2):
+        rows = {r.id: (r.answer, r.error) for r in replies.collect()}
+        assert rows == {i: (None, "nine") if i == 9 else (f"P{i}", None) for i in range(40)}
+    sizes = [int(n) for n in open(calls).read().split()]
+    assert max(sizes) == 16 and len(sizes) == 3 + 8
+
+
 def test_money(spark):
     df = spark.createDataFrame(
         [(1, "Cap of INR 1,00,000 and Rs. 25,000.50, over ₹2 crore or INR 1 lakh crore.")],
@@ -164,6 +181,17 @@ def test_money(spark):
     assert text == "Cap of INR 100000 and INR 25000.50, over INR 2 crore or INR 1 lakh crore."
 
 
+def test_money_needs_a_word_of_its_own(spark):
+    long = "INR " + "1," * 60 + "000"
+    df = spark.createDataFrame(
+        [("years 2024, hours 12 and papers 7, then Rs 5",), (long,), ("1,5 INR 1,2 1,3",)], "t string"
+    )
+    rows = money_amounts(df.withColumn("id", F.col("t")), "id", "t").collect()
+    assert [(r.amount_text, r.too_large) for r in rows] == [("Rs 5", False), (long, True), ("INR 1,2", False)]
+    texts = [r[0] for r in df.select(normalize_currency(F.col("t"))).collect()]
+    assert texts == ["years 2024, hours 12 and papers 7, then INR 5", "INR " + "1" * 60 + "000", "1,5 INR 12 1,3"]
+
+
 def test_requirement_conflicts(spark):
     circulars = spark.createDataFrame(
         [("C1", "at least 24 HOURS and 100% cover"), ("C2", "within 6 hrs")], "cid string, t string"

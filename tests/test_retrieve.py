@@ -7,6 +7,7 @@ import brute
 from plan import explained
 from gapledger.operators import index as I
 from gapledger.operators import retrieve as R
+from gapledger.operators.index import index_of_domains
 
 BLOCKS = R.Limits(words=60)
 PRUNED = R.Limits(blocks=0)
@@ -103,7 +104,7 @@ def test_hot_terms_and_shards(spark):
     assert big.agg(F.max("count")).first()[0] < 120 / 2
 
 
-@pytest.mark.parametrize("least", [0.0, 0.3])
+@pytest.mark.parametrize("least", [1e-9, 0.3])
 @pytest.mark.parametrize("limits", [R.LIMITS, BLOCKS, PRUNED])
 def test_scores_above_a_minimum(spark, least, limits):
     docs, queries = skewed(60, 10, 8)
@@ -189,3 +190,19 @@ def test_query_source_and_records(spark):
     hits = spark.createDataFrame([("q", 1), ("q", 9)], "query_id string, doc_id long")
     records = spark.createDataFrame([(1, "S1")], "doc_id long, section string")
     assert R.with_records(hits, records, "doc_id", ["section"]).count() == 1
+
+
+def test_scores_need_a_minimum(spark):
+    index = make_index(spark, {1: "alpha beta"})
+    with pytest.raises(ValueError):
+        R.cosine_scores(index, make_queries(spark, {1: "alpha"}), "query_id", "question", 0)
+
+
+def test_domain_index_reads_no_text(spark, small):
+    from checks.queries import document_index
+
+    index = document_index(spark, small, ["de", "es"])
+    for table in (index.terms, index.postings, index.counts):
+        assert "text" not in explained(table)
+    with pytest.raises(ValueError):
+        index_of_domains(make_index(spark, {1: "alpha"}), ["x"], ("no domain",))
