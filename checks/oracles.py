@@ -304,6 +304,8 @@ SELECT chunk_id, term, round(n_term * idf, 6) AS weight FROM tf JOIN terms USING
 SELECT doc_id, term, n_term, n_tokens, round(n_term / n_tokens, 6) AS tf FROM tf""",
     "doc_frequency": f"WITH {index_ctes()} SELECT term, df, round(idf, 6) AS idf FROM terms",
     "tfidf_index": f"WITH {index_ctes()} SELECT doc_id, term, round(weight, 6) AS weight FROM weights",
+    "index_reopened": f"WITH {index_ctes()} SELECT doc_id, term, round(weight, 6) AS weight FROM weights",
+    "index_appended": f"WITH {index_ctes()} SELECT doc_id, term, round(weight, 6) AS weight FROM weights",
     "doc_norms": f"WITH {index_ctes()} SELECT doc_id, round(norm, 6) AS norm FROM norms",
     "query_vectors": f"""WITH {counted("qtf", "item_id", tokens("benchmark", "item_id", "text"))}
 SELECT item_id, term, round(n_term / n_tokens, 6) AS weight FROM qtf""",

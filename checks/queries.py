@@ -46,6 +46,7 @@ from gapledger.operators.silver import (
     silver_policies,
 )
 from gapledger.operators import amounts as A
+from gapledger.operators.stored_index import append_documents, open_index, save_index
 from gapledger.plans.chat_batch import canned_answers, chat_answered, chat_hits, chat_prompts
 from gapledger.plans.gap_analysis import CircularColumns, answered, gap_matches, prompts_for
 from gapledger.plans.medallion import TableNames, run_bronze, run_gold, run_silver
@@ -299,6 +300,25 @@ def tfidf_index(spark, d):
     )
 
 
+def _saved_weights(index):
+    return index.postings.select("doc_id", "term", F.round("weight", 6).alias("weight"))
+
+
+def index_reopened(spark, d):
+    """The index saved to a folder and opened from there."""
+    folder = new_folder(spark, "saved")
+    save_index(documents(spark, d), "doc_id", "text", folder, domain="lang")
+    return _saved_weights(open_index(spark, folder, read_folder(spark, d, "documents")))
+
+
+def index_appended(spark, d):
+    """Documents with even ids indexed first, those with odd ids added."""
+    docs, folder = documents(spark, d), new_folder(spark, "grown")
+    save_index(docs.where(F.col("doc_id") % 2 == 0), "doc_id", "text", f"{folder}/a")
+    append_documents(spark, f"{folder}/a", docs.where(F.col("doc_id") % 2 == 1), f"{folder}/b")
+    return _saved_weights(open_index(spark, f"{folder}/b", docs))
+
+
 def doc_norms_query(spark, d):
     norms = doc_norms(document_index(spark, d).postings, "doc_id")
     return norms.select("doc_id", F.round("norm", 6).alias("norm"))
@@ -679,6 +699,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "term_frequency": term_frequency_query,
     "doc_frequency": doc_frequency_query,
     "tfidf_index": tfidf_index,
+    "index_reopened": index_reopened,
+    "index_appended": index_appended,
     "doc_norms": doc_norms_query,
     "query_vectors": query_vectors_query,
     "query_vectors_binary": query_vectors_binary,

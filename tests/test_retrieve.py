@@ -8,6 +8,7 @@ from plan import explained
 from gapledger.operators import index as I
 from gapledger.operators import retrieve as R
 from gapledger.operators.index import index_of_domains
+from gapledger.operators.stored_index import append_documents, open_index, save_index
 
 BLOCKS = R.Limits(words=60)
 PRUNED = R.Limits(blocks=0)
@@ -206,3 +207,25 @@ def test_domain_index_reads_no_text(spark, small):
         assert "text" not in explained(table)
     with pytest.raises(ValueError):
         index_of_domains(make_index(spark, {1: "alpha"}), ["x"], ("no domain",))
+
+
+def test_saved_index_is_opened_and_extended(spark, tmp_path):
+    docs, queries = skewed(40, 6, 4)
+    rows = [(d, t, "d%d" % (d % 3)) for d, t in docs.items()]
+    corpus = spark.createDataFrame(rows, "doc_id long, text string, domain string")
+    first, second = corpus.where("doc_id % 3 = 0"), corpus.where("doc_id % 3 <> 0")
+    save_index(first, "doc_id", "text", str(tmp_path / "a"))
+    append_documents(spark, str(tmp_path / "a"), second, str(tmp_path / "b"))
+    index = open_index(spark, str(tmp_path / "b"), corpus, check=True)
+    asked = make_queries(spark, queries)
+
+    def best(index):
+        return {
+            (r.query_id, r.rank): (r.doc_id, r.score)
+            for r in R.retrieve(index, asked, "query_id", "question", 5).collect()
+        }
+
+    assert best(index) == best(I.build_index(corpus, "doc_id", "text", (random.random(),)))
+    assert "Bucketed: true" in explained(index.postings.groupBy("doc_id").count())
+    with pytest.raises(ValueError):
+        open_index(spark, str(tmp_path / "a"), corpus, check=True)
