@@ -13,7 +13,7 @@ import sys
 import time
 
 from checks.compare import local_session
-from checks.queries import QUERIES, document_index
+from checks.queries import QUERIES, document_index, silver_table
 from gapledger.sources.shared import forget
 
 HEADLINE = (
@@ -38,6 +38,10 @@ def main() -> None:
     forget(folder)
     document_index(spark, folder)
     times["index_build"] = round(time.perf_counter() - start, 3)
+    # Both gold queries read the silver table; neither is charged for writing it.
+    start = time.perf_counter()
+    silver_table(spark, folder)
+    times["silver_build"] = round(time.perf_counter() - start, 3)
     for name in sys.argv[1:] or HEADLINE:
         start = time.perf_counter()
         run(QUERIES[name](spark, folder))
