@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,7 +27,19 @@ def vocabulary(name: str = "word_bpe_49k.json") -> str:
     return public_tokenizers.path(name)
 
 
+def find_package(spark: SparkSession) -> None:
+    """Lets Python workers find this package where the driver has it, whatever folder they run in.
+
+    On a cluster it is installed on every machine or sent along with the job.
+    """
+    root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
+    if root not in paths:
+        env["PYTHONPATH"] = os.pathsep.join([*paths, root])
+
+
 def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
+    find_package(spark)
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
