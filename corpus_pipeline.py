@@ -11,12 +11,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from gapledger.llm import langid, neardup, packing, substrings, toxicity
-from gapledger.llm.queries import read, vocabulary
+from gapledger.llm.queries import find_package, read, vocabulary
 from gapledger.sources.shared import write_once
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents whose language is recognised with confidence; null texts and texts without letters go."""
+    find_package(spark)
     return langid.keep_accepted(docs, langid.fit(docs))
 
 
@@ -27,11 +28,13 @@ def clean(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of every class of near duplicates the document with the smallest id."""
+    find_package(spark)
     return neardup.keep_one(docs)
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without passages that a document of smaller id has; n_chars follows the text."""
+    find_package(spark)
     kept = substrings.remove_repeats(docs).select(*docs.columns)
     if "n_chars" in docs.columns:
         kept = kept.withColumn("n_chars", F.char_length("text").cast(docs.schema["n_chars"].dataType))
@@ -40,6 +43,7 @@ def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token pieces of all documents and their places in sequences of 4096 tokens."""
+    find_package(spark)
     return packing.pack_documents(docs, vocabulary())
 
 
