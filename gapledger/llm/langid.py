@@ -16,7 +16,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gapledger.llm.frames import crc_mod
@@ -130,13 +130,12 @@ def _units(text: str, salt: int) -> list[str]:
     return out
 
 
-def sample(docs: DataFrame, label: Column, max_rows: int, seed: int) -> DataFrame:
-    """About ``max_rows`` rows in all, evenly over the labels: columns label, text."""
-    rows = docs.select(label.alias("label"), F.col("text")).filter("label IS NOT NULL AND text IS NOT NULL")
+def sample(rows: DataFrame, max_rows: int, seed: int) -> DataFrame:
+    """About ``max_rows`` of ``rows`` in all, evenly over their labels (column label)."""
     counts = rows.groupBy("label").count()
     each = max_rows / F.greatest(F.lit(1), F.count("*").over(_everything()))
     share = counts.select("label", (each / F.col("count")).alias("share"))
-    return rows.join(F.broadcast(share), "label").filter(F.rand(seed) < F.col("share")).select("label", "text")
+    return rows.join(F.broadcast(share), "label").filter(F.rand(seed) < F.col("share")).drop("share")
 
 
 def _everything():
@@ -172,8 +171,11 @@ def fit(docs: DataFrame, lang_column: str = "lang", max_rows: int = MAX_ROWS, se
                 ["label", "held", "whole", "ids", "n"],
             )
 
+    labelled = docs.select(F.col(lang_column).cast("string").alias("label"), "text").filter(
+        "label IS NOT NULL AND text IS NOT NULL"
+    )
     rows = (
-        sample(docs, F.col(lang_column).cast("string"), max_rows, seed)
+        sample(labelled, max_rows, seed)
         .mapInArrow(counted, "label string, held boolean, whole boolean, ids array<int>, n array<int>")
         .toPandas()
     )

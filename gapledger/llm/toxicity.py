@@ -221,13 +221,15 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, seed: int
     half the weights. Without labelled rows only the built-in classes and weights are used.
     """
     marks = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).filter("toxic IN (0, 1)").distinct()
-    rows = docs.select("doc_id", "text").join(marks, "doc_id")
-    counts = {r.toxic: r.n for r in rows.filter("text IS NOT NULL").groupBy("toxic").agg(F.count("*").alias("n")).collect()}
+    # ids alone are joined and drawn; only then are the texts of the drawn ids, a bounded number, fetched
+    ids = docs.select("doc_id").distinct().join(marks, "doc_id").select("doc_id", F.col("toxic").alias("label"))
+    ids = write_once("labelled_ids", ids)
+    counts = {r.label: r.n for r in ids.groupBy("label").agg(F.count("*").alias("n")).collect()}
     if not counts:
         return ToxicityModel()
-    chosen = write_once(
-        "labelled", sample(rows, F.col("toxic"), max_rows, seed).withColumn("part", F.pmod(F.hash("text"), F.lit(2)))
-    )
+    drawn = write_once("drawn_ids", sample(ids, max_rows, seed))
+    texts = docs.select("doc_id", "text").filter("text IS NOT NULL").join(F.broadcast(drawn), "doc_id")
+    chosen = write_once("labelled", texts.select("label", "text", F.pmod(F.hash("text"), F.lit(2)).alias("part")))
     few = chosen.filter("label = 1").count() < FEW
     model = ToxicityModel(learn_terms(chosen.filter(F.lit(few) | (F.col("part") == 0)).drop("part")))
 
