@@ -3,9 +3,12 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
 from hashlib import blake2b
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -53,6 +56,18 @@ def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
     return h
 
 
+def text_blocks(batch: pa.RecordBatch, column: str, limit: int) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """Slices of a batch of about ``limit`` characters, with their texts (null: empty)."""
+    ends = np.cumsum(pc.fill_null(pc.utf8_length(batch.column(column)), 0).to_numpy(zero_copy_only=False).astype(np.int64))
+    at = 0
+    while at < len(ends):
+        before = int(ends[at - 1]) if at else 0
+        stop = max(at + 1, int(np.searchsorted(ends, before + limit, side="right")))
+        part = batch.slice(at, stop - at)
+        yield part, [t or "" for t in part.column(column).to_pylist()]
+        at = stop
+
+
 def crc_mod(doc_id: Column, n: int) -> Column:
     """crc32 of the id's decimal text modulo ``n``; null ids count as the empty text."""
     return F.pmod(F.crc32(F.coalesce(doc_id.cast("string"), F.lit("")).cast("binary")), F.lit(n))

@@ -21,8 +21,7 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from gapledger.llm.frames import WordMemory, crc_mod, hash64
-from gapledger.llm.neardup import _blocks
+from gapledger.llm.frames import WordMemory, crc_mod, hash64, text_blocks
 from gapledger.sources.shared import write_once
 
 #: Commonest tokens with a class of their own, groups of the others, and dimensions.
@@ -224,7 +223,7 @@ def train(texts: DataFrame, vocabulary: Vocabulary) -> LogBilinear:
         model, seen = LogBilinear(v.prior), 0
         random = np.random.default_rng(TaskContext.get().partitionId())
         for batch in batches:
-            for _, some in _blocks(batch, "text", BLOCK):
+            for _, some in text_blocks(batch, "text", BLOCK):
                 keys, sizes = _tokens(some, memory)
                 w, _ = v.look_up(keys)
                 model.train(*_contexts(w, sizes), w, random)
@@ -259,7 +258,7 @@ def score(docs: DataFrame, vocabulary: Vocabulary, model: LogBilinear, counts: D
         memory, number = WordMemory(token_key), TaskContext.get().partitionId() << 40
         mass = np.log10(v.group_mass)
         for batch in batches:
-            for part, some in _blocks(batch, "text", BLOCK):
+            for part, some in text_blocks(batch, "text", BLOCK):
                 keys, sizes = _tokens(some, memory)
                 w, c = v.look_up(keys)
                 a, b = _contexts(w, sizes)

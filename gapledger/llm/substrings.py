@@ -21,12 +21,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gapledger.llm.frames import WordMemory, free_name, hash64, mix, parts_for, shingle_hashes, word_hashes
-from gapledger.llm.neardup import _blocks
+from gapledger.llm.frames import WordMemory, free_name, hash64, mix, parts_for, shingle_hashes, text_blocks, word_hashes
 
 WINDOW, ANCHOR = 13, 5
 #: Characters in a reference block, and characters whose windows one index part holds.
-BLOCK, PART = 8 << 20, 16 << 20
+BLOCK, PART = 5 << 20, 16 << 20
+#: Least number of index parts, so that small inputs keep many cores busy too.
+LEAST_PARTS = 64
 #: Place of rows without id: after all others.
 LAST = (1 << 63) - 1
 #: Bytes of a window's hash that travel beside its 64-bit anchor.
@@ -186,12 +187,12 @@ def find_pieces(docs: DataFrame, block: int = BLOCK, part: int = PART) -> DataFr
     """Factor pieces of every row of ``docs`` (doc_id, text) that has any: doc_key, check, pieces array<binary>."""
     rows = _keyed(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))).select("doc_key", "check", "text")
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    parts = parts_for(size, part)
+    parts = parts_for(size, part, LEAST_PARTS)
 
     def parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory = WordMemory(hash64)
         for b in batches:
-            for some, texts in _blocks(b, "text", block):
+            for some, texts in text_blocks(b, "text", block):
                 ids, checks = (some.column(c).to_numpy() for c in ("doc_key", "check"))
                 made = parse_block(ids, checks, texts, memory, parts)
                 yield pa.RecordBatch.from_arrays(
