@@ -38,6 +38,8 @@ STEMS = (4, 5, 6)
 THRESHOLD = 0.3
 #: Evidence (log likelihood ratio) that a term needs, and that makes it middling or strong.
 EVIDENCE = (18.0, 40.0, 80.0)
+#: How much more often than in clean rows it has to occur.
+TIMES = 8
 
 # Closed classes of words in the languages at hand.
 THREATS = "kill hurt destroy beat burn shoot stab töten schlagen vernichten tuer frapper détruire matar golpear destruir".split()
@@ -162,8 +164,8 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 def learn_terms(rows: DataFrame, max_terms: int = MAX_TERMS) -> dict[str, str]:
     """Words and stems that mark label 1 in ``rows`` (label, text), with their symbols.
 
-    A term's neighbourhoods (the words beside it) are counted in 64 slots per label; slots are
-    merged by OR, so a task sends one row per term.
+    A term's neighbourhoods (the words beside it) are counted in 64 slots per label; slots are merged by
+    OR, so a task sends one row per term.
     """
 
     def slots(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,9 +176,13 @@ def learn_terms(rows: DataFrame, max_terms: int = MAX_TERMS) -> dict[str, str]:
                 for before, word, after in zip(["", *words], words, [*words[1:], ""]):
                     if not word:
                         continue
-                    bit = 1 << (hash64(f"{before} {word} {after}".encode()) & 63)
-                    for term in (word, *(word[:n] + "*" for n in STEMS if len(word) > n)):
-                        seen.setdefault(term, [0, 0])[label] |= bit
+                    place = hash64(f"{before} {word} {after}".encode()) & 63
+                    seen.setdefault(word, [0, 0])[label] |= 1 << place
+                    # a stem needs several words: one word, however common, fills 8 of its slots at most
+                    bit = 1 << ((place & 7) | (hash64(word.encode()) & 7) << 3)
+                    for n in STEMS:
+                        if len(word) > n:
+                            seen.setdefault(word[:n] + "*", [0, 0])[label] |= bit
         terms = pa.array(list(seen), pa.string())
         bits = np.array(list(seen.values()), np.uint64).reshape(-1, 2).view(np.int64)
         yield pa.RecordBatch.from_arrays([terms, pa.array(bits[:, 0]), pa.array(bits[:, 1])], ["term", "clean", "toxic"])
@@ -194,7 +200,7 @@ def learn_terms(rows: DataFrame, max_terms: int = MAX_TERMS) -> dict[str, str]:
     toxic, clean = (F.element_at(table, F.col(c) + 1) for c in ("toxic", "clean"))
     found = found.filter("toxic >= 4 AND toxic > clean").select("term", toxic.alias("x"), ((clean + 1) * ratio).alias("e"))
     found = found.select("term", (F.col("x") * F.log(F.col("x") / F.col("e")) - F.col("x") + F.col("e")).alias("llr"), "x", "e")
-    kept = found.filter((F.col("llr") >= EVIDENCE[0]) & (F.col("x") >= 4 * F.col("e")))
+    kept = found.filter((F.col("llr") >= EVIDENCE[0]) & (F.col("x") >= TIMES * F.col("e")))
     best = kept.orderBy(F.desc("llr"), "term").limit(max_terms).collect()
     return {r.term: INSULTS[2 - sum(r.llr >= e for e in EVIDENCE[1:])] for r in best}
 
