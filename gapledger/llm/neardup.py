@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from gapledger.llm.frames import WordMemory, free_name, hash64, mix, shingle_hashes, word_hashes
+from gapledger.llm.frames import WordMemory, free_name, hash64, mix, shingle_hashes, text_blocks, word_hashes
 from gapledger.sources.shared import write_once
 
 SHINGLE, SIMILAR = 5, 0.8
@@ -28,8 +28,9 @@ FEW_NODES = 200_000
 #: Times that members which fail with their band's centre get another centre.
 ROUNDS = 2
 #: Characters a task signs at a time.
-BLOCK = 4 << 20
-_LOW = np.uint64(0xFFFFFFFF)
+BLOCK = 2 << 20
+#: Pairs whose texts a task holds at a time.
+PAIRS = 256
 
 
 def bag(text: str, memory: WordMemory, size: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
@@ -98,26 +99,13 @@ def band_keys(signature: np.ndarray, rows: int = BAND) -> np.ndarray:
     return key
 
 
-def _blocks(batch: pa.RecordBatch, column: str, limit: int = BLOCK) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
-    """Slices of a batch of about ``limit`` characters, with their texts."""
-    size, at = 0, 0
-    lengths = [len(t) if t else 0 for t in batch.column(column).to_pylist()]
-    for i, n in enumerate([*lengths, None]):
-        if n is None or (size and size + n > limit):
-            part = batch.slice(at, i - at)
-            if part.num_rows:
-                yield part, [t or "" for t in part.column(column).to_pylist()]
-            at, size = i, 0
-        size += n or 0
-
-
 def sign(texts: DataFrame) -> DataFrame:
     """node and its band keys for rows node binary, text. Texts without words share one key."""
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory = WordMemory(hash64)
         for b in batches:
-            for part, some in _blocks(b, "text"):
+            for part, some in text_blocks(b, "text", BLOCK):
                 bags = [bag(t, memory) for t in some]
                 keys = band_keys(signatures(bags)).view(np.int64)
                 rows = [k if len(x[0]) else np.zeros(1, np.int64) for k, x in zip(keys, bags)]
@@ -133,10 +121,12 @@ def verify(pairs: DataFrame, texts: DataFrame, similar: float = SIMILAR) -> Data
         memory, last = WordMemory(hash64), (None, None)
         for b in batches:
             keep = []
-            for a, text_a, text_b in zip(*[b.column(c).to_pylist() for c in ("a", "text_a", "text_b")]):
-                if last[0] != a:
-                    last = (a, bag(text_a, memory))
-                keep.append(weighted_jaccard(last[1], bag(text_b, memory)))
+            for at in range(0, b.num_rows, PAIRS):
+                some = b.slice(at, PAIRS)
+                for a, text_a, text_b in zip(*[some.column(c).to_pylist() for c in ("a", "text_a", "text_b")]):
+                    if last[0] != a:
+                        last = (a, bag(text_a, memory))
+                    keep.append(weighted_jaccard(last[1], bag(text_b, memory)))
             keep = np.array(keep)
             ok = np.flatnonzero(keep >= similar)
             yield pa.RecordBatch.from_arrays(
