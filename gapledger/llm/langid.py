@@ -22,7 +22,7 @@ from pyspark.sql import functions as F
 from gapledger.llm.frames import crc_mod
 
 #: Labelled rows, over all languages, that training looks at.
-MAX_ROWS = 3_000
+MAX_ROWS = 2_000
 BUCKETS = 1 << 17
 DIM = 16
 EPOCHS, LEAST_STEPS = 6, 1_000
@@ -183,7 +183,7 @@ def fit(docs: DataFrame, lang_column: str = "lang", max_rows: int = MAX_ROWS, se
     if not languages:
         return LanguageModel([], np.zeros((BUCKETS + 1, 0), np.float32), np.zeros(0), np.zeros(BUCKETS + 1, bool))
     y = np.searchsorted(languages, rows.label)
-    ids = [np.asarray(x, np.int64) for x in rows.ids]
+    ids = [np.asarray(x, np.int32) for x in rows.ids]
     weights = [np.asarray(x, np.float32) / np.sum(x) for x in rows.n]
     train = np.flatnonzero(~rows.held.to_numpy(bool))
     if not len(train):
