@@ -81,11 +81,7 @@ class Codec:
 
     def encode(self, text: str) -> bytes:
         """Ids of a whole text as little-endian unsigned 32-bit integers."""
-        return b"".join(map(self._lookup, text.encode("utf-8", "replace").split()))
-
-    def _lookup(self, word: bytes) -> bytes:
-        # long runs are not remembered
-        return self.words[word] if len(word) < 4 * LEAF else self._word(word)
+        return b"".join(map(self.words.__getitem__, text.encode("utf-8", "replace").split()))
 
     def encode_run(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Tree concatenation over leaves of one long unsplit run."""
@@ -152,14 +148,11 @@ class Codec:
 
     def digests(self, text: str) -> tuple[int, str, str]:
         """Number of ids, SHA-256 of the ids and of the decoded text."""
-        ids = list(filter(None, map(self._lookup, text.encode("utf-8", "replace").split())))
+        ids = list(filter(None, map(self.words.__getitem__, text.encode("utf-8", "replace").split())))
         joined = b"".join(ids)
-        shown = b" ".join(map(self._decoded, ids))
-        return len(joined) // 4, hashlib.sha256(joined).hexdigest(), hashlib.sha256(shown).hexdigest()
-
-    def _decoded(self, id_bytes: bytes) -> bytes:
         # this tokenizer decodes to its tokens with a space between them, so words can be decoded apart
-        return self.shown[id_bytes] if len(id_bytes) < 4 * LEAF else self._show(id_bytes)
+        shown = b" ".join(map(self.shown.__getitem__, ids))
+        return len(joined) // 4, hashlib.sha256(joined).hexdigest(), hashlib.sha256(shown).hexdigest()
 
 
 _codecs: dict[str, Codec] = {}

@@ -14,19 +14,23 @@ from pyspark.sql import functions as F
 
 #: Entries after which a worker's word memory starts anew.
 MEMORY = 400_000
+#: Length up to which words are remembered.
+LONG = 256
 
 
 class WordMemory(dict):
-    """Remembers ``make(word)``; emptied when it holds ``limit`` words, so its size is bounded."""
+    """Remembers ``make(word)``; emptied when it holds ``limit`` words. Long words are made anew each time."""
 
     def __init__(self, make, limit: int = MEMORY):
         super().__init__()
         self.make, self.limit = make, limit
 
     def __missing__(self, word):
-        if len(self) >= self.limit:
-            self.clear()
-        value = self[word] = self.make(word)
+        value = self.make(word)
+        if len(word) <= LONG:
+            if len(self) >= self.limit:
+                self.clear()
+            self[word] = value
         return value
 
 
