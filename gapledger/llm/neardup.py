@@ -25,8 +25,10 @@ SHINGLE, SIMILAR = 5, 0.8
 SIZE, BAND = 125, 5
 #: Nodes up to which their names are broadcast to find their texts (24 bytes each); beyond it, a shuffle join.
 FEW_NODES = 200_000
-#: Times that members which fail with their band's centre get another centre.
+#: Times that members which fail with their band's centre get another centre, before all other pairs are looked at.
 ROUNDS = 2
+#: Bits of a bag's sketch, and members of a bucket that one tile of its pairs holds on a side.
+BITS, TILE = 1024, 1024
 #: Characters a task signs at a time.
 BLOCK = 2 << 20
 #: Pairs whose texts a task holds at a time.
@@ -99,8 +101,19 @@ def band_keys(signature: np.ndarray, rows: int = BAND) -> np.ndarray:
     return key
 
 
+def sketch(shingles: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """Parities of a bag's shingles (the k-th of equal ones apart) by hash, BITS bits as 64-bit integers.
+
+    Two bags differ in at least as many shingles as their sketches do in bits.
+    """
+    k = np.arange(counts.sum()) - np.repeat(np.cumsum(counts) - counts, counts)
+    each = mix(np.repeat(shingles, counts) + k.astype(np.uint64) * np.uint64(0xD1B54A32D192ED03))
+    odd = np.bincount((each % np.uint64(BITS)).astype(np.int64), minlength=BITS) & 1
+    return np.packbits(odd.astype(np.uint8)).view(np.int64)
+
+
 def sign(texts: DataFrame) -> DataFrame:
-    """node and its band keys for rows node binary, text. Texts without words share one key."""
+    """node, its band keys, number of shingles and sketch for rows node binary, text. Texts without words share one key."""
 
     def signed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory = WordMemory(hash64)
@@ -109,9 +122,13 @@ def sign(texts: DataFrame) -> DataFrame:
                 bags = [bag(t, memory) for t in some]
                 keys = band_keys(signatures(bags)).view(np.int64)
                 rows = [k if len(x[0]) else np.zeros(1, np.int64) for k, x in zip(keys, bags)]
-                yield pa.RecordBatch.from_arrays([part.column("node"), pa.array(rows, pa.list_(pa.int64()))], ["node", "bands"])
+                sizes = pa.array([int(n.sum()) for _, n in bags], pa.int64())
+                bits = pa.array([sketch(*x) for x in bags], pa.list_(pa.int64()))
+                yield pa.RecordBatch.from_arrays(
+                    [part.column("node"), pa.array(rows, pa.list_(pa.int64())), sizes, bits], ["node", "bands", "size", "bits"]
+                )
 
-    return texts.select("node", "text").mapInArrow(signed, "node binary, bands array<long>")
+    return texts.select("node", "text").mapInArrow(signed, "node binary, bands array<long>, size long, bits array<long>")
 
 
 def verify(pairs: DataFrame, texts: DataFrame, similar: float = SIMILAR) -> DataFrame:
@@ -163,6 +180,34 @@ def components(edges: DataFrame) -> DataFrame:
     return roots.union(edges.select(F.col("v").alias("node"), F.col("v").alias("root"))).distinct()
 
 
+def other_pairs(members: DataFrame, signed: DataFrame, roots: DataFrame, done: DataFrame, similar: float = SIMILAR) -> DataFrame:
+    """Pairs (a, b) that share a band of ``members``, have different roots, are not in ``done`` and can reach ``similar``.
+
+    Large buckets are cut into tiles of at most about TILE by TILE members. Bags of x and y shingles reach
+    ``similar`` only if they differ in at most (x + y) (1 - similar) / (1 + similar); pairs whose sizes
+    or sketches differ in more are never made.
+    """
+    rooted = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    mixed = rooted.groupBy("band").agg(F.count("*").alias("n"), F.min("root").alias("least"), F.max("root").alias("most"))
+    mixed = mixed.filter("least <> most").select("band", F.ceil(F.col("n") / TILE).cast("int").alias("shards"))
+    shard = F.pmod(F.xxhash64("node"), F.col("shards")).cast("int")
+    rows = rooted.join(mixed, "band").withColumn("shard", shard).join(signed.select("node", "size", "bits"), "node")
+    rows = write_once("mixed", rows)
+    left = rows.withColumn("i", F.col("shard")).withColumn("j", F.explode(F.sequence("shard", F.col("shards") - 1)))
+    right = rows.withColumn("j", F.col("shard")).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("shard"))))
+    x, y = left.alias("x"), right.alias("y")
+    most = (F.col("x.size") + F.col("y.size")) * ((1 - similar) / (1 + similar)) + 1e-6
+    differ = sum((F.bit_count(F.col("x.bits")[k].bitwiseXOR(F.col("y.bits")[k])) for k in range(BITS // 64)), F.lit(0))
+    met = x.join(
+        y,
+        (F.col("x.band") == F.col("y.band")) & (F.col("x.i") == F.col("y.i")) & (F.col("x.j") == F.col("y.j"))
+        & (F.col("x.root") != F.col("y.root")) & ((F.col("x.i") < F.col("x.j")) | (F.col("x.node") < F.col("y.node")))
+        & (F.abs(F.col("x.size") - F.col("y.size")) <= most) & (differ <= most),
+    )
+    pairs = met.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+    return pairs.join(done.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
+
+
 def text_node(text: Column) -> Column:
     """Name of a text: its MD5. Equal texts have one node (null counts as empty)."""
     return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
@@ -174,7 +219,9 @@ def classes(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     class_id is the smallest doc_id among all documents whose texts are connected by links of at
     least ``similar``; keeper marks the one text per class that it names. Texts without words are alike. Every text is signed; in each band
     one centre, drawn anew for every band, is compared with the others, and those it fails to
-    match get further centres of their own, so no group is expanded into all its pairs. Texts that only
+    match get further centres of their own. Of buckets that are then not of one class all other pairs across
+    classes are compared as well, so every pair that shares a band is verified, in one class already,
+    or shown by its sketches to be no link. Texts that only
     occur without doc_id have a null class_id and are compared with equal texts only.
     """
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), text_node(F.col("text")).alias("node"))
@@ -182,7 +229,18 @@ def classes(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     named = write_once("named", rows.select("node", "doc_id").groupBy("node").agg(F.min("doc_id").alias("doc_id"), F.count("*").alias("copies")))
     members = signed.select("node", F.explode("bands").alias("band"))
     shared = members.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1").select("band")
-    left = write_once("members", members.join(shared, "band"))
+    members = write_once("members", members.join(shared, "band"))
+    left = members
+
+    def verified(pairs: DataFrame) -> DataFrame:
+        needed = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
+        wanted = write_once("wanted", needed.join(named, "node").select(F.col("node").alias("wanted"), "doc_id"))
+        if wanted.count() <= FEW_NODES:
+            wanted = F.broadcast(wanted)
+        # the text of a node comes from its smallest doc_id
+        texts = rows.join(wanted, "doc_id").filter("node = wanted").groupBy("node").agg(F.first("text").alias("text"))
+        return write_once("links", verify(pairs, texts, similar))
+
     links = None
     done = None
     for _ in range(ROUNDS):
@@ -193,13 +251,7 @@ def classes(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
         if done is not None:
             pairs = pairs.join(done, ["a", "b"], "left_anti")
         pairs = write_once("pairs", pairs)
-        needed = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
-        wanted = write_once("wanted", needed.join(named, "node").select(F.col("node").alias("wanted"), "doc_id"))
-        if wanted.count() <= FEW_NODES:
-            wanted = F.broadcast(wanted)
-        # the text of a node comes from its smallest doc_id
-        texts = rows.join(wanted, "doc_id").filter("node = wanted").groupBy("node").agg(F.first("text").alias("text"))
-        found = write_once("links", verify(pairs, texts, similar))
+        found = verified(pairs)
         links = found if links is None else links.union(found)
         done = pairs if done is None else done.union(pairs)
         # who does not match its centre stays for the next round, without the centre
@@ -207,7 +259,16 @@ def classes(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
         left = write_once("members", met.join(passed, ["centre", "node"], "left_anti").select("node", "band"))
         again = left.groupBy("band").agg(F.count("*").alias("n")).filter("n > 1").select("band")
         left = left.join(again, "band")
-    roots = components(links.select("a", "b"))
+    roots = write_once("roots", components(links.select("a", "b")))
+    # what no centre connected: all other pairs across classes; their links join whole classes
+    found = verified(write_once("pairs", other_pairs(members, signed, roots, done, similar)))
+    ends = found.select("a", "b")
+    for end in ("a", "b"):
+        known = roots.select(F.col("node").alias(end), F.col("root").alias("r"))
+        ends = ends.join(known, end, "left").withColumn(end, F.coalesce("r", end)).drop("r")
+    joins = components(ends).select(F.col("node").alias("root"), F.col("root").alias("top"))
+    roots = named.select("node").join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    roots = roots.join(joins, "root", "left").select("node", F.coalesce("top", "root").alias("root"))
     joined = named.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
     # rows without doc_id count last
     best = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "node")).alias("best")

@@ -2,9 +2,11 @@ import random
 from collections import Counter
 
 import numpy as np
+from pyspark.sql import functions as F
 
+from gapledger.llm import neardup
 from gapledger.llm.frames import WordMemory, hash64
-from gapledger.llm.neardup import bag, classes, components, keep_one, near_duplicates, signatures, weighted_jaccard
+from gapledger.llm.neardup import bag, classes, components, keep_one, near_duplicates, signatures, sketch, weighted_jaccard
 
 
 def jaccard(a, b, size=5):
@@ -83,6 +85,37 @@ def test_classes_against_brute_force(spark):
     assert near_duplicates(df.limit(0)).count() == 0
 
 
+def test_large_bucket_of_families_and_chains(spark, monkeypatch):
+    r = random.Random(4)
+    template = [f"t{i}" for i in range(240)]
+    texts = []
+    for f in range(20):  # three copies of each family; families share about 0.75
+        own = [f"f{f}_{i}" for i in range(17)]
+        texts += [" ".join(own + template + own + [f"c{f}_{k}" for k in range(k)]) for k in range(3)]
+    for k in range(20):  # a chain: neighbours are alike, others are not
+        texts.append(" ".join([*template[: 215 - 5 * k], *[f"d{i}" for i in range(25 + 5 * k)]]))
+    r.shuffle(texts)
+    docs = list(enumerate(texts))
+    expected = brute_classes(docs)
+    assert len(set(expected.values())) == 21
+    # all texts in one bucket of one band, cut into tiles
+    monkeypatch.setattr(neardup, "sign", lambda rows, f=neardup.sign: f(rows).withColumn("bands", F.array(F.lit(7).cast("long"))))
+    monkeypatch.setattr(neardup, "TILE", 20, raising=False)
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    assert {x.doc_id: x.class_id for x in near_duplicates(df).collect()} == expected
+
+
+def test_sketches_never_differ_in_more_than_bags():
+    r = np.random.default_rng(3)
+    items = np.arange(400, dtype=np.uint64) * np.uint64(77777) + np.uint64(5)
+    for top in (1, 5, 900):
+        a, b = r.integers(1, top + 1, 400), r.integers(1, top + 1, 400)
+        differ = np.bitwise_count((sketch(items, a) ^ sketch(items, b)).view(np.uint64)).sum()
+        assert differ <= np.abs(a - b).sum()
+        assert not (sketch(items, a) ^ sketch(items, a)).any()
+    assert not sketch(items[:0], np.zeros(0, np.int64)).any()
+
+
 def test_odd_rows(spark):
     rows = [(1, "one two three four five six"), (1, "one two three four five six"), (1, "another text"), (None, "another text"),
             (None, "only without id"), (None, "only without id"), (5, None), (6, "")]
