@@ -6,7 +6,8 @@ factor is a window of that many words found in an index of all blocks. A task fi
 its own block, so of a passage that many documents of a block share only the first occurrence goes
 on to the index. The index is cut by the rarest (smallest hashed) run of ``ANCHOR`` words inside a window:
 equal windows have equal anchors, and neighbouring windows mostly share theirs, so
-windows travel in runs of a few bytes each. Every window is looked up, also those that straddle the
+windows travel in runs of a few bytes each. Windows of anchors that are frequent in a sample are dealt by the window
+instead, everywhere alike, so equal windows still meet and no anchor fills an index part. Every window is looked up, also those that straddle the
 end of one factor and the head of the next, so no repeated window is missed.
 """
 
@@ -22,12 +23,17 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from gapledger.llm.frames import WordMemory, free_name, hash64, mix, parts_for, shingle_hashes, text_blocks, word_hashes
+from gapledger.sources.shared import write_once
 
 WINDOW, ANCHOR = 13, 5
 #: Characters in a reference block, and characters whose windows one index part holds.
 BLOCK, PART = 5 << 20, 16 << 20
 #: Least number of index parts, so that small inputs keep many cores busy too.
 LEAST_PARTS = 64
+#: Characters of the sample in which windows are counted per anchor, and counters per index part.
+SAMPLE, SLOTS = 64 << 20, 256
+#: Anchors that share a counter with more windows than this, and than an eighth of a part, are dealt by window.
+HEAVY = 20_000
 #: Place of rows without id: after all others.
 LAST = (1 << 63) - 1
 #: Bytes of a window's hash that travel beside its 64-bit anchor.
@@ -55,26 +61,60 @@ def _pieces(doc, start, ref, ref_start) -> tuple[np.ndarray, np.ndarray]:
     return doc[first], out
 
 
-def parse_block(ids: np.ndarray, checks: np.ndarray, texts: list[str], memory: WordMemory, parts: int) -> list[dict]:
+def _windows(words: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Place, text, hash and anchor of every window that lies in one text."""
+    ends, doc_of = np.cumsum(sizes), np.repeat(np.arange(len(sizes)), sizes)
+    at = np.arange(max(0, len(words) - WINDOW + 1))
+    at = at[at + WINDOW <= ends[doc_of[at]]]
+    if not len(at):
+        return at, at, np.zeros(0, np.uint64), np.zeros(0, np.uint64)
+    runs = shingle_hashes(words, ANCHOR)
+    anchor = np.lib.stride_tricks.sliding_window_view(runs, WINDOW - ANCHOR + 1).min(1)[at]
+    return at, doc_of[at], shingle_hashes(words, WINDOW)[at], anchor
+
+
+def heavy_slots(rows: DataFrame, size: int, parts: int, least: int = HEAVY) -> np.ndarray:
+    """Which of SLOTS * ``parts`` or more counters of anchors (anchor modulo their number) have too many windows for one part.
+
+    Different windows are counted in a sample of ``rows`` (text) of ``size`` bytes. What is found decides
+    only where windows are looked up, never whether.
+    """
+    slots = 1 << (SLOTS * parts - 1).bit_length()
+    share = min(1.0, SAMPLE / max(1, size))
+    some = rows.select("text").sample(share, seed=29) if share < 1 else rows.select("text")
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memory, n = WordMemory(hash64), np.zeros(slots, np.int64)
+        for b in batches:
+            for _, texts in text_blocks(b, "text", BLOCK):
+                _, _, window, anchor = _windows(*_flat(texts, memory))
+                _, first = np.unique(window, return_index=True)
+                n += np.bincount((anchor[first] % np.uint64(slots)).astype(np.int64), minlength=slots)
+        at = np.flatnonzero(n)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int64()), pa.array(n[at], pa.int64())], ["slot", "n"])
+
+    counts = write_once("anchors", some.mapInArrow(counted, "slot long, n long").groupBy("slot").agg(F.sum("n").alias("n")))
+    most = max(least * share, (counts.agg(F.sum("n")).first()[0] or 0) / (8 * parts))
+    heavy = np.zeros(slots, bool)
+    heavy[[r.slot for r in counts.filter(F.col("n") > most).select("slot").collect()]] = True
+    return heavy
+
+
+def parse_block(
+    ids: np.ndarray, checks: np.ndarray, texts: list[str], memory: WordMemory, parts: int, heavy: np.ndarray | None = None
+) -> list[dict]:
     """Parses a block against itself; one row per index part with the windows that are left.
 
     ids and checks (of the texts) name the rows. ``own`` holds the factor pieces found in the block.
+    ``heavy`` tells the anchors (modulo its length) whose windows are dealt one by one.
     """
     order = np.argsort(ids, kind="stable")
     ids, checks, texts = ids[order], checks[order], [texts[i] for i in order]
     words, sizes = _flat(texts, memory)
-    if len(words) < WINDOW:
-        return []
-    ends = np.cumsum(sizes)
-    doc_of = np.repeat(np.arange(len(texts)), sizes)
-    at = np.arange(len(words) - WINDOW + 1)
-    at = at[at + WINDOW <= ends[doc_of[at]]]
+    at, doc, window, anchor = _windows(words, sizes)
     if not len(at):
         return []
-    window = shingle_hashes(words, WINDOW)[at]
-    runs = shingle_hashes(words, ANCHOR)
-    anchor = np.lib.stride_tricks.sliding_window_view(runs, WINDOW - ANCHOR + 1).min(1)[at]
-    doc, start = doc_of[at], at - (ends - sizes)[doc_of[at]]
+    start = at - (np.cumsum(sizes) - sizes)[doc]
     _, first, which = np.unique(window, return_index=True, return_inverse=True)
     first = first[which]  # the occurrence with the smallest id, then the first one in it
     known = ids[doc[first]] < ids[doc]
@@ -84,9 +124,11 @@ def parse_block(ids: np.ndarray, checks: np.ndarray, texts: list[str], memory: W
     # runs of neighbouring windows with one anchor, at most 256 long
     new = np.r_[True, (np.diff(at) != 1) | (np.diff(anchor.view(np.int64)) != 0) | (np.diff(doc) != 0)] if len(at) else np.zeros(0, bool)
     new |= start % 200 == 0
+    alone = np.zeros(len(at), bool) if heavy is None else heavy[(anchor % np.uint64(len(heavy))).astype(np.int64)]
+    new |= alone
     head = np.flatnonzero(new)
     length = np.diff(np.r_[head, len(at)])
-    part = (anchor[head] % np.uint64(parts)).astype(np.int64)
+    part = (np.where(alone, mix(window), anchor)[head] % np.uint64(parts)).astype(np.int64)
     by_part = np.argsort(part, kind="stable")
     own_part = own_doc % parts
     tails = window.view(np.uint8).reshape(-1, 8)[:, :TAIL]
@@ -188,13 +230,14 @@ def find_pieces(docs: DataFrame, block: int = BLOCK, part: int = PART) -> DataFr
     rows = _keyed(docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"))).select("doc_key", "check", "text")
     size = rows.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     parts = parts_for(size, part, LEAST_PARTS)
+    heavy = heavy_slots(rows, size, parts, HEAVY)
 
     def parsed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         memory = WordMemory(hash64)
         for b in batches:
             for some, texts in text_blocks(b, "text", block):
                 ids, checks = (some.column(c).to_numpy() for c in ("doc_key", "check"))
-                made = parse_block(ids, checks, texts, memory, parts)
+                made = parse_block(ids, checks, texts, memory, parts, heavy)
                 yield pa.RecordBatch.from_arrays(
                     [pa.array([r["part"] for r in made], pa.int32()), *[pa.array([r[c] for r in made], pa.binary()) for c in BLOB]],
                     ["part", *BLOB],

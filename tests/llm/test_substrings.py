@@ -2,8 +2,11 @@ import hashlib
 import random
 import re
 
+import pandas as pd
 import pytest
 
+from gapledger.llm import substrings
+from gapledger.llm.frames import WordMemory, hash64, shingle_hashes, word_hashes
 from gapledger.llm.substrings import WINDOW, factors, find_pieces, remove_repeats
 
 
@@ -53,6 +56,31 @@ def test_against_brute_force(spark, block, part):
     assert sorted(map(tuple, got), key=str) == brute(docs)
 
 
+def test_windows_of_a_frequent_phrase_are_dealt_out(spark, monkeypatch):
+    r = random.Random(6)
+
+    def filler(n):
+        return [f"w{r.randint(0, 10**6)}" for _ in range(n)]
+
+    # a phrase of small hash is the anchor of all windows that hold it
+    phrases = [f"one phrase that all share{k}".split() for k in range(3000)]
+    phrase = min(phrases, key=lambda p: int(shingle_hashes(word_hashes(WordMemory(hash64), [w.encode() for w in p]), 5)[0]))
+    words = [[*filler(20), *phrase, *filler(20)] for _ in range(600)]
+    docs = [(i, " ".join(w)) for i, w in enumerate([*words, *words[:50]])]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    monkeypatch.setattr(substrings, "HEAVY", 100, raising=False)
+
+    def watched(blob):  # windows that each index part is given
+        return pd.DataFrame({"doc_key": [sum(len(x) // substrings.TAIL for x in blob["tails"])], "check": [blob["part"].iloc[0]], "pieces": [b""]})
+
+    with monkeypatch.context() as m:
+        m.setattr(substrings, "look_up", watched)
+        taken = [x.doc_key for x in find_pieces(df, block=4000).collect()]
+    assert sum(taken) > 15_000 and max(taken) < 3 * sum(taken) / 64
+    got = remove_repeats(df, texts=False, block=4000).collect()
+    assert sorted(map(tuple, got), key=str) == brute(docs)
+
+
 def test_texts_and_empty(spark):
     docs = corpus(4)
     df = spark.createDataFrame([(*d, 5, "x") for d in docs], "doc_id long, text string, n_words int, check string")
