@@ -222,7 +222,7 @@ def classes(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     match get further centres of their own. Of buckets that are then not of one class all other pairs across
     classes are compared as well, so every pair that shares a band is verified, in one class already,
     or shown by its sketches to be no link. Texts that only
-    occur without doc_id have a null class_id and are compared with equal texts only.
+    occur without doc_id are compared like all others; a class without any doc_id has a null class_id.
     """
     rows = docs.select("doc_id", F.coalesce("text", F.lit("")).alias("text"), text_node(F.col("text")).alias("node"))
     signed = write_once("signed", sign(rows).dropDuplicates(["node"]))
@@ -235,10 +235,13 @@ def classes(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     def verified(pairs: DataFrame) -> DataFrame:
         needed = pairs.select(F.col("a").alias("node")).union(pairs.select(F.col("b").alias("node"))).distinct()
         wanted = write_once("wanted", needed.join(named, "node").select(F.col("node").alias("wanted"), "doc_id"))
+        ids, nameless = wanted.filter("doc_id IS NOT NULL"), wanted.filter("doc_id IS NULL").drop("doc_id")
         if wanted.count() <= FEW_NODES:
-            wanted = F.broadcast(wanted)
-        # the text of a node comes from its smallest doc_id
-        texts = rows.join(wanted, "doc_id").filter("node = wanted").groupBy("node").agg(F.first("text").alias("text"))
+            ids, nameless = F.broadcast(ids), F.broadcast(nameless)
+        # the text of a node comes from its smallest doc_id, or from any of its rows if none has an id
+        texts = rows.join(ids, "doc_id").filter("node = wanted").select("node", "text")
+        rest = rows.filter("doc_id IS NULL").join(nameless, F.col("node") == F.col("wanted")).select("node", "text")
+        texts = texts.union(rest).groupBy("node").agg(F.first("text").alias("text"))
         return write_once("links", verify(pairs, texts, similar))
 
     links = None
@@ -286,7 +289,7 @@ def near_duplicates(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
 def keep_one(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     """The rows of ``docs`` without near duplicates: of each class the row with the smallest doc_id.
 
-    Repeated rows count as copies. Of a class without any doc_id one text stays.
+    Repeated rows count as copies. Of a class without any doc_id one row stays.
     """
     node = free_name(docs, "node")
     rows = docs.withColumn(node, text_node(F.col("text")))
@@ -297,4 +300,4 @@ def keep_one(docs: DataFrame, similar: float = SIMILAR) -> DataFrame:
     first = named.withColumn(nth, F.row_number().over(order)).filter(F.col(nth) == 1)
     nameless = kept.filter("c IS NULL")
     rest = rows.filter("doc_id IS NULL").join(nameless, F.col(node) == F.col("k"), "left_semi")
-    return first.select(*docs.columns).unionByName(rest.select(*docs.columns).dropDuplicates())
+    return first.select(*docs.columns).unionByName(rest.dropDuplicates([node]).select(*docs.columns))

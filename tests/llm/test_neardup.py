@@ -125,6 +125,16 @@ def test_odd_rows(spark):
     assert {r.copies for r in classes(df).collect()} == {2}
 
 
+def test_rows_without_id_are_compared(spark):
+    one, two = ([f"{c}{i}" for i in range(200)] for c in "ab")
+    rows = [(7, " ".join(one), 1), (None, " ".join([*one[:-1], "x"]), 2)]
+    rows += [(None, " ".join([*two[:-1], f"y{k}"]), n) for k in range(3) for n in (3, 4)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, n int")
+    assert sorted(((r.doc_id, r.class_id) for r in near_duplicates(df).collect()), key=str) == sorted([(7, 7), (None, 7), *[(None, None)] * 6], key=str)
+    assert sorted((r.doc_id, r.text[0]) for r in keep_one(df).collect() if r.doc_id) == [(7, "a")]
+    assert [r.text[0] for r in keep_one(df).collect() if r.doc_id is None] == ["b"]
+
+
 def test_components_of_a_long_chain(spark):
     n = 200
     order = list(range(n))
