@@ -8,12 +8,15 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
-from gapledger.llm import lmscore
+from gapledger.llm import lmscore, oracles
 from gapledger.llm.bpe import encode_documents
+from gapledger.llm.divergence import divergence
 from gapledger.llm.fingerprint import fingerprints
 from gapledger.llm.langid import identify_held_out
+from gapledger.llm.merkle import audit
 from gapledger.llm.neardup import near_duplicates
 from gapledger.llm.packing import pack_documents
+from gapledger.llm.replytrees import conversation_digests, with_hostile
 from gapledger.llm.substrings import remove_repeats
 from gapledger.llm.topk import search_embeddings
 from gapledger.llm.toxicity import score_held_out
@@ -44,45 +47,70 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 
 def op1_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token pieces of every document and their places in sequences of 4096 tokens."""
     return pack_documents(read(spark, sf_dir, "documents"), vocabulary())
 
 
 def op2_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Ids and decoded text of every document, as digests."""
     return encode_documents(read(spark, sf_dir, "documents"), vocabulary())
 
 
 def op3_fingerprint(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of every text and of its edited text, and how near they are."""
     return fingerprints(read(spark, sf_dir, "documents"))
 
 
 def op4_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language and score of every document, learned from the rows that are not held out."""
     return identify_held_out(read(spark, sf_dir, "documents"))
 
 
 def op5_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five best vectors for every query vector."""
     return search_embeddings(read(spark, sf_dir, "embeddings"))
 
 
 def op6_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity of every document, learned from the rows that are not held out."""
     return score_held_out(read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
 
 
 def op7_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of near duplicates of every document."""
     return near_duplicates(read(spark, sf_dir, "documents"))
 
 
 def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page as its record in the archives tells."""
     return archive_and_read(spark, read(spark, sf_dir, "pages"))
 
 
 def op9_lmscore(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Unigram and log-bilinear score of every document."""
     return lmscore.score_held_out(read(spark, sf_dir, "documents"))
 
 
 def op10_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words of every document that repeat a passage of an earlier one, and what is left."""
     return remove_repeats(read(spark, sf_dir, "documents"), texts=False)
 
 
+def op11_reply_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Digests of every conversation, and of one that speaks in control strings, read back from its formatted text."""
+    return conversation_digests(with_hostile(read(spark, sf_dir, "conversations")))
+
+
+def op12_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Divergence of every two sources of a language, and the terms that set a source apart."""
+    return divergence(read(spark, sf_dir, "documents"))
+
+
+def op13_merkle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Leaf, roots, proof and verification of every document."""
+    return audit(read(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_packing": op1_packing,
     "op2_bpe": op2_bpe,
@@ -94,9 +122,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_warc": op8_warc,
     "op9_lmscore": op9_lmscore,
     "op10_substrings": op10_substrings,
+    "op11_reply_trees": op11_reply_trees,
+    "op12_divergence": op12_divergence,
+    "op13_merkle": op13_merkle,
 }
 
 ORACLES: dict[str, str] = {
+    "op11_reply_trees": oracles.CONVERSATIONS,
+    "op12_divergence": oracles.DIVERGENCE,
+    "op13_merkle": oracles.merkle(),
     "op10_substrings": r"""
         WITH w AS (
             SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
