@@ -12,7 +12,9 @@ from __future__ import annotations
 
 import hashlib
 import re
+import struct
 from collections.abc import Iterator
+from unicodedata import category
 
 import numpy as np
 import pandas as pd
@@ -21,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from gapledger.llm.frames import WordMemory
+from gapledger.llm.frames import MEMORY, WordMemory
 
 #: Characters beyond which a text is encoded in pieces by several tasks.
 PIECE = 65_536
@@ -33,6 +35,16 @@ AGREE = 4
 WINDOW = 64
 #: ASCII and Latin letters and signs for which lower case and normal form are plain.
 _PLAIN = re.compile("[!-~¡-¬®-įı-ňŊ-ſ]*")
+#: The same with ASCII white space, which ends words.
+_PLAIN_TEXT = re.compile("[\\x20\\x09-\\x0D!-~¡-¬®-įı-ňŊ-ſ]*")
+
+
+def _plain_rule() -> re.Pattern:
+    """The rule that cuts plain lower-case texts into parts, in terms of the built-in module."""
+    chars = [chr(c) for c in range(33, 0x180)]
+    letters = "".join(c for c in chars if category(c)[0] == "L")
+    numbers = "".join(c for c in chars if category(c)[0] == "N")
+    return re.compile(rf"'s|'t|'re|'ve|'m|'ll|'d|[{letters}]+|[{numbers}]|[^\s{letters}{numbers}]+")
 
 
 def _byte_letters() -> dict[int, str]:
@@ -53,16 +65,19 @@ class Codec:
         self.tokenizer.no_padding()
         self.model = self.tokenizer.model
         self.letters = _byte_letters()
+        self.plain_rule = _plain_rule()
         self.rule = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|\p{L}+|\p{N}|[^\s\p{L}\p{N}]+")
         added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.marks = tuple(t.encode() for t in added)
-        self.parts = WordMemory(self._part)
+        self.marks, self.mark_texts = tuple(t.encode() for t in added), tuple(added)
+        self.long_run = re.compile(rf"[^\x20\x09-\x0D]{{{LEAF + 1}}}")
+        self.parts = WordMemory(self._part, 2 * MEMORY)
         self.words = WordMemory(self._word)
         self.shown = WordMemory(self._show)
 
     def _part(self, part: str) -> bytes:
-        text = part.encode().decode("latin-1").translate(self.letters)
-        return np.array([t.id for t in self.model.tokenize(text)], "<u4").tobytes()
+        text = part if part.isascii() else part.encode().decode("latin-1").translate(self.letters)
+        ids = [t.id for t in self.model.tokenize(text)]
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def _word(self, word: bytes) -> bytes:
         """Ids of a run without ASCII white space."""
@@ -79,9 +94,18 @@ class Codec:
         spans = np.array(e.offsets, np.int64).reshape(-1, 2)
         return np.array(e.ids, np.int64), spans[:, 0], spans[:, 1]
 
+    def _pieces(self, text: str) -> Iterator[bytes]:
+        """Ids of the parts or words of a text, in order.
+
+        A plain text without long runs is cut into parts at once; the parts of its words are the same.
+        """
+        if _PLAIN_TEXT.fullmatch(text) and not any(m in text for m in self.mark_texts) and not self.long_run.search(text):
+            return map(self.parts.__getitem__, self.plain_rule.findall(text.lower()))
+        return map(self.words.__getitem__, text.encode("utf-8", "replace").split())
+
     def encode(self, text: str) -> bytes:
         """Ids of a whole text as little-endian unsigned 32-bit integers."""
-        return b"".join(map(self.words.__getitem__, text.encode("utf-8", "replace").split()))
+        return b"".join(self._pieces(text))
 
     def encode_run(self, text: str) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """Tree concatenation over leaves of one long unsplit run."""
@@ -148,9 +172,9 @@ class Codec:
 
     def digests(self, text: str) -> tuple[int, str, str]:
         """Number of ids, SHA-256 of the ids and of the decoded text."""
-        ids = list(filter(None, map(self.words.__getitem__, text.encode("utf-8", "replace").split())))
+        ids = list(filter(None, self._pieces(text)))
         joined = b"".join(ids)
-        # this tokenizer decodes to its tokens with a space between them, so words can be decoded apart
+        # this tokenizer decodes to its tokens with a space between them, so words and their parts can be decoded apart
         shown = b" ".join(map(self.shown.__getitem__, ids))
         return len(joined) // 4, hashlib.sha256(joined).hexdigest(), hashlib.sha256(shown).hexdigest()
 

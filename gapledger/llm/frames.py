@@ -12,23 +12,29 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: Entries after which a worker's word memory starts anew.
+#: Entries that a worker's word memory holds at most.
 MEMORY = 400_000
 #: Length up to which words are remembered.
 LONG = 256
 
 
 class WordMemory(dict):
-    """Remembers ``make(word)``; emptied when it holds ``limit`` words. Long words are made anew each time."""
+    """Remembers ``make(word)`` for at most ``limit`` words; long words are made anew each time.
+
+    When half of them are new, words that were not used meanwhile are forgotten.
+    """
 
     def __init__(self, make, limit: int = MEMORY):
         super().__init__()
-        self.make, self.limit = make, limit
+        self.make, self.limit, self.before = make, limit, {}
 
     def __missing__(self, word):
-        value = self.make(word)
+        value = self.before.get(word)
+        if value is None:
+            value = self.make(word)
         if len(word) <= LONG:
-            if len(self) >= self.limit:
+            if len(self) >= self.limit // 2:
+                self.before = dict(self)
                 self.clear()
             self[word] = value
         return value
