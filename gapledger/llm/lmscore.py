@@ -11,17 +11,18 @@ and w, one matrix product of their exponentials gives the normaliser of every co
 
 from __future__ import annotations
 
-from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from xxhash import xxh3_64_intdigest
 
-from gapledger.llm.frames import WordMemory, crc_mod, hash64, text_blocks
+from gapledger.llm.frames import WordMemory, crc_mod, text_blocks
 from gapledger.sources.shared import write_once
 
 #: Commonest tokens with a class of their own, groups of the others, and dimensions.
@@ -32,7 +33,8 @@ BATCH, NOISE, RATE = 2048, 64, 0.15
 ALPHA = 0.1
 #: Tokens with at least 1 / SHARE of all training tokens are broadcast: at most SHARE of them (24 MB).
 SHARE = 1_000_000
-BLOCK = 4 << 20
+#: Characters cut into tokens at a time, and tokens trained on or scored at a time.
+BLOCK, BLOCK_TOKENS = 4 << 20, 1 << 20
 #: Distinct tokens a task counts before it passes them on.
 HELD = 500_000
 END = b" "
@@ -40,7 +42,7 @@ END = b" "
 
 def token_key(word: bytes) -> int:
     """56 bits of hash, then the group of the token in the low byte."""
-    return (hash64(word) & ~0xFF) | (hash64(b"group" + word[-3:]) & 0xFF)
+    return (xxh3_64_intdigest(word) & ~0xFF) | (xxh3_64_intdigest(word[-3:], 1) & 0xFF)
 
 
 END_KEY = token_key(END)
@@ -57,27 +59,69 @@ def _tokens(texts: list[str], memory: WordMemory) -> tuple[np.ndarray, np.ndarra
     return np.concatenate(parts), np.array(sizes, np.int64)
 
 
-def count_tokens(texts: DataFrame) -> DataFrame:
-    """key and c, the number of its occurrences, for every token of ``texts`` (column text)."""
+def tokenise(docs: DataFrame) -> DataFrame:
+    """doc_id, held and keys (8 bytes a token, the end last) for every row of ``docs`` (doc_id, held, text); written once.
+
+    Counting, training and scoring read these keys, so texts are cut into tokens once. Null texts count as empty.
+    """
+    kind = docs.schema["doc_id"].dataType.simpleString()
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        memory = WordMemory(token_key)
+        for batch in batches:
+            for part, some in text_blocks(batch, "text", BLOCK):
+                keys, sizes = _tokens(some, memory)
+                ends = np.cumsum(sizes)
+                data = keys.tobytes()
+                rows = [data[8 * a : 8 * b] for a, b in zip((ends - sizes).tolist(), ends.tolist())]
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("held"), pa.array(rows, pa.binary())], ["doc_id", "held", "keys"])
+
+    rows = docs.select("doc_id", "held", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    return write_once("lm_tokens", rows.mapInArrow(cut, f"doc_id {kind}, held boolean, keys binary"))
+
+
+def _key_blocks(batch: pa.RecordBatch, limit: int = BLOCK_TOKENS) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Slices of a batch of about ``limit`` tokens, with the keys of all their rows and tokens per row."""
+    sizes = pc.binary_length(batch.column("keys")).to_numpy(zero_copy_only=False).astype(np.int64) // 8
+    ends, at = np.cumsum(sizes), 0
+    while at < len(ends):
+        before = int(ends[at - 1]) if at else 0
+        stop = max(at + 1, int(np.searchsorted(ends, before + limit, side="right")))
+        part = batch.slice(at, stop - at)
+        yield part, np.frombuffer(b"".join(part.column("keys").to_pylist()), np.uint64), sizes[at:stop]
+        at = stop
+
+
+def _added_up(parts: list[tuple[np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct keys of several lists and the sums of their counts."""
+    keys, counts = (np.concatenate(x) for x in zip(*parts))
+    order = np.argsort(keys)
+    keys, counts = keys[order], counts[order]
+    head = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]])
+    return keys[head], np.add.reduceat(counts, head)
+
+
+def count_tokens(tokens: DataFrame) -> DataFrame:
+    """key and c, the number of its occurrences, for every token of ``tokens`` (column keys)."""
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        memory, seen = WordMemory(token_key), Counter()
+        held: list[tuple[np.ndarray, np.ndarray]] = []
 
-        def flush():
-            keys = np.fromiter(map(memory.make, seen), np.uint64, len(seen)).view(np.int64)
-            n = np.fromiter(seen.values(), np.int64, len(seen))
-            return pa.RecordBatch.from_arrays([pa.array(keys), pa.array(n)], ["key", "c"])
+        def flush() -> pa.RecordBatch:
+            keys, n = held[0]
+            held.clear()
+            return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(n)], ["key", "c"])
 
         for b in batches:
-            for t in b.column("text").to_pylist():
-                seen.update((t or "").encode("utf-8", "replace").lower().split())
-                seen[END] += 1
-                if len(seen) > HELD:
+            for _, keys, _ in _key_blocks(b):
+                held.append(np.unique(keys, return_counts=True))
+                held[:] = [_added_up(held)]
+                if len(held[0][0]) > HELD:
                     yield flush()
-                    seen.clear()
-        yield flush()
+        if held:
+            yield flush()
 
-    rows = texts.select("text").mapInArrow(counted, "key long, c long")
+    rows = tokens.select("keys").mapInArrow(counted, "key long, c long")
     return rows.groupBy("key").agg(F.sum("c").alias("c"))
 
 
@@ -180,7 +224,8 @@ class LogBilinear:
 
     def _step(self, which: int, rows: np.ndarray, gradient: np.ndarray, bias: np.ndarray | None = None) -> None:
         """Adagrad on the rows of r or q that a batch touches."""
-        order = np.argsort(rows, kind="stable")
+        # few rows: sorted by radix in 16 bits
+        order = np.argsort(rows.astype(np.uint16) if len(self.r) < 1 << 16 else rows, kind="stable")
         rows, gradient = rows[order], gradient[order]
         head = np.flatnonzero(np.r_[True, rows[1:] != rows[:-1]])
         own, total = rows[head], np.add.reduceat(gradient, head, axis=0)
@@ -201,7 +246,12 @@ class LogBilinear:
 
 
 def _sigmoid(x: np.ndarray) -> np.ndarray:
-    return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
+    """1 / (1 + exp(-x)), in place."""
+    np.clip(x, -30, 30, out=x)
+    np.negative(x, out=x)
+    np.exp(x, out=x)
+    x += 1
+    return np.reciprocal(x, out=x)
 
 
 def _contexts(classes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -214,17 +264,16 @@ def _contexts(classes: np.ndarray, sizes: np.ndarray) -> tuple[np.ndarray, np.nd
     return a, b
 
 
-def train(texts: DataFrame, vocabulary: Vocabulary) -> LogBilinear:
+def train(tokens: DataFrame, vocabulary: Vocabulary) -> LogBilinear:
     """Every partition trains on all its tokens; the averages, weighted by tokens, are the model."""
-    shared = texts.sparkSession.sparkContext.broadcast(vocabulary)
+    shared = tokens.sparkSession.sparkContext.broadcast(vocabulary)
 
     def trained(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        v, memory = shared.value, WordMemory(token_key)
+        v = shared.value
         model, seen = LogBilinear(v.prior), 0
         random = np.random.default_rng(TaskContext.get().partitionId())
         for batch in batches:
-            for _, some in text_blocks(batch, "text", BLOCK):
-                keys, sizes = _tokens(some, memory)
+            for _, keys, sizes in _key_blocks(batch):
                 w, _ = v.look_up(keys)
                 model.train(*_contexts(w, sizes), w, random)
                 seen += len(w)
@@ -234,7 +283,7 @@ def train(texts: DataFrame, vocabulary: Vocabulary) -> LogBilinear:
         )
 
     model = LogBilinear(vocabulary.prior)
-    rows = texts.select("text").mapInArrow(trained, "i int, x double, n double")
+    rows = tokens.select("keys").mapInArrow(trained, "i int, x double, n double")
     mean = rows.groupBy("i").agg((F.sum("x") / F.sum("n")).alias("x")).toPandas()
     if len(mean):
         flat = np.zeros(len(mean))
@@ -243,23 +292,22 @@ def train(texts: DataFrame, vocabulary: Vocabulary) -> LogBilinear:
     return model
 
 
-def score(docs: DataFrame, vocabulary: Vocabulary, model: LogBilinear, counts: DataFrame) -> DataFrame:
-    """n_tokens, n_known, train_tokens, base_score and score for every row of ``docs`` (doc_id, text).
+def score(tokens: DataFrame, vocabulary: Vocabulary, model: LogBilinear, counts: DataFrame) -> DataFrame:
+    """n_tokens, n_known, train_tokens, base_score and score for every row of ``tokens`` (doc_id, keys).
 
     Counts of frequent tokens are at hand in each task; the others, of which none is frequent, are
-    joined by key. Null texts count as empty; null ids and repeated rows give a row each.
+    joined by key. Null ids and repeated rows give a row each.
     """
-    kind = docs.schema["doc_id"].dataType.simpleString()
+    kind = tokens.schema["doc_id"].dataType.simpleString()
     first, second, z = model.tables()
-    shared = docs.sparkSession.sparkContext.broadcast((vocabulary, first, second, z))
+    shared = tokens.sparkSession.sparkContext.broadcast((vocabulary, first, second, z))
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         v, first, second, z = shared.value
-        memory, number = WordMemory(token_key), TaskContext.get().partitionId() << 40
+        number = TaskContext.get().partitionId() << 40
         mass = np.log10(v.group_mass)
         for batch in batches:
-            for part, some in text_blocks(batch, "text", BLOCK):
-                keys, sizes = _tokens(some, memory)
+            for part, keys, sizes in _key_blocks(batch):
                 w, c = v.look_up(keys)
                 a, b = _contexts(w, sizes)
                 starts = np.cumsum(sizes) - sizes
@@ -269,16 +317,16 @@ def score(docs: DataFrame, vocabulary: Vocabulary, model: LogBilinear, counts: D
                 near = c >= 0
                 own = np.where(near, np.log10(np.maximum(c, 0) + ALPHA), 0.0)
                 # rare tokens of each text, with the times they occur in it
-                doc = np.repeat(np.arange(len(some)), sizes)[~near]
+                doc = np.repeat(np.arange(len(sizes)), sizes)[~near]
                 rare = keys[~near]
                 order = np.lexsort((rare, doc))
                 doc, rare = doc[order], rare[order]
                 head = np.flatnonzero(np.r_[True, (doc[1:] != doc[:-1]) | (rare[1:] != rare[:-1])]) if len(doc) else np.zeros(0, np.int64)
                 times = np.diff(np.r_[head, len(doc)])
-                offsets = pa.array(np.r_[np.searchsorted(doc[head], np.arange(len(some))), len(head)].astype(np.int32))
+                offsets = pa.array(np.r_[np.searchsorted(doc[head], np.arange(len(sizes))), len(head)].astype(np.int32))
                 yield pa.RecordBatch.from_arrays(
                     [
-                        part.column("doc_id"), pa.array(number + np.arange(len(some))), pa.array(sizes),
+                        part.column("doc_id"), pa.array(number + np.arange(len(sizes))), pa.array(sizes),
                         pa.array(np.add.reduceat((near & (c > 0)).astype(np.int64), starts)),
                         pa.array(np.add.reduceat(own, starts)), pa.array(np.add.reduceat(logp + np.where(grouped, own, 0), starts)),
                         pa.ListArray.from_arrays(offsets, pa.array(rare[head].view(np.int64))),
@@ -286,10 +334,9 @@ def score(docs: DataFrame, vocabulary: Vocabulary, model: LogBilinear, counts: D
                     ],
                     ["doc_id", "row", "n_tokens", "n_known", "own", "model", "rare", "times"],
                 )
-                number += len(some)
+                number += len(sizes)
 
-    rows = docs.select("doc_id", F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
-    heads = write_once("lm_heads", rows.mapInArrow(
+    heads = write_once("lm_heads", tokens.select("doc_id", "keys").mapInArrow(
         scored,
         f"doc_id {kind}, row long, n_tokens long, n_known long, own double, model double, rare array<long>, times array<int>",
     ))
@@ -315,9 +362,10 @@ def score_held_out(docs: DataFrame) -> DataFrame:
     token is unseen.
     """
     held: Column = crc_mod(F.col("doc_id"), 10) == 0
-    texts = docs.filter(~held).select("text")
-    counts = write_once("token_counts", count_tokens(texts))
+    tokens = tokenise(docs.select("doc_id", "text", held.alias("held")))
+    learned = tokens.filter("NOT held")
+    counts = write_once("token_counts", count_tokens(learned))
     vocabulary = learn_vocabulary(counts)
-    model = train(texts, vocabulary)
-    found = score(docs, vocabulary, model, counts)
+    model = train(learned, vocabulary)
+    found = score(tokens, vocabulary, model, counts)
     return found.select("doc_id", held.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score")

@@ -26,6 +26,8 @@ from gapledger.sources.shared import new_folder, write_once
 #: Bytes after which an archive is closed and the next one begun.
 ARCHIVE_BYTES = 64 << 20
 CHUNK = 1 << 16
+#: Schemes of Hadoop's file systems that Arrow knows by another name.
+_SCHEMES = {"s3a": "s3", "s3n": "s3"}
 # Fixed values of the format.
 VERSION = b"WARC/1.1"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
@@ -160,12 +162,17 @@ def read_records(stream) -> Iterator[Record]:
         yield record
 
 
-def page_record(page_id: int | None, url: str | None, payload: bytes | None, size: int, sha1: bytes, refers_to: int | None) -> bytes:
-    """A response with its payload or, with ``refers_to``, a revisit without it."""
+def page_record(
+    page_id: int | None, url: str | None, payload: bytes | None, size: int, sha1: bytes, refers_to: int | None, name: str | None = None
+) -> bytes:
+    """A response with its payload or, with ``refers_to``, a revisit without it.
+
+    ``name`` is what the record's id is made of; a place in an archive, as page ids may be null or repeat.
+    """
     key = "" if page_id is None else str(page_id)
     headers = [
         ("WARC-Type", "response" if refers_to is None else "revisit"),
-        ("WARC-Record-ID", record_id(f"page:{key}")),
+        ("WARC-Record-ID", record_id(name or f"page:{key}")),
         ("WARC-Date", "1970-01-01T00:00:00Z"),
         ("WARC-Target-URI", quote(url or "", safe="%/:=&?~#+!$,;'@()*[]")),
         ("WARC-Payload-Digest", "sha1:" + base64.b32encode(sha1).decode()),
@@ -174,7 +181,7 @@ def page_record(page_id: int | None, url: str | None, payload: bytes | None, siz
     if page_id is not None:
         headers.append(("X-Page-Id", key))
     if refers_to is not None:
-        headers += [("WARC-Profile", PROFILE), ("WARC-Refers-To", record_id(f"page:{refers_to}")), ("X-Refers-To-Page", str(refers_to))]
+        headers += [("WARC-Profile", PROFILE), ("X-Refers-To-Page", str(refers_to))]
     http = f"HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\nContent-Length: {size}\r\n\r\n".encode()
     return write_record(headers, http + (payload if refers_to is None else b""))
 
@@ -208,7 +215,7 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0, archive_by
     """
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store, root = fs.FileSystem.from_uri(folder) if "://" in folder or folder.startswith("file:") else (fs.LocalFileSystem(), folder)
+        store, root = _file_system(folder)
         store.create_dir(root, recursive=True)
         task, made, out, size, count = TaskContext.get(), [], None, 0, 0
         for b in batches:
@@ -218,7 +225,7 @@ def write_archives(pages: DataFrame, folder: str, min_bytes: int = 0, archive_by
                     out, size, count = store.open_output_stream(path, compression=None), 0, 0
                     info = write_record([("WARC-Type", "warcinfo"), ("WARC-Record-ID", record_id(path)), ("WARC-Date", "1970-01-01T00:00:00Z"), ("Content-Type", "application/warc-fields")], b"format: WARC File Format 1.1\r\n")
                     out.write(info)
-                data = page_record(*page)
+                data = page_record(*page, f"{path}:{count}")
                 out.write(data)
                 size, count = size + len(data), count + 1
                 if size >= archive_bytes:
@@ -243,7 +250,7 @@ def read_archives(manifest: DataFrame, folder: str) -> DataFrame:
     """
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        store = fs.FileSystem.from_uri(folder)[0] if "://" in folder or folder.startswith("file:") else fs.LocalFileSystem()
+        store = _file_system(folder)[0]
         names = ["page_id", "url", "payload_bytes", "payload_digest", "record_type", "refers_to", "payload"]
         kinds = [pa.int64(), pa.string(), pa.int64(), pa.string(), pa.string(), pa.int64(), pa.binary()]
         for b in batches:
@@ -269,13 +276,24 @@ def read_archives(manifest: DataFrame, folder: str) -> DataFrame:
                 if rows:
                     yield _batch(rows, names, kinds)
 
-    # an archive is a unit of work
-    spread = manifest.repartition("path")
+    # an archive is a unit of work: as many tasks as archives, for the few bytes of a manifest would be put into one
+    spread = manifest.repartition(max(1, manifest.count()), "path")
     return spread.mapInArrow(
         read, "page_id long, url string, payload_bytes long, payload_digest string, record_type string, refers_to long, payload binary"
     )
 
 
+def _file_system(folder: str) -> tuple[fs.FileSystem, str]:
+    """The file system of a folder and the folder's path there; a scheme that Arrow does not read is refused."""
+    if folder.startswith("/"):
+        return fs.LocalFileSystem(), folder
+    scheme, _, rest = folder.partition(":")
+    try:
+        return fs.FileSystem.from_uri(f"{_SCHEMES.get(scheme, scheme)}:{rest}")
+    except (pa.ArrowInvalid, NotImplementedError) as e:
+        raise ValueError(f"archives cannot be kept in {folder}: {e}") from e
+
+
 def _batch(rows: list[tuple], names: list[str], kinds: list[pa.DataType]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names)
 

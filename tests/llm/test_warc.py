@@ -4,6 +4,7 @@ import hashlib
 import io
 
 import pytest
+from pyspark.sql import functions as F
 
 from gapledger.llm.queries import QUERIES
 from gapledger.llm.warc import WarcError, archive_and_read, page_record, read_archives, read_records, write_archives, write_record
@@ -48,9 +49,25 @@ def test_payloads_and_small_archives(spark, tmp_path):
     html = {p: (h or "").encode() for p, _, h in PAGES}
     assert all(bytes(r.payload) == html[r.page_id] for r in rows if r.record_type == "response" and r.page_id)
     whole = b"".join(gzip.open(r.path).read() for r in manifest.collect())
+    # ids of records differ, though page ids are null or repeat
+    ids = [line for line in whole.split(b"\r\n") if line.startswith(b"WARC-Record-ID")]
+    assert len(ids) == len(set(ids)) == len(PAGES) + manifest.count()
     assert whole.count(b"WARC-Type: re") == len(PAGES)
 
 
+def test_archives_are_read_by_many_tasks(spark, tmp_path):
+    df = spark.range(400).selectExpr("id AS page_id", "'u' AS url", "repeat(uuid(), 20) AS html").repartition(8)
+    manifest = write_archives(df, f"file://{tmp_path}", archive_bytes=4000)
+    found = read_archives(manifest, f"file://{tmp_path}")
+    tasks = found.select(F.spark_partition_id().alias("task")).distinct().count()
+    assert manifest.count() >= 16 and tasks >= manifest.count() / 3
+
+
+def test_a_file_system_that_arrow_lacks_is_refused(spark):
+    with pytest.raises(Exception, match="archives cannot be kept in wasb"):
+        write_archives(spark.createDataFrame(PAGES, "page_id long, url string, html string"), "wasb://box@host/folder")
+
+
 class Slow(io.RawIOBase):
     """Gives a few bytes at a time."""
 
