@@ -67,7 +67,7 @@ def signatures(bags: list[tuple[np.ndarray, np.ndarray]], size: int = SIZE) -> n
         here = weight > below
         if not here.any():
             break
-        seed = mix(item[here] + np.uint64(band + 1) * np.uint64(0x9E3779B97F4A7C15))
+        seed = mix(item[here] + np.array([band + 1], np.uint64) * np.uint64(0x9E3779B97F4A7C15))
         parts.append((doc[here], seed, np.full(here.sum(), max(below, 1)), np.full(here.sum(), below), weight[here]))
         band += 1
     doc, seed, rate, below, weight = (np.concatenate(x) for x in zip(*parts))
@@ -180,32 +180,53 @@ def components(edges: DataFrame) -> DataFrame:
     return roots.union(edges.select(F.col("v").alias("node"), F.col("v").alias("root"))).distinct()
 
 
+def tiles(members: DataFrame, tile: int = TILE) -> DataFrame:
+    """``members`` (band, node, root) of buckets with more than one class, with owner and part: the tile they lie in.
+
+    A class of more than ``tile`` members has tiles of its own (owner: its root); smaller ones are pooled, each
+    class in one tile.
+    """
+    sizes = members.groupBy("band", "root").agg(F.count("*").alias("n"))
+    pooled = F.sum(F.when(F.col("n") <= tile, F.col("n")).otherwise(0))
+    mixed = sizes.groupBy("band").agg(F.count("*").alias("classes"), pooled.alias("pooled")).filter("classes > 1")
+    dealt = members.join(sizes.join(mixed, "band"), ["band", "root"])
+    own = F.col("n") > tile
+    part = F.when(own, F.pmod(F.xxhash64("node"), F.ceil(F.col("n") / tile))).otherwise(
+        F.pmod(F.xxhash64("root"), F.greatest(F.lit(1), F.ceil(F.col("pooled") / tile)))
+    )
+    return dealt.select("band", "node", "root", F.when(own, F.hex("root")).otherwise("").alias("owner"), part.alias("part"))
+
+
+def tile_pairs(dealt: DataFrame) -> DataFrame:
+    """band, x and y: the pairs of tiles of a bucket that hold members of different classes, each once."""
+    found = dealt.select("band", "owner", F.concat_ws("/", "owner", "part").alias("tile")).distinct()
+    x, y = (found.select("band", F.col("owner").alias(f"{n}_owner"), F.col("tile").alias(n)) for n in "xy")
+    other = (F.col("x_owner") == "") | (F.col("x_owner") != F.col("y_owner"))
+    return x.join(y, "band").filter(other & (F.col("x") <= F.col("y"))).select("band", "x", "y")
+
+
 def other_pairs(members: DataFrame, signed: DataFrame, roots: DataFrame, done: DataFrame, similar: float = SIMILAR) -> DataFrame:
     """Pairs (a, b) that share a band of ``members``, have different roots, are not in ``done`` and can reach ``similar``.
 
-    Large buckets are cut into tiles of at most about TILE by TILE members. Bags of x and y shingles reach
-    ``similar`` only if they differ in at most (x + y) (1 - similar) / (1 + similar); pairs whose sizes
-    or sketches differ in more are never made.
+    Tiles of one class are not compared with one another, so a bucket of many copies and one stranger takes as many
+    comparisons as it has members. Bags of x and y shingles reach ``similar`` only if they differ in at most
+    (x + y) (1 - similar) / (1 + similar); pairs whose sizes or sketches differ in more are never made.
     """
     rooted = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
-    mixed = rooted.groupBy("band").agg(F.count("*").alias("n"), F.min("root").alias("least"), F.max("root").alias("most"))
-    mixed = mixed.filter("least <> most").select("band", F.ceil(F.col("n") / TILE).cast("int").alias("shards"))
-    shard = F.pmod(F.xxhash64("node"), F.col("shards")).cast("int")
-    rows = rooted.join(mixed, "band").withColumn("shard", shard).join(signed.select("node", "size", "bits"), "node")
-    rows = write_once("mixed", rows)
-    left = rows.withColumn("i", F.col("shard")).withColumn("j", F.explode(F.sequence("shard", F.col("shards") - 1)))
-    right = rows.withColumn("j", F.col("shard")).withColumn("i", F.explode(F.sequence(F.lit(0), F.col("shard"))))
-    x, y = left.alias("x"), right.alias("y")
+    dealt = write_once("tiles", tiles(rooted))
+    rows = write_once("mixed", dealt.join(signed.select("node", "size", "bits"), "node").withColumn("tile", F.concat_ws("/", "owner", "part")))
+    pairs = write_once("tile_pairs", tile_pairs(dealt))
+    sides = [rows.withColumnRenamed("tile", n).join(pairs, ["band", n]).alias(n) for n in "xy"]
     most = (F.col("x.size") + F.col("y.size")) * ((1 - similar) / (1 + similar)) + 1e-6
     differ = sum((F.bit_count(F.col("x.bits")[k].bitwiseXOR(F.col("y.bits")[k])) for k in range(BITS // 64)), F.lit(0))
-    met = x.join(
-        y,
-        (F.col("x.band") == F.col("y.band")) & (F.col("x.i") == F.col("y.i")) & (F.col("x.j") == F.col("y.j"))
-        & (F.col("x.root") != F.col("y.root")) & ((F.col("x.i") < F.col("x.j")) | (F.col("x.node") < F.col("y.node")))
+    met = sides[0].join(
+        sides[1],
+        (F.col("x.band") == F.col("y.band")) & (F.col("x.x") == F.col("y.x")) & (F.col("x.y") == F.col("y.y"))
+        & (F.col("x.root") != F.col("y.root")) & ((F.col("x.x") < F.col("x.y")) | (F.col("x.node") < F.col("y.node")))
         & (F.abs(F.col("x.size") - F.col("y.size")) <= most) & (differ <= most),
     )
-    pairs = met.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
-    return pairs.join(done.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
+    found = met.select(F.least("x.node", "y.node").alias("a"), F.greatest("x.node", "y.node").alias("b")).distinct()
+    return found.join(done.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
 
 
 def text_node(text: Column) -> Column:

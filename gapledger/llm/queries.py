@@ -23,6 +23,10 @@ from gapledger.llm.toxicity import score_held_out
 from gapledger.llm.warc import archive_and_read
 
 
+#: Bytes of a batch of rows that is sent to a Python worker.
+BATCH_BYTES = 8 << 20
+
+
 def vocabulary(name: str = "word_bpe_49k.json") -> str:
     """Path of a public tokenizer file; it is installed at the same place on every machine."""
     import public_tokenizers
@@ -33,8 +37,10 @@ def vocabulary(name: str = "word_bpe_49k.json") -> str:
 def find_package(spark: SparkSession) -> None:
     """Lets Python workers find this package where the driver has it, whatever folder they run in.
 
-    On a cluster it is installed on every machine or sent along with the job.
+    On a cluster it is installed on every machine or sent along with the job. Batches that are sent to workers are
+    kept to ``BATCH_BYTES``: they hold whole texts, and several copies of one exist at a time.
     """
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     root, env = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
     paths = [p for p in env.get("PYTHONPATH", "").split(os.pathsep) if p]
     if root not in paths:

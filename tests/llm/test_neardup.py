@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from gapledger.llm import neardup
 from gapledger.llm.frames import WordMemory, hash64
-from gapledger.llm.neardup import bag, classes, components, keep_one, near_duplicates, signatures, sketch, weighted_jaccard
+from gapledger.llm.neardup import (
+    TILE, bag, classes, components, keep_one, near_duplicates, signatures, sketch, tile_pairs, tiles, weighted_jaccard,
+)
 
 
 def jaccard(a, b, size=5):
@@ -142,3 +144,22 @@ def test_components_of_a_long_chain(spark):
     edges = [(bytes([a // 256, a % 256]), bytes([b // 256, b % 256])) for a, b in zip(order, order[1:])]
     got = components(spark.createDataFrame(edges, "a binary, b binary")).collect()
     assert len(got) == n and {bytes(r.root) for r in got} == {b"\0\0"}
+
+
+def test_a_bucket_of_copies_and_a_stranger_takes_few_tiles(spark):
+    rows = spark.range(100_000).selectExpr("1L AS band", "unhex(md5(string(id))) AS node", "if(id = 7, unhex(md5('7')), unhex('00')) AS root")
+    dealt = tiles(rows)
+    assert dealt.count() == 100_000
+    assert tile_pairs(dealt).count() < 1_000
+    most = dealt.groupBy("owner", "part").count().agg({"count": "max"}).first()[0]
+    assert most < 2 * TILE
+    # pairs of tiles cover all pairs of classes, also where small classes are pooled
+    some = spark.createDataFrame([(1, bytes([i]), bytes([i // 3])) for i in range(30)] + [(2, b"x", b"r"), (2, b"y", b"r")], "band long, node binary, root binary")
+    dealt = tiles(some, 4)
+    assert {r.band for r in dealt.collect()} == {1}
+    at = {bytes(r.node): f"{r.owner}/{r.part}" for r in dealt.collect()}
+    covered = {(r.x, r.y) for r in tile_pairs(dealt).collect()}
+    for i in range(30):
+        for j in range(i):
+            if i // 3 != j // 3:
+                assert tuple(sorted((at[bytes([i])], at[bytes([j])]))) in covered
