@@ -13,6 +13,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 SETTING = "spark.checkpoint.dir"
+#: Bytes of a row group of a table that is written once: what a writing task buffers.
+ROW_GROUP = 32 << 20
 _local_root: dict[str, str] = {}
 _databases: dict[str, str] = {}
 _built: dict[tuple, str] = {}
@@ -40,7 +42,7 @@ def write_once(name: str, df: DataFrame) -> DataFrame:
     """Write ``df`` to a new shared folder and read it from there."""
     spark = df.sparkSession
     path = new_folder(spark, name)
-    df.write.parquet(path)
+    df.write.option("parquet.block.size", ROW_GROUP).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
