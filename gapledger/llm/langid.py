@@ -177,17 +177,18 @@ def fit(docs: DataFrame, lang_column: str = "lang", max_rows: int = MAX_ROWS, se
     rows = (
         sample(labelled, max_rows, seed)
         .mapInArrow(counted, "label string, held boolean, whole boolean, ids array<int>, n array<int>")
-        .toPandas()
+        .toArrow()
     )
-    languages = sorted(rows.label.unique())
+    languages = sorted(rows["label"].unique().to_pylist())
     if not languages:
         return LanguageModel([], np.zeros((BUCKETS + 1, 0), np.float32), np.zeros(0), np.zeros(BUCKETS + 1, bool))
-    y = np.searchsorted(languages, rows.label)
-    ids = [np.asarray(x, np.int32) for x in rows.ids]
-    weights = [np.asarray(x, np.float32) / np.sum(x) for x in rows.n]
-    train = np.flatnonzero(~rows.held.to_numpy(bool))
+    y = np.searchsorted(languages, rows["label"].to_pylist())
+    ids = _views(rows["ids"])
+    weights = [x / np.float32(x.sum()) for x in _views(rows["n"])]
+    apart, whole = (np.array(rows[c].to_pylist(), bool) for c in ("held", "whole"))
+    train = np.flatnonzero(~apart)
     if not len(train):
-        train = np.arange(len(rows))
+        train = np.arange(len(y))
     embed, out, bias = _train(ids, weights, y, train, len(languages), seed)
     known = np.zeros(BUCKETS + 1, bool)
     known[np.unique(np.concatenate([ids[i] for i in train]))] = True
@@ -195,12 +196,21 @@ def fit(docs: DataFrame, lang_column: str = "lang", max_rows: int = MAX_ROWS, se
     table[:BUCKETS] = embed @ out
     table[~known] = 0
     model = LanguageModel(languages, table, bias, known)
-    held = np.flatnonzero(rows.held.to_numpy(bool))
+    held = np.flatnonzero(apart)
     if len(held):
-        _calibrate(model, ids, weights, y, held, rows.whole.to_numpy(bool))
+        _calibrate(model, ids, weights, y, held, whole)
     return model
 
 
+def _views(lists: pa.ChunkedArray) -> list[np.ndarray]:
+    """The lists of a column as arrays, without a copy."""
+    out = []
+    for chunk in lists.chunks:
+        ends, flat = chunk.offsets.to_numpy(), chunk.values.to_numpy()
+        out += [flat[a:b] for a, b in zip(ends[:-1].tolist(), ends[1:].tolist())]
+    return out
+
+
 def _train(ids, weights, y, train, classes, seed):
     r = np.random.default_rng(seed)
     embed = r.uniform(-1, 1, (BUCKETS, DIM)).astype(np.float32) / DIM

@@ -156,8 +156,10 @@ def learn_vocabulary(counts: DataFrame) -> Vocabulary:
     sums = counts.agg(F.sum("c").alias("n"), F.count("*").alias("v")).first()
     total, distinct = sums.n or 0, sums.v
     # at most SHARE tokens can have this many
-    often = counts.filter(F.col("c") >= max(1.0, total / SHARE)).toPandas().sort_values(["c", "key"], ascending=[False, True])
-    keys = often.key.to_numpy(np.int64).view(np.uint64)
+    found = counts.filter(F.col("c") >= max(1.0, total / SHARE)).toArrow()
+    keys, often = found["key"].to_numpy(), found["c"].to_numpy()
+    order = np.lexsort((keys, -often))
+    keys, often = keys[order].view(np.uint64), often[order]
     classes = COMMON + 1 + (keys & np.uint64(0xFF)).astype(np.int64)
     common = np.flatnonzero(keys != np.uint64(END_KEY))[:COMMON]
     classes[common] = np.arange(len(common))
@@ -169,15 +171,15 @@ def learn_vocabulary(counts: DataFrame) -> Vocabulary:
         mass[g] += c + ALPHA * n
         plain[g] += c
     own = (keys[common] & np.uint64(0xFF)).astype(np.int64)
-    np.subtract.at(mass, own, often.c.to_numpy(float)[common] + ALPHA)
-    np.subtract.at(plain, own, often.c.to_numpy(float)[common])
+    np.subtract.at(mass, own, often[common] + ALPHA)
+    np.subtract.at(plain, own, often[common])
     prior = np.zeros(CLASSES)
-    prior[: len(common)] = often.c.to_numpy(float)[common]
+    prior[: len(common)] = often[common]
     prior[COMMON] = max(total - prior.sum() - plain.sum(), 0)
     prior[COMMON + 1 :] = np.maximum(plain, 0)
     prior = (prior + 1) / (prior + 1).sum()
     order = np.argsort(keys, kind="stable")
-    return Vocabulary(total, distinct, keys[order], often.c.to_numpy(np.int64)[order], classes[order], np.maximum(mass, ALPHA), prior)
+    return Vocabulary(total, distinct, keys[order], often[order], classes[order], np.maximum(mass, ALPHA), prior)
 
 
 class LogBilinear:
@@ -284,10 +286,10 @@ def train(tokens: DataFrame, vocabulary: Vocabulary) -> LogBilinear:
 
     model = LogBilinear(vocabulary.prior)
     rows = tokens.select("keys").mapInArrow(trained, "i int, x double, n double")
-    mean = rows.groupBy("i").agg((F.sum("x") / F.sum("n")).alias("x")).toPandas()
-    if len(mean):
-        flat = np.zeros(len(mean))
-        flat[mean.i.to_numpy()] = mean.x.to_numpy()
+    mean = rows.groupBy("i").agg((F.sum("x") / F.sum("n")).alias("x")).toArrow()
+    if mean.num_rows:
+        flat = np.zeros(mean.num_rows)
+        flat[mean["i"].to_numpy()] = mean["x"].to_numpy()
         model.load(flat)
     return model
 

@@ -245,11 +245,11 @@ def fit(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, seed: int
             f = [model.features(t, memory).tolist() for t in b.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column("label"), pa.array(f, pa.list_(pa.float64()))], ["label", "f"])
 
-    tried = chosen.filter(F.lit(few) | (F.col("part") == 1)).select("label", "text").mapInArrow(measured, "label int, f array<double>").toPandas()
-    if len(tried) and tried.label.nunique() == 2:
-        y = tried.label.to_numpy(float)
+    tried = chosen.filter(F.lit(few) | (F.col("part") == 1)).select("label", "text").mapInArrow(measured, "label int, f array<double>").toArrow()
+    y = tried["label"].to_numpy().astype(float)
+    if len(np.unique(y)) == 2:
         share = {k: counts[k] / max(1, (y == k).sum()) for k in (0, 1)}
-        model.weights = fit_weights(np.stack(tried.f), y, np.where(y == 1, share[1], share[0]))
+        model.weights = fit_weights(np.array(tried["f"].to_pylist()), y, np.where(y == 1, share[1], share[0]))
     return model
 
 
