@@ -306,6 +306,9 @@ SELECT doc_id, term, n_term, n_tokens, round(n_term / n_tokens, 6) AS tf FROM tf
     "tfidf_index": f"WITH {index_ctes()} SELECT doc_id, term, round(weight, 6) AS weight FROM weights",
     "index_reopened": f"WITH {index_ctes()} SELECT doc_id, term, round(weight, 6) AS weight FROM weights",
     "index_appended": f"WITH {index_ctes()} SELECT doc_id, term, round(weight, 6) AS weight FROM weights",
+    "index_updated": f"WITH {index_ctes()} SELECT doc_id, term, round(weight, 6) AS weight FROM weights",
+    "index_deleted": f"""WITH chosen AS (SELECT * FROM documents WHERE doc_id % 4 <> 1), {index_ctes("chosen")}
+SELECT doc_id, term, round(weight, 6) AS weight FROM weights""",
     "doc_norms": f"WITH {index_ctes()} SELECT doc_id, round(norm, 6) AS norm FROM norms",
     "query_vectors": f"""WITH {counted("qtf", "item_id", tokens("benchmark", "item_id", "text"))}
 SELECT item_id, term, round(n_term / n_tokens, 6) AS weight FROM qtf""",
@@ -403,6 +406,13 @@ UNION ALL SELECT o_orderkey, 2, '₹' || o_custkey || ' crore', o_custkey * 1e7,
 || ' or INR ' || format('{:.2f}', o_totalprice) || ', at most INR ' || o_custkey || ' crore, 1,000 papers.' AS note FROM orders""",
     "requirement_conflicts": """SELECT 'C' || p_partkey AS circular, p_partkey, 'day' AS unit,
 (p_size + 2)::DOUBLE AS required, p_size || '.0' AS stated FROM part WHERE p_partkey % 2 = 0""",
+    "requirement_intervals": """SELECT 'C' || p_partkey AS circular, p_partkey, 'day' AS unit, p_size::DOUBLE AS required,
+  (p_size * 20 / 24.0)::DOUBLE::VARCHAR AS stated FROM part WHERE p_partkey % 3 = 0 AND p_size * 20 > p_size * 24
+UNION ALL SELECT 'C' || p_partkey, p_partkey, 'hour', 1000.0, (p_size * 20) || '.0' FROM part WHERE p_partkey % 3 = 1 AND p_size * 20 < 1000
+UNION ALL SELECT 'C' || p_partkey, p_partkey, 'month', p_size::DOUBLE,
+  CASE WHEN p_size + 5 + p_partkey % 9 < 36 THEN (p_size + 5 + p_partkey % 9) || '.0,36.0'
+       WHEN p_size + 5 + p_partkey % 9 > 36 THEN '36.0,' || (p_size + 5 + p_partkey % 9) || '.0' ELSE '36.0' END
+FROM part WHERE p_partkey % 3 = 2 AND 5 + p_partkey % 9 > 10 AND NOT (36 BETWEEN p_size AND p_size + 10)""",
     "transcript_clear": f"""WITH {TRANSCRIPT} SELECT conv_id, turn, role, content, lang FROM transcript
 QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY turn) = 1""",
     "respond": f"""{CHAT_RANKING}, {CONTEXT},

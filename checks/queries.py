@@ -46,7 +46,13 @@ from gapledger.operators.silver import (
     silver_policies,
 )
 from gapledger.operators import amounts as A
-from gapledger.operators.stored_index import append_documents, open_index, save_index
+from gapledger.operators.stored_index import (
+    append_documents,
+    merge_segments,
+    open_index,
+    save_index,
+    update_documents,
+)
 from gapledger.plans.chat_batch import canned_answers, chat_answered, chat_hits, chat_prompts
 from gapledger.plans.gap_analysis import CircularColumns, answered, gap_matches, prompts_for
 from gapledger.plans.medallion import TableNames, run_bronze, run_gold, run_silver
@@ -314,9 +320,30 @@ def index_reopened(spark, d):
 def index_appended(spark, d):
     """Documents with even ids indexed first, those with odd ids added."""
     docs, folder = documents(spark, d), new_folder(spark, "grown")
-    save_index(docs.where(F.col("doc_id") % 2 == 0), "doc_id", "text", f"{folder}/a")
-    append_documents(spark, f"{folder}/a", docs.where(F.col("doc_id") % 2 == 1), f"{folder}/b")
-    return _saved_weights(open_index(spark, f"{folder}/b", docs))
+    save_index(docs.where(F.col("doc_id") % 2 == 0), "doc_id", "text", folder)
+    append_documents(spark, folder, docs.where(F.col("doc_id") % 2 == 1))
+    return _saved_weights(open_index(spark, folder, docs))
+
+
+def index_updated(spark, d):
+    """A third of the documents indexed with other texts first, then replaced; segments folded at the end."""
+    docs, folder = documents(spark, d), new_folder(spark, "updated")
+    third = F.col("doc_id") % 3 == 0
+    old = docs.withColumn("text", F.when(third, F.concat(F.lit("superseded wording "), "lang", F.lit(" "), F.substring("text", 1, 40))).otherwise(F.col("text")))
+    save_index(old, "doc_id", "text", folder, domain="lang")
+    update_documents(spark, folder, docs.where(third & (F.col("doc_id") % 2 == 0)))
+    update_documents(spark, folder, docs.where(third & (F.col("doc_id") % 2 == 1)))
+    merge_segments(spark, folder)
+    return _saved_weights(open_index(spark, folder, docs))
+
+
+def index_deleted(spark, d):
+    """All documents indexed, a quarter of them taken out again."""
+    docs, folder = documents(spark, d), new_folder(spark, "deleted")
+    quarter = F.col("doc_id") % 4 == 1
+    save_index(docs, "doc_id", "text", folder)
+    update_documents(spark, folder, removed=docs.where(quarter))
+    return _saved_weights(open_index(spark, folder, docs.where(~quarter)))
 
 
 def doc_norms_query(spark, d):
@@ -650,6 +677,26 @@ def requirement_conflicts_query(spark, d):
     return found.withColumn("stated", F.array_join(F.col("stated").cast("array<string>"), ","))
 
 
+def requirement_intervals(spark, d):
+    """Parts ask for limits and ranges in one unit and state numbers in another."""
+    parts = spread(read_folder(spark, d, "part"), "p_partkey")
+    size, key = F.col("p_size"), F.col("p_partkey")
+    asked = F.when(key % 3 == 0, F.concat(F.lit("Answer within "), size, F.lit(" days."))).when(
+        key % 3 == 1, F.concat(F.lit("Keep records at least 1,000 hours."))
+    ).otherwise(F.concat(size, F.lit(" to "), size + 10, F.lit(" months")))
+    stated = F.when(key % 3 == 2, F.concat(size + 5 + key % 9, F.lit("-month term or 3 years"))).otherwise(
+        F.concat(F.lit("Done in "), size * 20, F.lit(" hrs"))
+    )
+    circular = parts.select(F.concat(F.lit("C"), key).alias("circular"), asked.alias("t"))
+    policy = parts.select("p_partkey", stated.alias("t"))
+    matches = parts.select(F.concat(F.lit("C"), key).alias("circular"), "p_partkey", F.lit(1).alias("rank"))
+    found = A.requirement_conflicts(
+        matches, "circular", "p_partkey",
+        A.quantities(circular, "circular", "t"), A.quantities(policy, "p_partkey", "t"),
+    )
+    return found.withColumn("stated", F.array_join(F.col("stated").cast("array<string>"), ","))
+
+
 def sentence_pairs_query(spark, d):
     chunks = sentence_pairs(sentence_chunks(clean_text(F.col("policy_text"))))
     return chunk_rows(bronze_policies(spark, d), ["policy_id"], chunks, C.POLICY_TAG)
@@ -701,6 +748,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "tfidf_index": tfidf_index,
     "index_reopened": index_reopened,
     "index_appended": index_appended,
+    "index_updated": index_updated,
+    "index_deleted": index_deleted,
     "doc_norms": doc_norms_query,
     "query_vectors": query_vectors_query,
     "query_vectors_binary": query_vectors_binary,
@@ -722,6 +771,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "currency_amounts": currency_amounts,
     "currency_normalized": currency_normalized,
     "requirement_conflicts": requirement_conflicts_query,
+    "requirement_intervals": requirement_intervals,
     "chat_answered": chat_answered_query,
     "transcript_start": transcript_start,
     "transcript_tagged": transcript_tagged,

@@ -8,9 +8,20 @@ from pyspark.sql import functions as F
 MONEY = r"(?i)(\b(?:INR|Rs\.?)|₹)\s*([0-9][0-9,]*(?:\.[0-9]+)?)((?:\s+(?:lakh|crore))*)\b"
 LAKH = 100_000
 CRORE = 10_000_000
+_NUMBER = r"[0-9]+(?:,[0-9]+)*(?:\.[0-9]+)?"
+# What bounds a number from below or above when it stands before it.
+AT_LEAST = ("at least", "minimum of", "not less than", "no less than", "more than", "not under")
+AT_MOST = ("within", "at most", "up to", "maximum of", "not more than", "no more than", "less than", "not over")
+# Groups: bound, number, second number of a range, unit. A number starts where no digit, point or comma is before it.
 QUANTITY = (
-    r"(?i)([0-9]+(?:\.[0-9]+)?)[\s-]*(%|(?:hour|hr|day|month|year|minute)s?\b)"
+    rf"(?i)(?:\b({'|'.join(AT_LEAST + AT_MOST).replace(' ', chr(92) + 's+')})\s+)?(?<![0-9.,])(?<![0-9]-)({_NUMBER})"
+    rf"(?:\s*(?:to|-|–)\s*({_NUMBER}))?[\s-]*(%|(?:hour|hr|day|month|year|minute)s?\b)"
 )
+# Unit in the singular: the unit it is measured in, and how many of that it is.
+SCALES = {
+    "minute": ("minute", 1), "hour": ("minute", 60), "day": ("minute", 1440),
+    "month": ("month", 1), "year": ("month", 12), "%": ("%", 1),
+}
 
 
 def normalize_currency(text: Column) -> Column:
@@ -37,38 +48,64 @@ def money_amounts(df: DataFrame, key: str, text: str) -> DataFrame:
 
 
 def quantities(df: DataFrame, key: str, text: str) -> DataFrame:
-    """Distinct (number, unit) pairs per row; unit names in the singular. No shuffle."""
-    found = F.array_distinct(
-        F.transform(
-            F.regexp_extract_all(F.col(text), F.lit(QUANTITY), F.lit(0)),
-            lambda q: F.struct(
-                F.regexp_extract(q, QUANTITY, 1).cast("double").alias("number"),
-                F.regexp_replace(
-                    F.regexp_replace(F.lower(F.regexp_extract(q, QUANTITY, 2)), "s$", ""),
-                    "^hr$", "hour",
-                ).alias("unit"),
-            ),
+    """Distinct quantities per row: number, unit, base, low and high. No shuffle.
+
+    A number is taken whole, with its separators (``1,00,000``). ``unit`` is in the singular; ``base``
+    is the unit it is measured in (minutes for minutes, hours and days; months for months and years). ``low``
+    and ``high`` bound the quantity in ``base``: both ends of a range (``10 to 15 days``, whose number is its first),
+    no upper end after words such as ``at least``, from 0 on after words such as ``within``, else the number itself.
+    """
+
+    def read(q: Column) -> Column:
+        def digits(group: int) -> Column:
+            return F.replace(F.regexp_extract(q, QUANTITY, group), F.lit(","), F.lit("")).try_cast("double")
+
+        unit = F.regexp_replace(F.regexp_replace(F.lower(F.regexp_extract(q, QUANTITY, 4)), "s$", ""), "^hr$", "hour")
+        bound = F.regexp_replace(F.lower(F.regexp_extract(q, QUANTITY, 1)), r"\s+", " ")
+        return F.struct(bound.alias("bound"), digits(2).alias("number"), digits(3).alias("second"), unit.alias("unit"))
+
+    def measured(q: Column) -> Column:
+        scale, base = (F.create_map(*[F.lit(x) for u, v in SCALES.items() for x in (u, v[i])]) for i in (1, 0))
+        number, second = q["number"], F.coalesce(q["second"], q["number"])
+        times = F.element_at(scale, q["unit"])
+        low = F.when(q["bound"].isin(*AT_MOST), 0.0).otherwise(F.least(number, second) * times)
+        high = F.when(q["bound"].isin(*AT_LEAST), float("inf")).otherwise(F.greatest(number, second) * times)
+        return F.struct(
+            number.alias("number"), q["unit"].alias("unit"), F.element_at(base, q["unit"]).alias("base"),
+            low.alias("low"), high.alias("high"),
         )
-    )
-    return df.select(key, F.inline(found))
+
+    every = F.regexp_extract_all(F.col(text), F.lit(QUANTITY), F.lit(0))
+    return df.select(key, F.inline(F.array_distinct(F.transform(F.transform(every, read), measured))))
 
 
 def requirement_conflicts(
     matches: DataFrame, query_id: str, doc_id: str,
     query_quantities: DataFrame, doc_quantities: DataFrame,
 ) -> DataFrame:
-    """Best matches whose texts give different numbers for the same unit.
+    """Best matches whose texts give quantities of one kind that cannot both hold.
 
-    Equal numbers are no conflict: a requirement that the policy states as well is dropped.
+    A requirement and a stated quantity agree if their bounds overlap; a requirement that any stated one agrees with
+    is dropped. ``stated`` lists the document's numbers in the requirement's unit.
     """
     best = matches.where(F.col("rank") == 1).select(query_id, doc_id)
-    required = query_quantities.withColumnRenamed("number", "required")
-    stated = doc_quantities.withColumnRenamed("number", "stated")
-    pairs = best.join(required, query_id).join(stated, [doc_id, "unit"])
-    met = F.max(F.col("required") == F.col("stated"))
+
+    def named(df: DataFrame, number: str) -> DataFrame:
+        names = {"number": number, "unit": f"{number}_unit", "low": f"{number}_low", "high": f"{number}_high"}
+        return df.withColumnsRenamed(names)
+
+    pairs = best.join(named(query_quantities, "required"), query_id).join(
+        named(doc_quantities, "stated"), [doc_id, "base"]
+    )
+    scale = F.create_map(*[F.lit(x) for u, v in SCALES.items() for x in (u, float(v[1]))])
+    overlap = (F.col("required_low") <= F.col("stated_high")) & (F.col("stated_low") <= F.col("required_high"))
+    converted = F.when(F.col("stated_unit") == F.col("required_unit"), F.col("stated")).otherwise(
+        F.col("stated") * F.element_at(scale, F.col("stated_unit")) / F.element_at(scale, F.col("required_unit"))
+    )
+    asked = [query_id, doc_id, "required_unit", "required", "required_low", "required_high"]
     return (
-        pairs.groupBy(query_id, doc_id, "unit", "required")
-        .agg(met.alias("met"), F.array_sort(F.collect_set("stated")).alias("stated"))
+        pairs.groupBy(*asked)
+        .agg(F.max(overlap).alias("met"), F.array_sort(F.collect_set(converted)).alias("stated"))
         .where("NOT met")
-        .drop("met")
+        .select(query_id, doc_id, F.col("required_unit").alias("unit"), "required", "stated")
     )

@@ -43,6 +43,8 @@ LEVELS = 12
 # Postings per bucket aimed at, and Spark's own limit on buckets.
 BUCKET_ROWS = 5_000_000
 MAX_BUCKETS = 100_000
+# How postings are written: small pages, so that a scan for few terms skips most of them.
+POSTING_FILES = {"parquet.page.row.count.limit": 2_048}
 
 
 @dataclass(frozen=True)
@@ -175,6 +177,10 @@ def level_of(prefix: Column) -> Column:
     return F.least(F.lit(LEVELS), F.floor(F.log2(prefix) * -2).cast("int"))
 
 
+def term_hash(term: Column) -> Column:
+    return F.xxhash64(term)
+
+
 def by_frequency(key: str) -> WindowSpec:
     """A row's terms from the most frequent in the corpus to the rarest."""
     return Window.partitionBy(key).orderBy(F.desc("df"), "term")
@@ -187,6 +193,7 @@ def unit_postings(weighted: DataFrame, key: str, buckets: int) -> DataFrame:
     ``prefix``  norm of the units of this term and all that are more frequent
     ``level``   level of ``prefix``; null for weights of 0, which never match
     ``shard``   part of a frequent term's postings
+    ``term_hash``  the order in which a bucket's postings are written, see ``retrieve.narrowed``
     """
     square = F.col("weight") * F.col("weight")
     up_to_here = by_frequency(key).rowsBetween(Window.unboundedPreceding, Window.currentRow)
@@ -201,7 +208,7 @@ def unit_postings(weighted: DataFrame, key: str, buckets: int) -> DataFrame:
         .withColumn("shard", F.pmod(F.xxhash64(key), F.col("shards")).cast("int"))
         .select(
             key, "term", "n_term", "n_tokens", "weight", "norm",
-            "unit", "prefix", "level", "shard",
+            "unit", "prefix", "level", "shard", term_hash(F.col("term")).alias("term_hash"),
         )
     )
 
@@ -279,7 +286,7 @@ def _weighed(
     postings = build_once(
         spark, key, "postings",
         lambda: unit_postings(weigh(tf, terms, hot_terms), doc_id, buckets),
-        bucket_by=doc_id, buckets=buckets,
+        bucket_by=doc_id, buckets=buckets, sort_by="term_hash", options=POSTING_FILES,
     )
     return Index(corpus, doc_id, text, scheme, terms, postings, buckets, tf, domain)
 

@@ -19,6 +19,11 @@ before they are made:
    pairs that reach the floor this way are candidates.
 3. Candidates get their full score, and the best k per query are kept.
 
+Either way only the part of a bucket that may hold a query word is read: its postings lie in the
+order of their words' hashes, and the hashes of all query words, as at most ``RANGES`` ranges, bound
+the scan. For one question that skips nearly all pages; for very many words the ranges
+cover everything and are left out.
+
 Postings carry the level of their prefix, and the levels a query may skip are left out
 of the join key; frequent words are cut into shards, so that no key holds more than
 ``SHARD_ROWS`` postings.
@@ -26,7 +31,7 @@ of the join key; frequent words are cut into shards, so that no key holds more t
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
@@ -34,7 +39,14 @@ from pyspark.sql import functions as F
 
 from gapledger import constants as C
 from gapledger.functions.text import strip
-from gapledger.operators.index import LEVELS, Index, by_frequency, level_of, query_vectors
+from gapledger.operators.index import (
+    LEVELS,
+    Index,
+    by_frequency,
+    level_of,
+    query_vectors,
+    term_hash,
+)
 from gapledger.sources.shared import write_once
 
 # Scores are compared after rounding, so that the order of a sum cannot break a tie.
@@ -43,6 +55,11 @@ SCORE_DIGITS = 9
 SLACK = 1e-6
 # Most hits (ids, score, rank: some 40 bytes) that are broadcast to fetch their records.
 BROADCAST_HITS = 1_000_000
+# Ranges of word hashes that bound a scan, and bits of a hash that tell slots apart while they are sought.
+RANGES = 64
+SLOT_BITS = 12
+# Share of all hashes beyond which bounding a scan saves too little.
+WORTHWHILE = 0.5
 
 
 @dataclass(frozen=True)
@@ -63,11 +80,52 @@ def known_words(vectors: DataFrame, index: Index) -> DataFrame:
     return vectors.withColumnRenamed("unit", "query_unit").join(terms, "term")
 
 
-def blocks_needed(known: DataFrame, index: Index, limits: Limits) -> int:
-    """Blocks of queries for scoring in place; two numbers are fetched."""
-    size = known.agg(F.count(F.lit(1)).alias("words"), F.sum("df").alias("steps")).first()
-    by_words = -(-size["words"] // limits.words)
-    by_steps = -(-(size["steps"] or 0) // (limits.steps * index.buckets))
+@dataclass(frozen=True)
+class Survey:
+    """What a search will take: query words, scoring steps, and the ranges that hold the words' hashes."""
+
+    words: int
+    steps: int
+    ranges: list[tuple[int, int]]
+
+
+def survey(known: DataFrame) -> Survey:
+    """Counts the query words; at most 2**SLOT_BITS rows are fetched, however many words there are."""
+    hashed = known.select("df", term_hash(F.col("term")).alias("h"))
+    slots = hashed.groupBy(F.shiftright("h", 64 - SLOT_BITS).alias("slot")).agg(
+        F.count(F.lit(1)).alias("words"), F.sum("df").alias("steps"), F.min("h").alias("low"), F.max("h").alias("high")
+    ).collect()
+    return Survey(
+        sum(s.words for s in slots), sum(s.steps for s in slots), widest_apart([(s.low, s.high) for s in slots])
+    )
+
+
+def widest_apart(ranges: list[tuple[int, int]], most: int = RANGES) -> list[tuple[int, int]]:
+    """At most ``most`` ranges around the given ones, which do not overlap: the widest gaps stay open."""
+    ranges = sorted(ranges)
+    gaps = sorted(range(1, len(ranges)), key=lambda i: ranges[i - 1][1] - ranges[i][0])[: most - 1]
+    starts = [0, *sorted(gaps)] if ranges else []
+    return [(ranges[a][0], ranges[b - 1][1]) for a, b in zip(starts, [*starts[1:], len(ranges)])]
+
+
+def narrowed(index: Index, ranges: list[tuple[int, int]]) -> Index:
+    """The index whose postings are read only where the hash of their term lies in ``ranges``.
+
+    The bounds reach the Parquet reader, which skips row groups and pages by their statistics.
+    """
+    if sum(high - low + 1 for low, high in ranges) > WORTHWHILE * 2.0**64:
+        return index
+    bounds = [F.col("term_hash").between(low, high) for low, high in ranges]
+    # halves, not a chain: the depth stays small
+    while len(bounds) > 1:
+        bounds = [reduce(Column.__or__, bounds[i : i + 2]) for i in range(0, len(bounds), 2)]
+    return replace(index, postings=index.postings.where(bounds[0] if bounds else F.lit(False)))
+
+
+def blocks_needed(found: Survey, index: Index, limits: Limits) -> int:
+    """Blocks of queries for scoring in place."""
+    by_words = -(-found.words // limits.words)
+    by_steps = -(-found.steps // (limits.steps * index.buckets))
     return max(1, by_words, by_steps)
 
 
@@ -218,7 +276,8 @@ def retrieve(
     vectors = query_vectors(queries, query_id, text, index.scheme, binary)
     # Read by the count below and by every block or pruning step.
     known = write_once("query-words", known_words(vectors, index))
-    blocks = blocks_needed(known, index, limits)
+    found = survey(known)
+    index, blocks = narrowed(index, found.ranges), blocks_needed(found, index, limits)
     if blocks <= limits.blocks:
         scored = [
             scored_in_place(part, index, query_id)
@@ -262,7 +321,8 @@ def cosine_scores(
     vectors = query_vectors(queries, query_id, text, index.scheme, binary)
     # Read by the count below and by every block or pruning step.
     known = write_once("query-words", known_words(vectors, index))
-    blocks = blocks_needed(known, index, limits)
+    found = survey(known)
+    index, blocks = narrowed(index, found.ranges), blocks_needed(found, index, limits)
     if blocks <= limits.blocks:
         parts = query_blocks(known, query_id, blocks)
         scored = reduce(

@@ -64,19 +64,24 @@ def build_once(
     make: Callable[[], DataFrame],
     bucket_by: str | None = None,
     buckets: int = 0,
+    sort_by: str | None = None,
+    options: dict[str, str | int] | None = None,
 ) -> DataFrame:
     """Write a table on the first call with ``key`` in this application, read it later.
 
     With ``bucket_by`` the rows of one value lie in one bucket, so later joins and
-    aggregations by that column need no shuffle. The caller's key has to tell inputs
+    aggregations by that column need no shuffle; with ``sort_by`` a bucket's file is in that order, so that
+    a scan with bounds on it skips pages. The caller's key has to tell inputs
     and parameters apart; ``forget`` drops it when an input has changed.
     """
     key = (spark.sparkContext.applicationId, name, *key)
     if key not in _built:
         table = f"{_database(spark)}.{name}_{uuid.uuid4().hex}"
-        writer = make().write.format("parquet")
+        writer = make().write.format("parquet").options(**(options or {}))
         if bucket_by:
             writer = writer.bucketBy(buckets, bucket_by)
+        if sort_by:
+            writer = writer.sortBy(sort_by)
         writer.saveAsTable(table)
         _built[key] = table
     return spark.table(_built[key])

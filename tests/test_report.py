@@ -1,3 +1,6 @@
+import math
+import random
+
 import pandas as pd
 import pytest
 from pyspark.sql import functions as F
@@ -192,6 +195,46 @@ def test_money_needs_a_word_of_its_own(spark):
     assert texts == ["years 2024, hours 12 and papers 7, then INR 5", "INR " + "1" * 60 + "000", "1,5 INR 12 1,3"]
 
 
+@pytest.mark.parametrize("text, wanted", [
+    ("1,000 days", [(1000.0, "day", 1_440_000.0, 1_440_000.0)]),
+    ("1,00,000 hours and 2.5 hrs", [(100_000.0, "hour", 6e6, 6e6), (2.5, "hour", 150.0, 150.0)]),
+    ("10 to 15 days, 3-5 months", [(10.0, "day", 14_400.0, 21_600.0), (3.0, "month", 3.0, 5.0)]),
+    ("within 6 hrs; At  Least 2 years; NOT more than 7%", [(6.0, "hour", 0.0, 360.0), (2.0, "year", 24.0, math.inf), (7.0, "%", 0.0, 7.0)]),
+    ("12-hour limit, x1.2.3 days, a1 day", [(12.0, "hour", 720.0, 720.0), (1.0, "day", 1440.0, 1440.0)]),
+    ("no unit 5, 6 daylight", []), ("", []), (None, []),
+])
+def test_quantities_are_whole_numbers_with_bounds(spark, text, wanted):
+    df = spark.createDataFrame([(1, text)], "id int, t string")
+    assert [(r.number, r.unit, r.low, r.high) for r in quantities(df, "id", "t").collect()] == wanted
+
+
+def test_conflicts_against_brute_force(spark):
+    r = random.Random(5)
+    units = {"minutes": ("m", 1), "hours": ("m", 60), "days": ("m", 1440), "months": ("y", 1), "years": ("y", 12), "%": ("%", 1)}
+    words = {"": None, "within ": "high", "at least ": "low"}
+
+    def phrase():
+        n, unit, word = r.randint(1, 40), r.choice(list(units)), r.choice(list(words))
+        more = f" to {n + r.randint(0, 9)}" if not word and r.random() < 0.4 else ""
+        kind, scale = units[unit]
+        high = (int(more[4:]) if more else n) * scale
+        bounds = {"high": (0, n * scale), "low": (n * scale, math.inf), None: (n * scale, high)}[words[word]]
+        return f"{word}{n}{more} {unit}", (kind, *bounds, float(n), unit.rstrip("s"))
+
+    asked = [[phrase() for _ in range(r.randint(0, 4))] for _ in range(150)]
+    given = [[phrase() for _ in range(r.randint(0, 4))] for _ in range(150)]
+    expected = set()
+    for i, (a, b) in enumerate(zip(asked, given)):
+        for _, (kind, low, high, n, unit) in a:
+            same = [q for _, q in b if q[0] == kind]
+            if same and not any(low <= q[2] and q[1] <= high for q in same):
+                expected.add((i, unit, n))
+    texts = [spark.createDataFrame([(i, "; ".join(p for p, _ in x)) for i, x in enumerate(y)], "id int, t string") for y in (asked, given)]
+    matches = spark.range(150).selectExpr("CAST(id AS int) AS id", "CAST(id AS int) AS pid", "1 AS rank")
+    found = requirement_conflicts(matches, "id", "pid", quantities(texts[0], "id", "t"), quantities(texts[1], "id", "t").withColumnRenamed("id", "pid"))
+    assert {(x.id, x.unit, x.required) for x in found.collect()} == expected and expected
+
+
 def test_requirement_conflicts(spark):
     circulars = spark.createDataFrame(
         [("C1", "at least 24 HOURS and 100% cover"), ("C2", "within 6 hrs")], "cid string, t string"

@@ -8,7 +8,14 @@ from plan import explained
 from gapledger.operators import index as I
 from gapledger.operators import retrieve as R
 from gapledger.operators.index import index_of_domains
-from gapledger.operators.stored_index import append_documents, open_index, save_index
+from gapledger.operators.stored_index import (
+    append_documents,
+    merge_segments,
+    open_index,
+    save_index,
+    segments,
+    update_documents,
+)
 
 BLOCKS = R.Limits(words=60)
 PRUNED = R.Limits(blocks=0)
@@ -162,10 +169,10 @@ def test_blocks_follow_words_and_steps(spark):
     vectors = I.query_vectors(make_queries(spark, queries), "query_id", "question")
     known = R.known_words(vectors, index)
     words, steps = known.agg(F.count("*"), F.sum("df")).first()
-    assert R.blocks_needed(known, index, R.LIMITS) == 1
-    assert R.blocks_needed(known, index, R.Limits(words=words - 1)) == 2
+    assert R.blocks_needed(R.survey(known), index, R.LIMITS) == 1
+    assert R.blocks_needed(R.survey(known), index, R.Limits(words=words - 1)) == 2
     per_task = -(-steps // (3 * index.buckets))
-    assert R.blocks_needed(known, index, R.Limits(steps=per_task)) == 3
+    assert R.blocks_needed(R.survey(known), index, R.Limits(steps=per_task)) == 3
     parts = R.query_blocks(known, "query_id", 3)
     ids = [{r.query_id for r in part.select("query_id").distinct().collect()} for part in parts]
     assert sum(map(len, ids)) == len(set().union(*ids))
@@ -209,23 +216,105 @@ def test_domain_index_reads_no_text(spark, small):
         index_of_domains(make_index(spark, {1: "alpha"}), ["x"], ("no domain",))
 
 
-def test_saved_index_is_opened_and_extended(spark, tmp_path):
+def best_hits(index, asked):
+    return {
+        (r.query_id, r["rank"]): (r.doc_id, r.score)
+        for r in R.retrieve(index, asked, "query_id", "question", 5).collect()
+    }
+
+
+def test_saved_index_follows_its_documents(spark, tmp_path):
     docs, queries = skewed(40, 6, 4)
     rows = [(d, t, "d%d" % (d % 3)) for d, t in docs.items()]
     corpus = spark.createDataFrame(rows, "doc_id long, text string, domain string")
+    asked, folder = make_queries(spark, queries), str(tmp_path / "index")
     first, second = corpus.where("doc_id % 3 = 0"), corpus.where("doc_id % 3 <> 0")
-    save_index(first, "doc_id", "text", str(tmp_path / "a"))
-    append_documents(spark, str(tmp_path / "a"), second, str(tmp_path / "b"))
-    index = open_index(spark, str(tmp_path / "b"), corpus, check=True)
-    asked = make_queries(spark, queries)
-
-    def best(index):
-        return {
-            (r.query_id, r.rank): (r.doc_id, r.score)
-            for r in R.retrieve(index, asked, "query_id", "question", 5).collect()
-        }
-
-    assert best(index) == best(I.build_index(corpus, "doc_id", "text", (random.random(),)))
+    save_index(first, "doc_id", "text", folder)
+    whole = spark.read.parquet(f"{folder}/segments/*/counts").count()
+    open_index(spark, folder, first)
+    append_documents(spark, folder, second)
+    index = open_index(spark, folder, corpus)
+    once = I.build_index(corpus, "doc_id", "text", (random.random(),))
+    assert best_hits(index, asked) == best_hits(once, asked)
     assert "Bucketed: true" in explained(index.postings.groupBy("doc_id").count())
-    with pytest.raises(ValueError):
-        open_index(spark, str(tmp_path / "a"), corpus, check=True)
+    # what was written is in proportion to what came: the new rows' postings and nothing else
+    old, new = segments(spark, folder)
+    assert spark.read.parquet(f"{folder}/segments/{old}/counts").count() == whole
+    assert spark.read.parquet(f"{folder}/segments/{new}/counts").count() == once.counts.join(second, "doc_id", "left_semi").count()
+    with pytest.raises(ValueError, match="other documents"):
+        open_index(spark, folder, first)
+    with pytest.raises(ValueError, match="already"):
+        append_documents(spark, folder, second.limit(1))
+    # replaced, taken out, brought back, and folded
+    changed = corpus.where("doc_id % 5 = 0").withColumn("text", F.lit("w1 w2 altogether new words"))
+    update_documents(spark, folder, changed, corpus.where("doc_id % 5 = 1"))
+    update_documents(spark, folder, removed=corpus.where("doc_id = 10"))
+    update_documents(spark, folder, corpus.where("doc_id IN (10, 11)"))
+    update_documents(spark, folder)
+    now = corpus.where("doc_id % 5 > 1").union(changed.where("doc_id <> 10")).union(corpus.where("doc_id IN (10, 11)"))
+    expected = best_hits(I.build_index(now, "doc_id", "text", (random.random(),)), asked)
+    assert len(segments(spark, folder)) == 5
+    assert best_hits(open_index(spark, folder, now), asked) == expected
+    merge_segments(spark, folder)
+    assert len(segments(spark, folder)) == 1
+    assert best_hits(open_index(spark, folder, now), asked) == expected
+
+
+def test_a_change_that_fails_leaves_the_version_before(spark, tmp_path):
+    folder = str(tmp_path / "index")
+    corpus = spark.createDataFrame(list(TINY.items()), "doc_id long, text string")
+    save_index(corpus, "doc_id", "text", folder)
+    broken = corpus.withColumn("text", F.raise_error(F.lit("lost")).cast("string"))
+    with pytest.raises(Exception, match="lost"):
+        update_documents(spark, folder, broken)
+    assert len(segments(spark, folder)) == 1
+    assert open_index(spark, folder, corpus).terms.count() == 3
+
+
+def rows_read(df):
+    """Rows that the scans of a collected DataFrame handed on."""
+    plan, total, todo = df._jdf.queryExecution().executedPlan(), 0, []
+    todo.append(plan)
+    while todo:
+        node = todo.pop()
+        name = node.nodeName()
+        if name.startswith("AdaptiveSparkPlan"):
+            todo.append(node.executedPlan())
+            continue
+        if name.startswith("Scan parquet"):
+            total += node.metrics().apply("numOutputRows").value()
+        if "QueryStage" in name:
+            todo.append(node.plan())
+        children = node.children()
+        todo += [children.apply(i) for i in range(children.size())]
+    return total
+
+
+def test_one_question_skips_most_pages(spark, tmp_path):
+    """The scan is bounded by the words' hashes; pages without them are not read, and nothing is lost."""
+    r = random.Random(3)
+    docs = {d: " ".join(f"word{r.randrange(20_000)}" for _ in range(120)) for d in range(2_000)}
+    index = make_index(spark, docs)
+    total = index.postings.count()
+    asked = make_queries(spark, {"q": "word17 word400 word9000 word12345"})
+    known = R.known_words(I.query_vectors(asked, "query_id", "question"), index)
+    found = R.survey(known)
+    assert found.words == 4 and len(found.ranges) == 4
+    few = R.narrowed(index, found.ranges).postings
+    assert "PushedFilters: [" in explained(few) and "term_hash" in explained(few).split("PushedFilters")[1]
+    few.collect()
+    assert 0 < rows_read(few) < total / 3
+    best = R.retrieve(index, asked, "query_id", "question", 3, pad=False).collect()
+    brute = R.best_k(R.scored_in_place(known, index, "query_id"), "query_id", "doc_id", 3).collect()
+    assert sorted(map(tuple, best)) == sorted(tuple(x[c] for c in ("query_id", "doc_id", "score", "rank")) for x in brute)
+
+
+def test_ranges_keep_the_widest_gaps_open():
+    r = random.Random(1)
+    for n in (0, 1, 5, 64, 65, 900):
+        points = [(p, p) for p in (r.randrange(-(2**63), 2**63) for _ in range(n))]
+        ranges = R.widest_apart(points)
+        assert len(ranges) == min(n, R.RANGES)
+        assert all(any(a <= p <= b for a, b in ranges) for p, _ in points)
+        assert all(x[1] < y[0] for x, y in zip(ranges, ranges[1:]))
+    assert R.widest_apart([(0, 1), (5, 6), (100, 120)], 2) == [(0, 6), (100, 120)]
