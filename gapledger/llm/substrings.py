@@ -7,8 +7,9 @@ its own block, so of a passage that many documents of a block share only the fir
 on to the index. The index is cut by the rarest (smallest hashed) run of ``ANCHOR`` words inside a window:
 equal windows have equal anchors, and neighbouring windows mostly share theirs, so
 windows travel in runs of a few bytes each. Windows of anchors that are frequent in a sample are dealt by the window
-instead, everywhere alike, so equal windows still meet and no anchor fills an index part. Every window is looked up, also those that straddle the
-end of one factor and the head of the next, so no repeated window is missed.
+instead, everywhere alike, so equal windows still meet and no anchor fills an index part. Every window is looked up. A
+document's matched windows are then parsed greedily into factors (``factors``): each is as long as its head's reference goes on,
+the next starts behind it, and windows that straddle the boundary are checked there, so no repeated window is missed.
 """
 
 from __future__ import annotations
@@ -193,25 +194,44 @@ def look_up(blobs: pd.DataFrame) -> pd.DataFrame:
     })
 
 
-def factors(pieces: list[bytes]) -> np.ndarray:
-    """A document's factors in greedy order: each starts where the one before it ended or later, and is the
-    longest at its start. Rows: start, length (words), ref (id of the reference), ref_start."""
+def matched(pieces: list[bytes]) -> np.ndarray:
+    """All windows that have a reference, as pieces in the order of the text; what continues a reference is one piece.
+
+    A window has one reference, so the pieces of different index parts share none.
+    """
     p = np.concatenate([np.frombuffer(b, PIECE) for b in pieces]) if pieces else np.zeros(0, PIECE)
     p = np.sort(p, order=["start", "windows"])
     _, out = _pieces(*[np.repeat(p[c], p["windows"]).astype(np.int64) + (_inside(p) if c in ("start", "ref_start") else 0) for c in ("ref", "start", "ref", "ref_start")])
     return out
 
 
+def factors(pieces: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """A document's greedy parse: its factors, and the matched windows that straddle the end of one.
+
+    The first matched window at or behind the end of a factor heads the next; it takes all words along which its
+    reference goes on. A matched window that starts inside a factor and ends behind it is checked at that boundary:
+    its words repeat too, though it is part of no factor. Both are rows of PIECE; words between them have no reference.
+    """
+    found, joints, end = [], [], 0
+    for start, windows, ref, ref_start in matched(pieces).tolist():
+        inside = min(max(end - start, 0), windows)
+        if inside:
+            joints.append((start, inside, ref, ref_start))
+        if inside < windows:
+            found.append((start + inside, windows - inside, ref, ref_start + inside))
+            end = start + windows + WINDOW - 1
+    return np.array(found, PIECE), np.array(joints, PIECE)
+
+
 def _inside(p: np.ndarray) -> np.ndarray:
     n = p["windows"].astype(np.int64)
     return np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
 
 
 def covered(n_words: int, pieces: list[bytes]) -> np.ndarray:
-    """Which words lie in a factor."""
+    """Which words lie in a factor of the document's parse, or in a window that straddles the end of one."""
     edge = np.zeros(n_words + 1, np.int64)
-    for b in pieces or ():
-        p = np.frombuffer(b, PIECE)
+    for p in factors(pieces):
         np.add.at(edge, p["start"].astype(np.int64), 1)
         np.add.at(edge, p["start"].astype(np.int64) + p["windows"] + WINDOW - 1, -1)
     return np.cumsum(edge[:-1]) > 0

@@ -2,12 +2,13 @@ import hashlib
 import random
 import re
 
+import numpy as np
 import pandas as pd
 import pytest
 
 from gapledger.llm import substrings
 from gapledger.llm.frames import WordMemory, hash64, shingle_hashes, word_hashes
-from gapledger.llm.substrings import WINDOW, factors, find_pieces, remove_repeats
+from gapledger.llm.substrings import PIECE, WINDOW, covered, factors, find_pieces, matched, remove_repeats
 
 
 def brute(docs):
@@ -98,14 +99,47 @@ def test_factors_point_to_equal_words(spark):
     docs = [d for d in corpus(5) if d[0] is not None and d[0] != 1006]
     words = {d: (t or "").encode().split() for d, t in docs}
     df = spark.createDataFrame(docs, "doc_id long, text string")
-    n = 0
+    n = straddling = 0
     for r in find_pieces(df, block=900, part=2000).collect():
-        for f in factors(r.pieces):
+        found, joints = factors(r.pieces)
+        for f in [*found, *joints]:
             a, length = int(f["start"]), int(f["windows"]) + WINDOW - 1
             b = int(f["ref_start"])
             assert words[r.doc_key][a : a + length] == words[int(f["ref"])][b : b + length] and f["ref"] < r.doc_key
-            n += 1
-    assert n > 50
+        ends = [int(f["start"] + f["windows"]) + WINDOW - 1 for f in found]
+        # one behind the other; what is left of the matched windows straddles an end
+        assert all(int(f["start"]) >= e for f, e in zip(found[1:], ends))
+        assert all(any(int(j["start"]) < e < int(j["start"] + j["windows"]) + WINDOW for e in ends) for j in joints)
+        assert matched(r.pieces)["windows"].sum() == found["windows"].sum() + joints["windows"].sum()
+        n, straddling = n + len(found), straddling + len(joints)
+    assert n > 50 and straddling > 0
+
+
+def test_greedy_parse():
+    def pieces(*rows):
+        return [np.array([row], PIECE).tobytes() for row in rows]
+
+    # references go on over parts; the second reference begins inside the first factor, which ends at word 18
+    given = pieces((2, 3, 7, 40), (5, 1, 7, 43), (6, 20, 8, 100), (60, 1, 9, 0))
+    found, joints = factors(given[::-1])
+    assert found.tolist() == [(2, 4, 7, 40), (18, 8, 8, 112), (60, 1, 9, 0)]
+    assert joints.tolist() == [(6, 12, 8, 100)]
+    assert np.flatnonzero(covered(80, given)).tolist() == [*range(2, 38), *range(60, 73)]
+    # a match that lies wholly on a boundary heads no factor, but its words repeat
+    found, joints = factors(pieces((0, 1, 1, 0), (4, 2, 2, 9)))
+    assert found.tolist() == [(0, 1, 1, 0)] and joints.tolist() == [(4, 2, 2, 9)]
+    assert covered(20, pieces((0, 1, 1, 0), (4, 2, 2, 9))).sum() == 18
+    assert len(factors([])[0]) == len(factors([])[1]) == covered(3, []).sum() == 0
+
+
+def test_query_removes_by_factors(spark):
+    """Every copy is one factor of the first text, and all its words go."""
+    docs = [(i, "one two three four five six seven eight nine ten eleven twelve thirteen fourteen") for i in range(3)]
+    df = spark.createDataFrame(docs, "doc_id long, text string")
+    for r in find_pieces(df).collect():
+        found, joints = factors(r.pieces)
+        assert [f.tolist() for f in found] == [(0, 2, 0, 0)] and not len(joints)
+    assert sorted((r.doc_id, r.n_removed) for r in remove_repeats(df, texts=False).collect()) == [(0, 0), (1, 14), (2, 14)]
 
 
 def test_equals_its_twin(spark, small):
