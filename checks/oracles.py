@@ -432,4 +432,26 @@ key || '_' || block AS chunk_id, '{C.POLICY_TAG}' AS source_type FROM sentences
     "stream_silver": f"""SELECT key AS doc_id, lang, chunk_index, chunk_text,
 key || '_' || chunk_index AS chunk_id, '{C.POLICY_TAG}' AS source_type
 FROM ({POLICY_CHUNKS}) JOIN documents ON key = doc_id""",
+    "gold_scored_later": f"""WITH {GOLD_COUNTS}, {hashed_terms("tf")},
+learned AS (SELECT chunk_id FROM chunked WHERE key % 2 = 0),
+widths AS (SELECT bucket, ln(((SELECT count(*) FROM learned) + 1) / (count(*) + 1)) AS idf
+           FROM bucketed JOIN learned USING (chunk_id) GROUP BY bucket)
+SELECT chunk_id, bucket, round(n * coalesce(idf, 0), 6) AS weight
+FROM bucketed JOIN chunked USING (chunk_id) LEFT JOIN widths USING (bucket) WHERE key % 2 = 1""",
+    "topic_rules": f"""WITH {QUESTIONS}, rules AS (
+SELECT doc_id, 'pair' AS alternative, lower(substr(text, 1, 4)) AS word FROM documents
+UNION SELECT doc_id, 'pair', lower(substr(text, 12, 3)) FROM documents
+UNION SELECT doc_id, 'one', lower(substr(text, 25, 6)) FROM documents),
+sets AS (SELECT doc_id % 97 AS priority, 'T' || doc_id AS topic, list(DISTINCT word) AS words
+         FROM rules WHERE word <> '' GROUP BY doc_id, alternative),
+hits AS (SELECT question_id, min({{'priority': priority, 'topic': topic}}).topic AS topic
+         FROM questions JOIN sets ON len([w for w in words if NOT contains(lower(question), w)]) = 0
+         GROUP BY question_id)
+SELECT question_id, topic FROM questions LEFT JOIN hits USING (question_id)""",
+}
+# What is reached in several steps equals what one step gives.
+ORACLES |= {
+    "silver_incremental": ORACLES["silver_policy_chunks"],
+    "respond_resumed": ORACLES["respond"],
+    "stream_matches": ORACLES["gap_matches"],
 }

@@ -15,7 +15,14 @@ from gapledger import constants as C
 from gapledger.functions.text import clean_text, sentence_chunks
 from gapledger.operators import chat as Q
 from gapledger.operators import report as R
-from gapledger.operators.gold import fit_gold, hashed_counts, tokens_only, vector_entries
+from gapledger.operators.gold import (
+    fit_gold,
+    hashed_counts,
+    kept_model,
+    learn_chunks,
+    tokens_only,
+    vector_entries,
+)
 from gapledger.operators.index import (
     CHUNK,
     DOCUMENT_ALL_WORDS,
@@ -31,7 +38,7 @@ from gapledger.operators.index import (
     term_table,
     weigh,
 )
-from gapledger.operators.respond import respond
+from gapledger.operators.respond import respond, respond_durably
 from gapledger.operators.retrieve import (
     cosine_scores,
     query_source,
@@ -55,14 +62,16 @@ from gapledger.operators.stored_index import (
 )
 from gapledger.plans.chat_batch import canned_answers, chat_answered, chat_hits, chat_prompts
 from gapledger.plans.gap_analysis import CircularColumns, answered, gap_matches, prompts_for
+from gapledger.plans.incremental import refresh_silver
 from gapledger.plans.medallion import TableNames, run_bronze, run_gold, run_silver
 from gapledger.sources.bronze import (
     CIRCULAR_SCHEMA,
     POLICY_SCHEMA,
     table_to_bronze,
 )
-from gapledger.sources.shared import build_once, new_folder
+from gapledger.sources.shared import build_once, new_folder, write_once
 from gapledger.sources.tables import create_database, load_table, read_folder
+from gapledger.streaming.live_matches import match_stream, newest_matches
 from gapledger.streaming.silver_stream import append_stream, stream_files
 
 STAMP = "2024-01-01T00:00:00"
@@ -724,6 +733,64 @@ def stream_silver(spark, d):
     return spark.read.parquet(out)
 
 
+def silver_incremental(spark, d):
+    """Silver of older bronze rows (other texts, some missing, some since taken away), then brought up to date."""
+    bronze, folder, key = bronze_policies(spark, d), new_folder(spark, "incremental"), F.col("policy_id").cast("long")
+    older = F.when(key % 3 == 0, F.concat(F.lit("An older wording of it. "), "policy_text")).otherwise(F.col("policy_text"))
+    gone = bronze.where(key % 7 == 2).withColumn("policy_id", F.concat(F.lit("gone-"), "policy_id"))
+    refresh_silver(bronze.where(key % 5 != 1).withColumn("policy_text", older).unionByName(gone), folder)
+    return refresh_silver(bronze, folder)
+
+
+def gold_scored_later(spark, d):
+    """A model learned from the documents of even id, in two batches, and kept; the others scored with it."""
+    silver, folder, key = silver_table(spark, d), new_folder(spark, "gold-model"), F.col("policy_id").cast("long")
+    for rest in (0, 2):
+        learn_chunks(silver.where(key % 4 == rest), folder)
+    scored = kept_model(spark, folder).transform(silver.where(key % 2 == 1))
+    return vector_entries(scored, "tfidf_features", "chunk_id").withColumn("weight", F.round("weight", 6))
+
+
+def respond_resumed(spark, d):
+    """Half of the prompts answered by an earlier run, the rest by a later one; replies are kept."""
+    prompts, folder = write_once("prompts", chat_prompt(spark, d)), new_folder(spark, "kept-replies")
+    half = prompts.where(F.pmod(F.xxhash64("question_id"), F.lit(2)) == 0)
+    respond_durably(half, "question_id", "prompt", responder(), folder, batch_rows=16)
+    replies = respond_durably(prompts, "question_id", "prompt", responder(), folder, batch_rows=16, time_limit=60)
+    return replies.select("question_id", "answer", "error")
+
+
+def stream_matches(spark, d):
+    """Circulars that arrive as files, each delivered twice, matched against an index kept in a folder."""
+    docs, items, inbox = documents(spark, d), circulars(spark, d), new_folder(spark, "inbox")
+    for _ in range(2):
+        items.coalesce(1).write.mode("append").parquet(inbox)
+    folder, out = new_folder(spark, "live-index"), new_folder(spark, "live-matches")
+    save_index(docs, "doc_id", "text", folder, domain="lang")
+    index = open_index(spark, folder, read_folder(spark, d, "documents"))
+    arriving = stream_files(spark, inbox, items.schema, files_per_batch=1)
+    match_stream(
+        arriving, index, "item_id", "text", ["lang", "source"], out, new_folder(spark, "live-state")
+    ).awaitTermination()
+    return newest_matches(spark, out, "item_id").select(
+        "item_id", "doc_id", "rank", "score", "bar_pct", "tier", "lang", "source"
+    )
+
+
+def topic_rules(spark, d):
+    """Every document gives two rules, of two words and of one, for the topics of all questions."""
+    docs, text = documents(spark, d), F.col("text")
+
+    def rule(name, at, n):
+        return docs.select(
+            F.concat(F.lit("T"), "doc_id").alias("topic"), (F.col("doc_id") % 97).alias("priority"),
+            F.lit(name).alias("alternative"), F.lower(F.substring(text, at, n)).alias("word"),
+        )
+
+    rules = rule("pair", 1, 4).unionByName(rule("pair", 12, 3)).unionByName(rule("one", 25, 6))
+    return Q.topics_by_rules(questions(spark, d), "question_id", "question", rules)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "bronze_policies": bronze_policies,
     "bronze_circulars": bronze_circulars,
@@ -790,4 +857,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "sentence_pairs": sentence_pairs_query,
     "directive_blocks": directive_blocks_query,
     "stream_silver": stream_silver,
+    "silver_incremental": silver_incremental,
+    "gold_scored_later": gold_scored_later,
+    "respond_resumed": respond_resumed,
+    "stream_matches": stream_matches,
+    "topic_rules": topic_rules,
 }
