@@ -454,4 +454,6 @@ ORACLES |= {
     "silver_incremental": ORACLES["silver_policy_chunks"],
     "respond_resumed": ORACLES["respond"],
     "stream_matches": ORACLES["gap_matches"],
+    "cosine_scores_pruned": ORACLES["cosine_scores"],
+    "retrieve_topk_pruned": ORACLES["retrieve_topk"],
 }

@@ -40,6 +40,7 @@ from gapledger.operators.index import (
 )
 from gapledger.operators.respond import respond, respond_durably
 from gapledger.operators.retrieve import (
+    Limits,
     cosine_scores,
     query_source,
     retrieve,
@@ -79,6 +80,8 @@ DEADLINE = "2024-07-01"
 DEFAULT_REPORT = "No report is on file."
 DOMAINS = ["de", "es"]
 EXPORT_DAY = "2024-05-01"
+# Limits under which every search takes the pruned way.
+PRUNED = Limits(blocks=0)
 # Word lists that occur in the given texts, in the shape of the library's own.
 TOPICS = (
     ("german", (("nicht",), ("heit", "keit"))),
@@ -396,6 +399,21 @@ def retrieve_topk_padded(spark, d):
     return hits.select("question_id", "doc_id", "rank", "score")
 
 
+def cosine_scores_pruned(spark, d):
+    index, items = document_index(spark, d), circulars(spark, d)
+    scores = cosine_scores(index, items, "item_id", "text", min_score=C.YELLOW_ABOVE, limits=PRUNED)
+    return scores.select("item_id", "doc_id", "score")
+
+
+def retrieve_topk_pruned(spark, d):
+    hits = retrieve(
+        document_index(spark, d), circulars(spark, d), "item_id", "text", C.PANEL_K, pad=False, limits=PRUNED
+    )
+    return _records(spark, d, hits, "lang", "source").select(
+        "item_id", "doc_id", "rank", "score", "lang", "source"
+    )
+
+
 def retrieve_domain(spark, d):
     hits = chat_hits(
         document_index(spark, d, DOMAINS), questions(spark, d), "question_id", "question",
@@ -821,7 +839,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "query_vectors": query_vectors_query,
     "query_vectors_binary": query_vectors_binary,
     "cosine_scores": cosine_scores_query,
+    "cosine_scores_pruned": cosine_scores_pruned,
     "retrieve_topk": retrieve_topk,
+    "retrieve_topk_pruned": retrieve_topk_pruned,
     "retrieve_topk_padded": retrieve_topk_padded,
     "retrieve_domain": retrieve_domain,
     "domain_idf": domain_idf,

@@ -90,6 +90,7 @@ class Index:
     buckets: int
     counts: DataFrame
     domain: str | None = None
+    key: tuple = ()
 
 
 def doc_tokens(df: DataFrame, key: str, text: str, scheme: Scheme = DOCUMENT) -> DataFrame:
@@ -193,6 +194,7 @@ def unit_postings(weighted: DataFrame, key: str, buckets: int) -> DataFrame:
     ``prefix``  norm of the units of this term and all that are more frequent
     ``level``   level of ``prefix``; null for weights of 0, which never match
     ``shard``   part of a frequent term's postings
+    ``cell``    the level inside a shard of a frequent term, -1 for all other terms
     ``term_hash``  the order in which a bucket's postings are written, see ``retrieve.narrowed``
     """
     square = F.col("weight") * F.col("weight")
@@ -206,13 +208,40 @@ def unit_postings(weighted: DataFrame, key: str, buckets: int) -> DataFrame:
         .withColumn("prefix", F.when(norm > 0, F.sqrt("so_far") / norm).otherwise(0.0))
         .withColumn("level", F.when(F.col("unit") > 0, level_of(F.col("prefix"))))
         .withColumn("shard", F.pmod(F.xxhash64(key), F.col("shards")).cast("int"))
+        .withColumn("cell", F.when(F.col("shards") > 1, F.col("level")).otherwise(-1))
         .select(
             key, "term", "n_term", "n_tokens", "weight", "norm",
-            "unit", "prefix", "level", "shard", term_hash(F.col("term")).alias("term_hash"),
+            "unit", "prefix", "level", "shard", "cell", term_hash(F.col("term")).alias("term_hash"),
         )
     )
 
 
+def rest_of(prefix: Column, unit: Column) -> Column:
+    """Norm of the words more frequent than this one, from the norm up to it and its own unit."""
+    return F.sqrt(F.greatest(prefix * prefix - unit * unit, F.lit(0.0)))
+
+
+def cell_bounds(index: Index) -> DataFrame:
+    """Number of postings, greatest unit and greatest norm of more frequent words per (term, shard, cell).
+
+    One row per term and some for each cell of a frequent one. Written when a search first asks for it.
+    """
+
+    def bounds() -> DataFrame:
+        rest = rest_of(F.col("prefix"), F.col("unit"))
+        return (
+            index.postings.where(F.col("unit") > 0)
+            .groupBy("term", "shard", "cell")
+            .agg(
+                F.count(F.lit(1)).alias("n_postings"),
+                F.max("unit").alias("top_unit"),
+                F.max(rest).alias("top_rest"),
+            )
+        )
+
+    return build_once(index.corpus.sparkSession, index.key, "cells", bounds)
+
+
 def bucket_count(terms: DataFrame) -> int:
     """Buckets for an index, from the number of its postings; at least one per core."""
     postings = terms.agg(F.sum("df")).first()[0] or 0
@@ -288,7 +317,7 @@ def _weighed(
         lambda: unit_postings(weigh(tf, terms, hot_terms), doc_id, buckets),
         bucket_by=doc_id, buckets=buckets, sort_by="term_hash", options=POSTING_FILES,
     )
-    return Index(corpus, doc_id, text, scheme, terms, postings, buckets, tf, domain)
+    return Index(corpus, doc_id, text, scheme, terms, postings, buckets, tf, domain, key)
 
 
 def query_vectors(

@@ -13,20 +13,21 @@ before they are made:
 1. Each query word's k strongest postings give every query a k-th best score so far,
    ``floor``; the real k-th best is no lower.
 2. Take the rarest word that a query and a document share. All they share is at least
-   as frequent, so by Cauchy-Schwarz the score is at most the norm of the query's words up
-   to that one times the norm of the document's (``prefix``), words going from
-   frequent to rare. Frequent words have short prefixes and yield few pairs: only
-   pairs that reach the floor this way are candidates.
-3. Candidates get their full score, and the best k per query are kept.
+   as frequent, so by Cauchy-Schwarz the score is at most the product of the two units of that
+   word plus the product of the norms of the more frequent words of each.
+3. A frequent word's postings lie in cells, by shard and by the norm up to that word; any other word
+   is one cell. The greatest unit and norm of a cell bound all its postings: a query word meets
+   only cells whose bound reaches the query's floor, and in them only postings that reach it.
+4. Pairs found this way get their full score, and the best k per query are kept.
+
+Query words that very many queries hold are dealt to slices, counted beforehand; a cell's
+postings are copied to the slices that meet it. So a join key, (word, slice, shard, cell), holds
+a bounded number of rows on both sides however frequent a word is in queries and in documents.
 
 Either way only the part of a bucket that may hold a query word is read: its postings lie in the
 order of their words' hashes, and the hashes of all query words, as at most ``RANGES`` ranges, bound
 the scan. For one question that skips nearly all pages; for very many words the ranges
 cover everything and are left out.
-
-Postings carry the level of their prefix, and the levels a query may skip are left out
-of the join key; frequent words are cut into shards, so that no key holds more than
-``SHARD_ROWS`` postings.
 """
 
 from __future__ import annotations
@@ -40,11 +41,12 @@ from pyspark.sql import functions as F
 from gapledger import constants as C
 from gapledger.functions.text import strip
 from gapledger.operators.index import (
-    LEVELS,
+    HOT_TERMS,
     Index,
     by_frequency,
-    level_of,
+    cell_bounds,
     query_vectors,
+    rest_of,
     term_hash,
 )
 from gapledger.sources.shared import write_once
@@ -64,11 +66,12 @@ WORTHWHILE = 0.5
 
 @dataclass(frozen=True)
 class Limits:
-    """Bounds on scoring in place: query words per broadcast, steps per task, scans."""
+    """Bounds on scoring in place (query words per broadcast, steps per task, scans) and on a slice's query words."""
 
     words: int = 1_000_000
     steps: int = 100_000_000
     blocks: int = 32
+    slice_rows: int = 4_096
 
 
 LIMITS = Limits()
@@ -153,7 +156,39 @@ def query_blocks(known: DataFrame, query_id: str, blocks: int) -> list[DataFrame
     return [known.where(block == i) for i in range(blocks)]
 
 
-def kth_best(known: DataFrame, index: Index, query_id: str, k: int) -> DataFrame:
+@dataclass(frozen=True)
+class Sliced:
+    """Query words with their slice, and the words that have more than one."""
+
+    words: DataFrame
+    heavy: DataFrame
+
+    def copied(self, rows: DataFrame) -> DataFrame:
+        """``rows`` of terms, once for every slice of the term."""
+        slices = F.explode(F.sequence(F.lit(0), F.coalesce("slices", F.lit(1)) - 1)).alias("slice")
+        return rows.join(F.broadcast(self.heavy), "term", "left").select(*rows.columns, slices)
+
+
+def sliced(known: DataFrame, query_id: str, slice_rows: int, most: int = HOT_TERMS) -> Sliced:
+    """Deals a word's queries to slices of about ``slice_rows``.
+
+    At most ``most`` words can each make up 1/``most`` of all query words, so the table of words with
+    slices has a bounded size; it is broadcast.
+    """
+    load = known.groupBy("term").agg(F.count(F.lit(1)).alias("queries"))
+    least = F.greatest(F.lit(slice_rows + 1), load.agg(F.sum("queries")).scalar() / most)
+    heavy = write_once(
+        "slices",
+        load.where(F.col("queries") >= least).select(
+            "term", F.ceil(F.col("queries") / slice_rows).cast("int").alias("slices")
+        ),
+    )
+    mine = F.pmod(F.xxhash64(query_id), F.coalesce("slices", F.lit(1))).cast("int")
+    words = known.join(F.broadcast(heavy), "term", "left").withColumn("slice", mine).drop("slices")
+    return Sliced(words, heavy)
+
+
+def kth_best(parts: Sliced, index: Index, query_id: str, k: int) -> DataFrame:
     """A score that at least k documents of each query reach; no row if fewer are known.
 
     Per word the k strongest postings are kept, first within each task.
@@ -162,13 +197,13 @@ def kth_best(known: DataFrame, index: Index, query_id: str, k: int) -> DataFrame
     leaders = (
         _hits(index)
         .select(index.doc_id, "term", "unit")
-        .join(known.select("term").distinct(), "term", "left_semi")
+        .join(parts.words.select("term").distinct(), "term", "left_semi")
         .withColumn("place", F.row_number().over(strongest))
         .where(F.col("place") <= k)
     )
     best = Window.partitionBy(query_id).orderBy(F.desc("partial"))
     return (
-        known.join(leaders, "term")
+        parts.words.join(parts.copied(leaders.drop("place")), ["term", "slice"])
         .groupBy(query_id, index.doc_id)
         .agg(F.sum(F.col("query_unit") * F.col("unit")).alias("partial"))
         .withColumn("place", F.row_number().over(best))
@@ -177,47 +212,78 @@ def kth_best(known: DataFrame, index: Index, query_id: str, k: int) -> DataFrame
     )
 
 
-def candidates(
-    known: DataFrame, index: Index, query_id: str, floor: DataFrame | float
-) -> DataFrame:
-    """Every (query, document) whose score may reach the query's floor, once."""
+def with_floor(parts: Sliced, query_id: str, floor: DataFrame | float) -> DataFrame:
+    """Query words with the score to reach and the norm of the query's more frequent words."""
     up_to_here = by_frequency(query_id).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
     square = F.col("query_unit") * F.col("query_unit")
-    probes = known.withColumn("query_prefix", F.sqrt(F.sum(square).over(up_to_here)))
+    probes = parts.words.withColumn("query_prefix", F.sqrt(F.sum(square).over(up_to_here)))
     if isinstance(floor, DataFrame):
         probes = probes.join(floor, query_id, "left")
     else:
         probes = probes.withColumn("floor", F.lit(float(floor)))
-    probes = probes.withColumn("floor", F.coalesce(F.col("floor"), F.lit(0.0)) - SLACK)
-    lowest = F.when(
-        F.col("floor") > 0, level_of(F.least(F.lit(1.0), F.col("floor") / F.col("query_prefix")))
-    ).otherwise(LEVELS)
-    keep = [query_id, "term", "query_unit", "query_prefix", "floor"]
-    levels = F.explode(F.sequence(F.lit(0), lowest)).alias("level")
-    shards = F.explode(F.sequence(F.lit(0), F.col("shards") - 1)).alias("shard")
-    probes = probes.select(*keep, "shards", levels).select(*keep, "level", shards)
-
-    def before(prefix: str, unit: str) -> Column:
-        """Norm of the words more frequent than this one."""
-        rest = F.col(prefix) * F.col(prefix) - F.col(unit) * F.col(unit)
-        return F.sqrt(F.greatest(rest, F.lit(0.0)))
-
-    at_most = F.col("query_unit") * F.col("unit") + before(
-        "query_prefix", "query_unit"
-    ) * before("prefix", "unit")
+    return probes.select(
+        query_id, "term", "slice", "query_unit",
+        rest_of(F.col("query_prefix"), F.col("query_unit")).alias("query_rest"),
+        (F.coalesce("floor", F.lit(0.0)) - SLACK).alias("floor"),
+    )
+
+
+def meetings(probes: DataFrame, parts: Sliced, cells: DataFrame) -> DataFrame:
+    """The cells that each query word has to look into: those whose bound reaches the floor."""
+    at_most = F.col("query_unit") * F.col("top_unit") + F.col("query_rest") * F.col("top_rest")
     return (
-        probes.join(
-            _hits(index).select(index.doc_id, "term", "unit", "prefix", "level", "shard"),
-            ["term", "shard", "level"],
-        )
+        probes.join(parts.copied(cells), ["term", "slice"])
+        .where(at_most >= F.col("floor"))
+        .drop("top_unit", "top_rest")
+    )
+
+
+def candidates(met: DataFrame, parts: Sliced, index: Index, query_id: str) -> DataFrame:
+    """Every (query, document) whose score may reach the query's floor, once."""
+    rest = rest_of(F.col("prefix"), F.col("unit"))
+    at_most = F.col("query_unit") * F.col("unit") + F.col("query_rest") * rest
+    hits = _hits(index).select(index.doc_id, "term", "unit", "prefix", "shard", "cell")
+    return (
+        met.join(parts.copied(hits), ["term", "slice", "shard", "cell"])
         .where(at_most >= F.col("floor"))
         .select(query_id, index.doc_id)
         .distinct()
     )
 
 
+def pruned_pairs(
+    known: DataFrame, index: Index, cells: DataFrame, query_id: str, floor: float | int, limits: Limits
+) -> DataFrame:
+    """Pairs that may score ``floor``, if it is a float, or be among the ``floor`` best of their query."""
+    parts = sliced(known, query_id, limits.slice_rows)
+    least = floor if isinstance(floor, float) else kth_best(parts, index, query_id, floor)
+    met = meetings(with_floor(parts, query_id, least), parts, cells)
+    return candidates(met, parts, index, query_id)
+
+
+def search_work(
+    index: Index, queries: DataFrame, query_id: str, text: str, k: int = C.DEFAULT_K,
+    limits: Limits = LIMITS,
+) -> DataFrame:
+    """Per query, what a pruned search for its k best looks into: ``cells`` and ``postings`` that hold its
+    words, and ``cells_met`` and ``postings_met`` of them. Queries without a known word have no row."""
+    known = write_once("query-words", known_words(query_vectors(queries, query_id, text, index.scheme), index))
+    cells = cell_bounds(index)
+    parts = sliced(known, query_id, limits.slice_rows)
+    probes = with_floor(parts, query_id, kth_best(parts, index, query_id, k))
+
+    def work(rows: DataFrame, suffix: str) -> DataFrame:
+        return rows.groupBy(query_id).agg(
+            F.count(F.lit(1)).alias("cells" + suffix), F.sum("n_postings").alias("postings" + suffix)
+        )
+
+    everywhere = probes.withColumn("floor", F.lit(-1.0))
+    held = work(meetings(everywhere, parts, cells), "")
+    return held.join(work(meetings(probes, parts, cells), "_met"), query_id, "left").fillna(0)
+
+
 def scored_pairs(
     pairs: DataFrame, known: DataFrame, index: Index, query_id: str
 ) -> DataFrame:
@@ -277,15 +343,15 @@ def retrieve(
     # Read by the count below and by every block or pruning step.
     known = write_once("query-words", known_words(vectors, index))
     found = survey(known)
-    index, blocks = narrowed(index, found.ranges), blocks_needed(found, index, limits)
+    whole, index = index, narrowed(index, found.ranges)
+    blocks = blocks_needed(found, index, limits)
     if blocks <= limits.blocks:
         scored = [
             scored_in_place(part, index, query_id)
             for part in query_blocks(known, query_id, blocks)
         ]
     else:
-        floor = kth_best(known, index, query_id, k)
-        pairs = candidates(known, index, query_id, floor)
+        pairs = pruned_pairs(known, index, cell_bounds(whole), query_id, k, limits)
         scored = [scored_pairs(pairs, known, index, query_id)]
     best = reduce(
         DataFrame.unionByName, [best_k(part, query_id, index.doc_id, k) for part in scored]
@@ -322,14 +388,15 @@ def cosine_scores(
     # Read by the count below and by every block or pruning step.
     known = write_once("query-words", known_words(vectors, index))
     found = survey(known)
-    index, blocks = narrowed(index, found.ranges), blocks_needed(found, index, limits)
+    whole, index = index, narrowed(index, found.ranges)
+    blocks = blocks_needed(found, index, limits)
     if blocks <= limits.blocks:
         parts = query_blocks(known, query_id, blocks)
         scored = reduce(
             DataFrame.unionByName, [scored_in_place(part, index, query_id) for part in parts]
         )
     else:
-        pairs = candidates(known, index, query_id, min_score)
+        pairs = pruned_pairs(known, index, cell_bounds(whole), query_id, float(min_score), limits)
         scored = scored_pairs(pairs, known, index, query_id)
     return scored.where(F.col("score") >= min_score)
 

@@ -123,6 +123,7 @@ def open_index(
     return Index(
         corpus, m.doc_id, m.text, SCHEMES[m.scheme], spark.read.parquet(f"{d.path}/terms"),
         spark.table(name), d.buckets, _live(spark, folder, m, "counts"), m.domain,
+        ("stored", d.path),
     )
 
 

@@ -19,6 +19,8 @@ from gapledger.operators.stored_index import (
 
 BLOCKS = R.Limits(words=60)
 PRUNED = R.Limits(blocks=0)
+SLICED = R.Limits(blocks=0, slice_rows=3)
+RARE = [f"rare{i}" for i in range(60)]
 TINY = {1: "alpha beta", 2: "alpha gamma"}
 
 
@@ -89,7 +91,7 @@ def test_one_document_scores_zero(spark):
 
 
 @pytest.mark.parametrize("binary", [False, True])
-@pytest.mark.parametrize("limits", [R.LIMITS, BLOCKS, PRUNED])
+@pytest.mark.parametrize("limits", [R.LIMITS, BLOCKS, PRUNED, SLICED])
 def test_all_ways_equal_brute_force(spark, limits, binary):
     docs, queries = skewed(120, 25, 3)
     index = make_index(spark, docs, hot_terms=20, shard_rows=7)
@@ -112,8 +114,43 @@ def test_hot_terms_and_shards(spark):
     assert big.agg(F.max("count")).first()[0] < 120 / 2
 
 
+def test_a_word_in_all_queries_and_nearly_all_documents(spark):
+    rng = random.Random(29)
+    docs = {i: f"common {' '.join(rng.choices(RARE, k=rng.randint(1, 9)))}" for i in range(2_000)}
+    docs[0] = "nothing shared"
+    queries = {f"q{i:03}": f"common {rng.choice(RARE)}" for i in range(300)}
+    index = make_index(spark, docs, hot_terms=20, shard_rows=100)
+    limits = R.Limits(blocks=0, slice_rows=50)
+    asked = make_queries(spark, queries)
+    same(run(index, asked, 5, limits=limits), brute.top_k(docs, queries, 5))
+    known = R.known_words(I.query_vectors(asked, "query_id", "question"), index)
+    parts = R.sliced(known, "query_id", limits.slice_rows)
+    on_queries = parts.words.where("term = 'common'").groupBy("slice").count().collect()
+    assert len(on_queries) == 6 and max(r["count"] for r in on_queries) < 100
+    hits = index.postings.where("unit > 0 AND term = 'common'")
+    on_documents = hits.groupBy("shard", "cell").count().collect()
+    assert max(r["count"] for r in on_documents) < 200
+    copies = parts.copied(hits.select("term", "doc_id")).groupBy("doc_id").count().collect()
+    assert len(copies) == 1_999 and {r["count"] for r in copies} == {6}
+
+
+def test_bounds_hold_and_skip(spark):
+    docs, queries = skewed(400, 20, 31)
+    index = make_index(spark, docs, hot_terms=20, shard_rows=7)
+    bounds = {(r.term, r.shard, r.cell): r for r in I.cell_bounds(index).collect()}
+    counted = dict.fromkeys(bounds, 0)
+    for r in index.postings.where("unit > 0").collect():
+        at = bounds[r.term, r.shard, r.cell]
+        counted[r.term, r.shard, r.cell] += 1
+        assert r.unit <= at.top_unit and max(r.prefix**2 - r.unit**2, 0) ** 0.5 <= at.top_rest + 1e-12
+    assert all(bounds[c].n_postings == n for c, n in counted.items())
+    work = R.search_work(index, make_queries(spark, queries), "query_id", "question", 2, SLICED).collect()
+    assert work and all(0 < r.cells_met <= r.cells and r.postings_met <= r.postings for r in work)
+    assert sum(r.postings_met for r in work) < 0.9 * sum(r.postings for r in work)
+
+
 @pytest.mark.parametrize("least", [1e-9, 0.3])
-@pytest.mark.parametrize("limits", [R.LIMITS, BLOCKS, PRUNED])
+@pytest.mark.parametrize("limits", [R.LIMITS, BLOCKS, PRUNED, SLICED])
 def test_scores_above_a_minimum(spark, least, limits):
     docs, queries = skewed(60, 10, 8)
     index = make_index(spark, docs, shard_rows=5)
