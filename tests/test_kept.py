@@ -15,7 +15,7 @@ from gapledger.operators.respond import known_replies, respond_durably
 from gapledger.operators.silver import silver_policies
 from gapledger.plans import incremental as I
 from gapledger.sources import bronze as B
-from gapledger.sources.shared import new_folder
+from gapledger.sources.shared import new_folder, write_once
 from gapledger.sources.tables import create_database, save_table
 from gapledger.streaming.live_matches import match_stream, newest_matches
 from gapledger.streaming.silver_stream import stream_files
@@ -271,3 +271,25 @@ def test_many_rules(spark, broadcast_words):
     assert 5 < len(set(wanted.values())) and None in wanted.values()
     none = Q.topics_by_rules(questions, "id", "question", df.limit(0), broadcast_words)
     assert {x.topic for x in none.collect()} == {None} and none.count() == len(asked)
+
+
+def test_rules_that_share_a_word_meet_few_questions(spark, monkeypatch):
+    """Equal sets are one, and later sets of a word are not looked at by questions that have an earlier one."""
+    from gapledger.operators import chat
+
+    written = {}
+
+    def counted(name, df):
+        written.setdefault(name, []).append(write_once(name, df))
+        return written[name][-1]
+
+    monkeypatch.setattr(chat, "write_once", counted)
+    rules = [(f"t{i:04}", i, "a", w) for i in range(600) for w in ("the", f"w{i % 300:03}")]
+    asked = [(i, f"the {i} the w{i % 3:03} w299") for i in range(90)] + [(90, "the")]
+    found = Q.topics_by_rules(
+        spark.createDataFrame(asked, "id long, question string"), "id", "question",
+        spark.createDataFrame(rules, "topic string, priority int, alternative string, word string"),
+    )
+    assert {r.id: r.topic for r in found.collect()} == {i: f"t{i % 3:04}" for i in range(90)} | {90: None}
+    assert written["rule-sets"][0].count() == 300
+    assert written["sought-sets"][0].where("word = 'the'").count() <= 1
