@@ -5,6 +5,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from gapledger.sources.shared import write_once
+
+#: Matches whose quantities meet in one task.
+MATCH_ROWS = 100_000
 MONEY = r"(?i)(\b(?:INR|Rs\.?)|₹)\s*([0-9][0-9,]*(?:\.[0-9]+)?)((?:\s+(?:lakh|crore))*)\b"
 LAKH = 100_000
 CRORE = 10_000_000
@@ -87,22 +91,32 @@ def requirement_conflicts(
 
     A requirement and a stated quantity agree if their bounds overlap; a requirement that any stated one agrees with
     is dropped. ``stated`` lists the document's numbers in the requirement's unit.
+
+    Many matches are dealt out by their number: quantities repeat and shrink when shuffled, so their
+    bytes do not tell Spark how many rows a task will sort.
     """
-    best = matches.where(F.col("rank") == 1).select(query_id, doc_id)
+    best = write_once("best-matches", matches.where(F.col("rank") == 1).select(query_id, doc_id))
+    parts = -(-best.count() // MATCH_ROWS)
+    cores = best.sparkSession.sparkContext.defaultParallelism
+
+    def dealt(df: DataFrame, *keys: str) -> DataFrame:
+        return df.repartition(parts, *keys) if parts > cores else df
 
     def named(df: DataFrame, number: str) -> DataFrame:
         names = {"number": number, "unit": f"{number}_unit", "low": f"{number}_low", "high": f"{number}_high"}
         return df.withColumnsRenamed(names)
 
-    pairs = best.join(named(query_quantities, "required"), query_id).join(
-        named(doc_quantities, "stated"), [doc_id, "base"]
+    required = dealt(best, query_id).join(dealt(named(query_quantities, "required"), query_id), query_id)
+    pairs = dealt(required, doc_id, "base").join(
+        dealt(named(doc_quantities, "stated"), doc_id, "base"), [doc_id, "base"]
     )
     scale = F.create_map(*[F.lit(x) for u, v in SCALES.items() for x in (u, float(v[1]))])
     overlap = (F.col("required_low") <= F.col("stated_high")) & (F.col("stated_low") <= F.col("required_high"))
     converted = F.when(F.col("stated_unit") == F.col("required_unit"), F.col("stated")).otherwise(
         F.col("stated") * F.element_at(scale, F.col("stated_unit")) / F.element_at(scale, F.col("required_unit"))
     )
-    asked = [query_id, doc_id, "required_unit", "required", "required_low", "required_high"]
+    # with the base, which the unit gives, the rows of a group lie together already
+    asked = [query_id, doc_id, "base", "required_unit", "required", "required_low", "required_high"]
     return (
         pairs.groupBy(*asked)
         .agg(F.max(overlap).alias("met"), F.array_sort(F.collect_set(converted)).alias("stated"))

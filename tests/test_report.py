@@ -252,3 +252,24 @@ def test_requirement_conflicts(spark):
         ("C1", 1, "hour", 24.0, [12.0])
     ]
     assert C.PROMPT_K == 4
+
+
+def test_many_matches_are_dealt_out_by_their_number(spark, monkeypatch):
+    from gapledger.operators import amounts
+    from plan import explained
+
+    rows = [(f"C{i}", i, f"Keep {i} days and {i}% of it.", f"Stored {i + i % 2} days, {i} % kept.") for i in range(40)]
+    df = spark.createDataFrame(rows, "id string, pid long, asked string, said string")
+
+    def conflicts():
+        return requirement_conflicts(
+            df.select("id", "pid", F.lit(1).alias("rank")), "id", "pid",
+            quantities(df, "id", "asked"), quantities(df, "pid", "said"),
+        )
+
+    few = sorted(map(tuple, conflicts().collect()))
+    monkeypatch.setattr(amounts, "MATCH_ROWS", 2)
+    many = conflicts()
+    plan = explained(many)
+    assert "base" in plan and ", 20), REPARTITION_BY_NUM" in plan and "ENSURE_REQUIREMENTS" not in plan
+    assert sorted(map(tuple, many.collect())) == few and len(few) == 20
