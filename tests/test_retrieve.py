@@ -200,6 +200,39 @@ def test_no_pair_is_shuffled_in_place(spark):
     assert "Bucketed: true" in plan and "Exchange hashpartitioning(query_id" not in plan
 
 
+@pytest.mark.parametrize("limits", [R.LIMITS, PRUNED])
+def test_tasks_pass_on_the_best_only(spark, limits):
+    """However many pairs share a word, k rows per query and task leave it, and no pair is joined or shuffled before that."""
+    docs = {i: f"common word{i % 7} word{i % 11}" for i in range(600)} | {600: "other"}
+    queries = {f"q{i}": f"common word{i}" for i in range(5)}
+    index, asked = make_index(spark, docs), make_queries(spark, queries)
+    assert "hashpartitioning(query_id" not in explained(
+        R.retrieve(index, asked, "query_id", "question", 2, pad=False, limits=limits)
+    ).split("MapInArrow")[-1]
+    known = R.known_words(I.query_vectors(asked, "query_id", "question"), index)
+    best = R.scored_in_place(known, index, "query_id", k=2).groupBy("query_id").count().collect()
+    assert {r.query_id for r in best} == set(queries) and all(r["count"] <= 2 * index.buckets for r in best)
+    same(run(index, asked, 2, limits=limits), brute.top_k(docs, queries, 2))
+
+
+def test_documents_and_queries_that_come_twice(spark):
+    """The rows of one id are one document or one query, in batches and bounds too."""
+    rows = [(i % 40, f"word{i % 7} word{i % 5} word{i % 3}") for i in range(120)] + [(7, "word1 word2")] * 2
+    corpus = spark.createDataFrame(rows, "doc_id long, text string")
+    index = I.build_index(corpus, "doc_id", "text", (random.random(),))
+    asked = spark.createDataFrame([("a", "word1 word2"), ("a", "word1"), ("b", "word4")], "query_id string, question string")
+    pairs = R.scored_in_place(R.known_words(I.query_vectors(asked, "query_id", "question"), index), index, "query_id")
+    wanted = R.best_k(pairs, "query_id", "doc_id", 3).collect()
+    for limits in (R.LIMITS, PRUNED):
+        found = R.retrieve(index, asked, "query_id", "question", 3, pad=False, limits=limits).collect()
+        assert sorted(map(tuple, found)) == sorted(map(tuple, wanted))
+    units = {(r.term, r.doc_id): r.u for r in index.postings.groupBy("term", "doc_id").agg(F.sum("unit").alias("u")).collect()}
+    words = R.known_words(I.query_vectors(asked, "query_id", "question"), index).collect()
+    for r in pairs.collect():
+        total = sum(w.query_unit * units.get((w.term, r.doc_id), 0) for w in words if w.query_id == r.query_id)
+        assert r.score == pytest.approx(total, abs=2e-9)
+
+
 def test_blocks_follow_words_and_steps(spark):
     docs, queries = skewed(60, 10, 17)
     index = make_index(spark, docs)
