@@ -216,16 +216,15 @@ def test_tasks_pass_on_the_best_only(spark, limits):
 
 
 def test_documents_and_queries_that_come_twice(spark):
-    """The rows of one id are one document or one query, in batches and bounds too."""
+    """The rows of one id are one document or one query."""
     rows = [(i % 40, f"word{i % 7} word{i % 5} word{i % 3}") for i in range(120)] + [(7, "word1 word2")] * 2
     corpus = spark.createDataFrame(rows, "doc_id long, text string")
     index = I.build_index(corpus, "doc_id", "text", (random.random(),))
     asked = spark.createDataFrame([("a", "word1 word2"), ("a", "word1"), ("b", "word4")], "query_id string, question string")
     pairs = R.scored_in_place(R.known_words(I.query_vectors(asked, "query_id", "question"), index), index, "query_id")
     wanted = R.best_k(pairs, "query_id", "doc_id", 3).collect()
-    for limits in (R.LIMITS, PRUNED):
-        found = R.retrieve(index, asked, "query_id", "question", 3, pad=False, limits=limits).collect()
-        assert sorted(map(tuple, found)) == sorted(map(tuple, wanted))
+    found = R.retrieve(index, asked, "query_id", "question", 3, pad=False).collect()
+    assert sorted(map(tuple, found)) == sorted(map(tuple, wanted))
     units = {(r.term, r.doc_id): r.u for r in index.postings.groupBy("term", "doc_id").agg(F.sum("unit").alias("u")).collect()}
     words = R.known_words(I.query_vectors(asked, "query_id", "question"), index).collect()
     for r in pairs.collect():
@@ -233,6 +232,17 @@ def test_documents_and_queries_that_come_twice(spark):
         assert r.score == pytest.approx(total, abs=2e-9)
 
 
+def test_postings_are_sorted_once_in_buckets_of_bounded_size(spark):
+    index = make_index(spark, TINY)
+    rows = I.unit_postings(I.weigh(index.counts, index.terms), "doc_id", 3)
+    plan = explained(rows)
+    assert plan.count("- Window [") == 1
+    # counts are kept beside the postings, not in them
+    assert not {"n_term", "n_tokens", "norm"} & set(index.postings.columns)
+    many = spark.createDataFrame([("a", 20_000_000), ("b", 30_000_000)], "term string, df long")
+    assert I.bucket_count(many) >= 50
+
+
 def test_blocks_follow_words_and_steps(spark):
     docs, queries = skewed(60, 10, 17)
     index = make_index(spark, docs)
