@@ -29,6 +29,7 @@ from gapledger.operators.index import (
     Index,
     Scheme,
     bucket_count,
+    read_postings,
     term_frequency,
     term_table,
     unit_postings,
@@ -122,7 +123,7 @@ def open_index(
     )
     return Index(
         corpus, m.doc_id, m.text, SCHEMES[m.scheme], spark.read.parquet(f"{d.path}/terms"),
-        spark.table(name), d.buckets, _live(spark, folder, m, "counts"), m.domain,
+        read_postings(spark.table(name), m.doc_id, SCHEMES[m.scheme]), d.buckets, _live(spark, folder, m, "counts"), m.domain,
         ("stored", d.path),
     )
 
@@ -192,7 +193,8 @@ def _derive(spark: SparkSession, folder: str, m: Row) -> Row:
     term_table(counts, F.lit(n_docs), SCHEMES[m.scheme], SHARD_ROWS).write.parquet(f"{path}/terms")
     terms = spark.read.parquet(f"{path}/terms")
     buckets = bucket_count(terms)
-    postings = unit_postings(weigh(counts, terms, HOT_TERMS), m.doc_id, buckets)
+    scheme = SCHEMES[m.scheme]
+    postings = unit_postings(weigh(counts, terms, HOT_TERMS), m.doc_id, buckets, scheme, F.lit(n_docs))
     name = f"gapledger_saved_{uuid.uuid4().hex}"
     writer = postings.write.format("parquet").options(**POSTING_FILES).bucketBy(buckets, m.doc_id)
     writer.sortBy("term_hash").option("path", f"{path}/postings").saveAsTable(name)

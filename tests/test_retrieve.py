@@ -243,6 +243,21 @@ def test_postings_are_sorted_once_in_buckets_of_bounded_size(spark):
     assert I.bucket_count(many) >= 50
 
 
+def test_postings_are_written_with_few_numbers_of_their_own(spark):
+    """Weights are read from counts, and from what is equal for a document or a term."""
+    docs, _ = skewed(60, 10, 3)
+    index = make_index(spark, docs, shard_rows=5)
+    written = spark.read.parquet(*index.postings.inputFiles())
+    assert {f.name for f in written.schema if f.dataType.simpleString() == "double"} == {"idf", "norm"}
+    for r in index.postings.where("unit > 0").withColumn("rest", I.rest_of(F.col("prefix"), F.col("unit"))).collect():
+        assert 0 < r.unit <= r.prefix <= 1 and 0 <= r.level <= I.LEVELS and r.rest < 1
+    norms = index.postings.groupBy("doc_id").agg(F.max("prefix").alias("top"), F.sum(F.col("unit") * F.col("unit")).alias("all"))
+    assert all(r.top == pytest.approx(1, abs=1e-6) and r["all"] == pytest.approx(1) for r in norms.where("top > 0").collect())
+    rows = I.unit_postings(I.weigh(index.counts, index.terms), "doc_id", 3, n_docs=F.lit(60))
+    shuffled = explained(rows).split("REPARTITION_BY_NUM")[1].split("Project [")[1].split("]")[0]
+    assert not any(c in shuffled for c in ("weight", "tf", "idf", "domain"))
+
+
 def test_blocks_follow_words_and_steps(spark):
     docs, queries = skewed(60, 10, 17)
     index = make_index(spark, docs)
