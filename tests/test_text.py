@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 
 import brute
 from gapledger import constants as C
+from gapledger.functions import text as T
 from gapledger.functions.text import (
     ascii_tokens,
     clean_text,
@@ -117,3 +118,26 @@ def test_directive_blocks(spark):
     text = "Intro here|Banks shall act|More on it|They MUST report|Mustard is no cue"
     got = apply(spark, lambda t: directive_blocks(F.split(t, r"\|")), [text])
     assert got == [["Intro here", "Banks shall act More on it", "They MUST report Mustard is no cue"]]
+
+
+def test_plain_characters_first_gives_the_same(spark):
+    """The quick patterns agree with the plain ones on every character around white space, quotes and tags."""
+    odd = [chr(c) for c in (*range(0x250), 0x1680, *range(0x2000, 0x2070), 0x3000, 0xFEFF, 0x4E2D, 0x1F600, 0x0661)]
+    shapes = ("{0}", "a{0}b", "a {0} b.", "{0}{0}a.{0}{0}b!{0}", "<b{0}>x{0}<y> z<", "“{0}’ it", "a. {0}B?\n{0} c\n", "")
+    texts = [shape.format(c) for c in odd for shape in shapes]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    t = F.col("t")
+    cleaned = F.translate(F.regexp_replace(t, T.TAG, " "), T.CURLY_QUOTES, T.STRAIGHT_QUOTES)
+    wanted = {
+        "clean": F.trim(F.regexp_replace(cleaned, T.SPACE + "+", " ")),
+        "strip": F.regexp_replace(t, rf"^{T.SPACE}+|{T.SPACE}+$", ""),
+    }
+    got = {"clean": T.clean_text(t), "strip": T.strip(t)}
+    for name in wanted:
+        assert df.where(~wanted[name].eqNullSafe(got[name])).select("t").collect() == []
+
+
+def test_plain_text_is_not_searched_for_spaces_letter_by_letter():
+    """Every pattern begins with a look at plain characters; the class of white space is slow."""
+    for pattern in (T.UNEVEN, T.ENDS):
+        assert pattern.startswith("(?=[^")
