@@ -191,7 +191,8 @@ def fit(docs: DataFrame, lang_column: str = "lang", max_rows: int = MAX_ROWS, se
         train = np.arange(len(y))
     embed, out, bias = _train(ids, weights, y, train, len(languages), seed)
     known = np.zeros(BUCKETS + 1, bool)
-    known[np.unique(np.concatenate([ids[i] for i in train]))] = True
+    for i in train:
+        known[ids[i]] = True
     table = np.zeros((BUCKETS + 1, len(languages)), np.float32)
     table[:BUCKETS] = embed @ out
     table[~known] = 0

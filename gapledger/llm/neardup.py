@@ -156,28 +156,33 @@ def verify(pairs: DataFrame, texts: DataFrame, similar: float = SIMILAR) -> Data
     return both.select("a", "b", "text_a", "text_b").mapInArrow(checked, "a binary, b binary, similarity double")
 
 
+def are_stars(edges: DataFrame) -> bool:
+    """Whether every node of ``edges`` (u, v) is either on one edge as u, or on edges as v only."""
+    ends = edges.select(F.col("u").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+    ends = ends.union(edges.select("v", F.lit(0), F.lit(1)))
+    nodes = ends.groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return not nodes.filter("up > 1 OR (up > 0 AND down > 0)").agg(F.count("*")).first()[0]
+
+
 def components(edges: DataFrame) -> DataFrame:
     """node and root (the smallest node it is connected with) for every node of ``edges`` (a, b).
 
     Alternates large-star and small-star steps: neighbours are linked to the smallest one around until
-    every node hangs on its root. Rows are two nodes wide, and each step is written to the shared folder.
+    every node hangs on its root; edges that are so at once take no step. Rows are two nodes wide, and each step is
+    written to the shared folder.
     """
     edges = edges.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
     edges = write_once("edges", edges)
-    before = None
-    while True:
+    while not are_stars(edges):
         both = edges.union(edges.select("v", "u"))
         least = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).distinct()
+        # at most a row per edge, so its repeats may wait for the distinct below
+        large = both.join(least, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v"))
         least = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v"))
         edges = write_once("edges", small.union(least.select("u", F.col("m").alias("v"))).filter("u <> v").distinct())
-        now = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("s")).first()
-        if now == before:
-            break
-        before = now
     roots = edges.select(F.col("u").alias("node"), F.col("v").alias("root"))
-    return roots.union(edges.select(F.col("v").alias("node"), F.col("v").alias("root"))).distinct()
+    return roots.union(edges.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())
 
 
 def tiles(members: DataFrame, tile: int = TILE) -> DataFrame:
@@ -212,7 +217,7 @@ def other_pairs(members: DataFrame, signed: DataFrame, roots: DataFrame, done: D
     comparisons as it has members. Bags of x and y shingles reach ``similar`` only if they differ in at most
     (x + y) (1 - similar) / (1 + similar); pairs whose sizes or sketches differ in more are never made.
     """
-    rooted = members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node"))
+    rooted = write_once("rooted", members.join(roots, "node", "left").withColumn("root", F.coalesce("root", "node")))
     dealt = write_once("tiles", tiles(rooted))
     rows = write_once("mixed", dealt.join(signed.select("node", "size", "bits"), "node").withColumn("tile", F.concat_ws("/", "owner", "part")))
     pairs = write_once("tile_pairs", tile_pairs(dealt))

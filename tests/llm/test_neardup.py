@@ -146,6 +146,24 @@ def test_components_of_a_long_chain(spark):
     assert len(got) == n and {bytes(r.root) for r in got} == {b"\0\0"}
 
 
+def test_components_end_when_edges_are_stars(spark, monkeypatch):
+    written, write = [], neardup.write_once
+    monkeypatch.setattr(neardup, "write_once", lambda name, df: written.append(name) or write(name, df))
+
+    def roots(*edges):
+        written.clear()
+        rows = spark.createDataFrame([(bytes([a]), bytes([b])) for a, b in edges], "a binary, b binary")
+        return sorted((r.node[0], r.root[0]) for r in components(rows).collect())
+
+    # nothing to join: the edges alone are written
+    assert roots() == [] and written == ["edges"]
+    assert roots((3, 3)) == [] and written == ["edges"]
+    assert roots((1, 0), (0, 2), (2, 0), (5, 4)) == [(0, 0), (1, 0), (2, 0), (4, 4), (5, 4)] and written == ["edges"]
+    # one step makes a star of a chain, of a node with two roots, and of three nodes in a ring
+    for edges in ([(2, 1), (1, 0)], [(2, 1), (2, 0)], [(2, 1), (1, 0), (0, 2)]):
+        assert roots(*edges) == [(0, 0), (1, 0), (2, 0)] and written == ["edges", "edges"]
+
+
 def test_a_bucket_of_copies_and_a_stranger_takes_few_tiles(spark):
     rows = spark.range(100_000).selectExpr("1L AS band", "unhex(md5(string(id))) AS node", "if(id = 7, unhex(md5('7')), unhex('00')) AS root")
     dealt = tiles(rows)
